@@ -1,54 +1,29 @@
-"""Message templates as column expressions: tokens, rendering, formatted tokens."""
+"""Message templates as column expressions: tokens, rendering, formatted tokens.
+
+Properties come as ``map<name, JSON text>``, the form they also have in the
+document, so nothing is parsed twice: the JSON text of a number is its
+rendering, and so is that of a string without escapes.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import json
+import re
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventmill.functions.jsontext import let
+from eventmill.functions.jsontext import let, string_json
 
 # Escaped braces come first so that ``{{literal}}`` holds no token.
 TOKEN = r"(\{\{|\}\}|\{[@$]?\w+(?:,-?\d+)?(?::[^{}]*)?\}|[^{}]+|[{}])"
 HOLE = r"^\{[@$]?(\w+)(?:,(-?\d+))?(?::([^{}]*))?\}$"
 
-# A property as the renderer needs it: what kind, its plain text, its number.
-PROPERTY = "struct<kind:string,text:string,num:decimal(38,10)>"
-
 MAX_FRACTION_DIGITS = 9
-
-
-def text_property(value: Column) -> Column:
-    """A string property."""
-    kind = F.when(value.isNull(), "null").otherwise("string")
-    return F.struct(kind.alias("kind"), value.alias("text"), F.lit(None).cast("decimal(38,10)").alias("num"))
-
-
-def number_property(value: Column, text: Column | None = None) -> Column:
-    """A numeric property; ``text`` is its unformatted rendering."""
-    kind = F.when(value.isNull(), "null").otherwise("number")
-    text = value.cast("string") if text is None else text
-    return F.struct(kind.alias("kind"), text.alias("text"), value.try_cast("decimal(38,10)").alias("num"))
-
-
-def properties_of(**properties: Column) -> Column:
-    """The properties of an event by name."""
-    return F.create_map(*[part for name, value in properties.items() for part in (F.lit(name), value)])
-
-
-def dynamic_properties(properties: Column) -> Column:
-    """Properties given as JSON text, by name."""
-    parsed = F.try_parse_json(properties).try_cast("map<string,variant>")
-
-    def one(_: Column, value: Column) -> Column:
-        return let(F.schema_of_variant(value), lambda kind: let(
-            kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|INT)"),
-            lambda is_number: F.struct(
-                F.when(kind == "VOID", "null").when(kind == "STRING", "string")
-                .when(is_number, "number").otherwise("json").alias("kind"),
-                F.when(kind == "STRING", value.try_cast("string")).otherwise(F.to_json(value)).alias("text"),
-                F.when(is_number, value.try_cast("decimal(38,10)")).alias("num"))))
-
-    return F.transform_values(parsed, one)
+# How many templates get an expression of their own, and the rows looked at to choose them.
+COMMON_TEMPLATES = 64
+COMMON_SAMPLE_ROWS = 50_000
 
 
 def tokens(template: Column) -> Column:
@@ -74,9 +49,10 @@ def parsed_tokens(template: Column) -> Column:
     """Tokens with the name, width and format of holes; other tokens have no name."""
     def one(token: Column) -> Column:
         hole = is_hole(token)
+        plain = hole & ~token.rlike("[,:@$]")
         return F.struct(
             token.alias("raw"),
-            F.when(hole, hole_name(token)).alias("name"),
+            F.when(plain, F.substring(token, F.lit(2), F.length(token) - 2)).when(hole, hole_name(token)).alias("name"),
             F.when(hole & token.contains(","), F.regexp_extract(token, HOLE, 2).try_cast("int")).alias("width"),
             F.when(hole & token.contains(":"), F.regexp_extract(token, HOLE, 3)).otherwise("").alias("format"))
 
@@ -109,29 +85,38 @@ def _grouped(text: Column) -> Column:
     return F.regexp_replace(text, r"(?<=\d)(?<!\.\d{0,9})(?=(?:\d{3})+(?:\.|$))", ",")
 
 
-def formatted_number(prop: Column, fmt: Column) -> Column:
-    """A number under ``0``-patterns, ``Fn``, ``Nn`` or ``Dn``; other formats give the plain text."""
-    number = prop["num"]
-    fraction = F.length(F.regexp_extract(fmt, r"^0+\.(0+)$", 1))
-    whole = F.length(F.regexp_extract(fmt, r"^(0+)(?:\.0+)?$", 1))
-    precision = F.coalesce(F.regexp_extract(fmt, r"^[A-Za-z](\d*)$", 1).try_cast("int"), F.lit(2))
+def formatted_number(text: Column, fmt: Column) -> Column:
+    """Number text under ``0``-patterns, ``Fn``, ``Nn`` or ``Dn``; other formats leave it as it is."""
+    number = text.try_cast("decimal(38,10)")
+    fraction = F.when(fmt.contains("."), F.length(F.substring_index(fmt, ".", -1))).otherwise(0)
+    whole = F.length(F.substring_index(fmt, ".", 1))
+    precision = F.coalesce(F.substring(fmt, 2, 2).try_cast("int"), F.lit(2))
     return F.coalesce(
         F.when(fmt.rlike(r"^0+(\.0+)?$"), _padded(_fixed(number, fraction), whole))
         .when(fmt.rlike(r"^[Ff]\d?$"), _fixed(number, precision))
         .when(fmt.rlike(r"^[Nn]\d?$"), _grouped(_fixed(number, precision)))
         .when(fmt.rlike(r"^[Dd]\d{0,2}$") & (number == F.floor(number)),
-              _padded(number.cast("decimal(28,0)").cast("string"), F.regexp_extract(fmt, r"(\d*)$", 1).try_cast("int"))),
-        prop["text"],
+              _padded(number.cast("decimal(28,0)").cast("string"), F.coalesce(F.substring(fmt, 2, 2).try_cast("int"), F.lit(0)))),
+        text,
     )
 
 
-def _value_text(prop: Column, fmt: Column) -> Column:
-    quoted = F.concat(F.lit('"'), F.replace(prop["text"], F.lit('"'), F.lit('\\"')), F.lit('"'))
+def _plain_text(value: Column) -> Column:
+    """The rendering without a format: strings keep their quotes, and only quotes stay escaped."""
+    string = F.try_variant_get(F.try_parse_json(value), "$", "string")
+    quoted = F.concat(F.lit('"'), F.replace(string, F.lit('"'), F.lit('\\"')), F.lit('"'))
+    return F.when(value.startswith('"') & value.contains("\\"), quoted).otherwise(value)
+
+
+def _value_text(value: Column, fmt: Column) -> Column:
+    """The rendering of a property given as JSON text."""
+    bare = F.when(value.contains("\\"), F.try_variant_get(F.try_parse_json(value), "$", "string")).otherwise(
+        F.substring(value, F.lit(2), F.length(value) - 2))
     return (
-        F.when(prop["kind"] == "null", "null")
-        .when((prop["kind"] == "string") & (fmt != "l"), quoted)
-        .when((prop["kind"] == "number") & (fmt != ""), formatted_number(prop, fmt))
-        .otherwise(prop["text"])
+        F.when(fmt == "", _plain_text(value))
+        .when(value.startswith('"'), F.when(fmt == "l", bare).otherwise(_plain_text(value)))
+        .when(fmt == "l", value)
+        .otherwise(formatted_number(value, fmt))
     )
 
 
@@ -143,10 +128,13 @@ def _aligned(text: Column, width: Column) -> Column:
 
 def rendered_tokens(template: Column, properties: Column) -> Column:
     """Parsed tokens with their text; a hole without a property stays as written."""
+    def literal(raw: Column) -> Column:
+        return F.when(raw == "{{", "{").when(raw == "}}", "}").otherwise(raw)
+
     def fill(token: Column, value: Column) -> Column:
         text = _value_text(value, token["format"])
         return (
-            F.when(token["name"].isNull(), F.replace(F.replace(token["raw"], F.lit("{{"), F.lit("{")), F.lit("}}"), F.lit("}")))
+            F.when(token["name"].isNull(), literal(token["raw"]))
             .when(value.isNull(), token["raw"])
             .when(token["width"].isNull(), text)
             .otherwise(_aligned(text, token["width"])))
@@ -178,6 +166,63 @@ def _renderings(filled: Column) -> Column:
     return let(F.filter(filled, lambda t: t["format"] != ""), by_name)
 
 
+def common_templates(events: DataFrame, template: str = "message_template", count: int = COMMON_TEMPLATES) -> list[str]:
+    """Templates seen most often in the first rows.
+
+    Only a hint for :func:`message_texts`: other templates take the general
+    way and give the same result, so the choice never changes an output.
+    """
+    head = events.select(template).limit(COMMON_SAMPLE_ROWS).groupBy(template).agg(F.count(F.lit(1)).alias("n"))
+    rows = head.filter(F.col(template).isNotNull()).orderBy(F.desc("n"), template).limit(count).collect()
+    return [row[0] for row in rows]
+
+
+def _own_hole(raw: str, properties: Column) -> Column:
+    """A hole of a known template, as one compiled expression."""
+    name, width, fmt = re.match(HOLE, raw, re.ASCII).groups()
+    value = F.try_element_at(properties, F.lit(name))
+    text = _value_text(value, F.lit(fmt)) if fmt else _plain_text(value)
+    if width:
+        gap = F.repeat(F.lit(" "), F.lit(abs(int(width))) - F.length(text))
+        text = F.concat(gap, text) if int(width) > 0 else F.concat(text, gap)
+    return F.coalesce(text, F.lit(raw))
+
+
+def _own_texts(template: str, properties: Column) -> Column:
+    """Message and renderings of a known template."""
+    parts, formatted = [], {}
+    for raw in re.findall(TOKEN, template, re.ASCII):
+        hole = re.match(HOLE, raw, re.ASCII)
+        if hole is None:
+            parts.append(F.lit({"{{": "{", "}}": "}"}.get(raw, raw)))
+            continue
+        text = _own_hole(raw, properties)
+        parts.append(text)
+        if hole.group(3):
+            row = F.concat(F.lit(f'{{"Format":{json.dumps(hole.group(3), ensure_ascii=False)},"Rendering":'), string_json(text), F.lit("}"))
+            formatted.setdefault(hole.group(1), []).append(row)
+    members = [F.concat(F.lit(f"{json.dumps(name)}:["), F.concat_ws(",", *rows), F.lit("]")) for name, rows in formatted.items()]
+    renderings = F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}")) if members else F.lit(None).cast("string")
+    message = F.concat(*parts) if parts else F.lit("")
+    return F.struct(message.alias("message"), renderings.alias("renderings"))
+
+
+def message_texts(template: Column, properties: Column, common: Sequence[str] = ()) -> Column:
+    """``struct<message, renderings>``: the message and the formatted tokens as JSON (null without any).
+
+    Every template in ``common`` becomes its own compiled expression; lambdas
+    over token arrays, which Spark interprets, are left for the rest.
+    """
+    general = let(rendered_tokens(template, properties), lambda filled: F.struct(
+        _message(filled).alias("message"), F.to_json(_renderings(filled)).alias("renderings")))
+    if not common:
+        return general
+    chosen = F.when(template == common[0], _own_texts(common[0], properties))
+    for one in common[1:]:
+        chosen = chosen.when(template == one, _own_texts(one, properties))
+    return chosen.otherwise(general)
+
+
 def rendered_message(template: Column, properties: Column) -> Column:
     """The message text of an event."""
     return _message(rendered_tokens(template, properties))
@@ -186,9 +231,3 @@ def rendered_message(template: Column, properties: Column) -> Column:
 def renderings(template: Column, properties: Column) -> Column:
     """Formatted tokens by property, as ``map<name, array<struct<Format, Rendering>>>``; null without any."""
     return _renderings(rendered_tokens(template, properties))
-
-
-def message_and_renderings(template: Column, properties: Column) -> Column:
-    """Both as one struct, so that the tokens are filled in once."""
-    return let(rendered_tokens(template, properties), lambda filled: F.struct(
-        _message(filled).alias("message"), _renderings(filled).alias("renderings")))

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-# An event: when, how severe, what it says, what it carries.
+# An event: when, how severe, what it says, what it carries (properties as JSON text by name).
 EVENT_COLUMNS = {
     "event_id": "bigint",
     "ts": "timestamp",
     "offset_minutes": "int",
     "level": "string",
     "message_template": "string",
-    "properties": "map<string,struct<kind:string,text:string,num:decimal(38,10)>>",
-    "fields": "map<string,string>",
+    "properties": "map<string,string>",
     "exceptions": "array<struct<ClassName:string,Message:string,Source:string,StackTraceString:string,"
     "RemoteStackTraceString:string,RemoteStackIndex:int,ExceptionMethod:string,HResult:int,HelpURL:string>>",
 }

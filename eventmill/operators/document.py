@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmill.functions.jsontext import fields_json, fields_members, member, object_json, string_json
-from eventmill.functions.template import message_and_renderings
+from eventmill.functions.template import common_templates, message_texts
 from eventmill.functions.times import iso_time
 from eventmill.operators.exceptions import flat_json, nested_json
 from eventmill.options import DocumentOptions
@@ -31,9 +33,9 @@ def envelope(ts: Column, offset_minutes: Column, level: Column, template: Column
     ]
 
 
-def colliding_fields(fields: Column) -> Column:
+def colliding_fields(properties: Column) -> Column:
     """Property names that an inlined document cannot carry beside its envelope."""
-    return F.filter(F.map_keys(fields), lambda name: name.isin(*ENVELOPE))
+    return F.filter(F.map_keys(properties), lambda name: name.isin(*ENVELOPE))
 
 
 def document(
@@ -43,16 +45,16 @@ def document(
     level: Column,
     template: Column,
     properties: Column,
-    fields: Column,
     exceptions: Column | None = None,
+    common: Sequence[str] = (),
 ) -> Column:
     """The whole document: time, level, template, message, exceptions, properties, renderings.
 
-    ``properties`` is what the renderer needs (see ``functions.template``),
-    ``fields`` a ``map<name, JSON text>``. Empty sections are left out. Inlined
-    fields give way to envelope names.
+    ``properties`` is a ``map<name, JSON text>`` (see ``functions.jsontext``).
+    Empty sections are left out. Inlined properties give way to envelope names.
+    ``common`` names templates worth an expression of their own.
     """
-    texts = message_and_renderings(template, properties)
+    texts = message_texts(template, properties, common)
     parts = [member(TIMESTAMP, string_json(iso_time(ts, offset_minutes))), member(LEVEL, string_json(level))]
     if options.render_template:
         parts.append(member(MESSAGE_TEMPLATE, string_json(template)))
@@ -64,24 +66,36 @@ def document(
         else:
             parts.append(member(EXCEPTIONS, flat_json(exceptions, options.stack_trace_as_array)))
     if options.inline_fields:
-        free = F.map_filter(fields, lambda name, _: ~name.isin(*ENVELOPE))
+        free = F.map_filter(properties, lambda name, _: ~name.isin(*ENVELOPE))
         parts.append(fields_members(free))
     else:
-        parts.append(member(FIELDS, fields_json(fields)))
-    parts.append(member(RENDERINGS, F.to_json(texts["renderings"])))
+        parts.append(member(FIELDS, fields_json(properties)))
+    parts.append(member(RENDERINGS, texts["renderings"]))
     if options.omit_enclosing_object:
         return F.concat_ws(",", *parts)
     whole = object_json(*parts)
     return F.concat(whole, F.lit(options.closing_delimiter)) if options.closing_delimiter else whole
 
 
-def event_document(options: DocumentOptions) -> Column:
+def event_document(options: DocumentOptions, common: Sequence[str] = ()) -> Column:
     """:func:`document` over the columns of an event table (see ``model.EVENT_COLUMNS``)."""
     return document(
         options, F.col("ts"), F.col("offset_minutes"), F.col("level"), F.col("message_template"),
-        F.col("properties"), F.col("fields"), F.col("exceptions"))
+        F.col("properties"), F.col("exceptions"), common)
 
 
-def with_document(events: DataFrame, options: DocumentOptions = DocumentOptions(), out: str = "doc") -> DataFrame:
+def with_document(
+    events: DataFrame, options: DocumentOptions = DocumentOptions(), out: str = "doc", common: Sequence[str] | None = None
+) -> DataFrame:
     """Add the document; the property and exception columns are no longer needed after it."""
-    return events.withColumn(out, event_document(options)).drop("properties", "fields", "exceptions")
+    if common is None:
+        common = common_templates(events)
+    return events.withColumn(out, event_document(options, common)).drop("properties", "exceptions")
+
+
+def with_message(events: DataFrame, common: Sequence[str] | None = None) -> DataFrame:
+    """Add ``message`` and ``renderings``, both from the template and the properties."""
+    if common is None:
+        common = common_templates(events)
+    texts = message_texts(F.col("message_template"), F.col("properties"), common)
+    return events.withColumn("_texts", texts).select("*", "_texts.message", "_texts.renderings").drop("_texts")

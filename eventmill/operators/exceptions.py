@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,42 +12,46 @@ from eventmill.options import EXCEPTION_DEPTH_LIMIT
 from eventmill.session import written
 
 # Parts of a method description, and how an assembly name is spelled.
-METHOD_PARTS = r"[\x00\n]"
+METHOD_SEPARATORS = ("\x00", "\n")
 METHOD_PART_COUNT = 5
 NEUTRAL_CULTURE = "neutral"
+# Members of an exception before and after its method, and the names of traces given as lines.
+BEFORE_METHOD = ("ClassName", "Message", "Source", "StackTraceString", "RemoteStackTraceString", "RemoteStackIndex")
+AFTER_METHOD = ("HResult", "HelpURL")
+STACK_ARRAYS = {"StackTraceString": "StackTrace", "RemoteStackTraceString": "RemoteStackTrace"}
+
+
+def _attribute(assembly: Column, name: str) -> Column:
+    """An attribute of an assembly name, such as its version; null without it."""
+    value = F.substring_index(F.substring_index(assembly, f"{name}=", -1), ",", 1)
+    return F.when(assembly.contains(f"{name}="), value)
 
 
 def exception_method(description: Column) -> Column:
     """The parts of a method description; null unless it has exactly five."""
-    def described(parts: Column, assembly: Column, culture: Column) -> Column:
+    def described(parts: Column) -> Column:
+        assembly = F.get(parts, 2)
+        culture = _attribute(assembly, "Culture")
         return F.struct(
             F.get(parts, 1).alias("Name"),
             F.trim(F.substring_index(assembly, ",", 1)).alias("AssemblyName"),
-            F.nullif(F.regexp_extract(assembly, r"Version=([^,]*)", 1), F.lit("")).alias("AssemblyVersion"),
-            F.when(culture == NEUTRAL_CULTURE, "").when(culture != "", culture).alias("AssemblyCulture"),
+            _attribute(assembly, "Version").alias("AssemblyVersion"),
+            F.when(culture == NEUTRAL_CULTURE, "").otherwise(culture).alias("AssemblyCulture"),
             F.get(parts, 3).alias("ClassName"),
             F.get(parts, 4).alias("Signature"),
             F.get(parts, 0).try_cast("int").alias("MemberType"))
 
-    return let(F.split(description, METHOD_PARTS), lambda parts: F.when(
-        F.size(parts) == METHOD_PART_COUNT,
-        let(F.get(parts, 2), lambda assembly: let(
-            F.regexp_extract(assembly, r"Culture=([^,]*)", 1),
-            lambda culture: described(parts, assembly, culture)))))
+    first, second = METHOD_SEPARATORS
+    one_kind = F.when(description.contains(first), F.translate(description, first, second)).otherwise(description)
+    return let(F.split(one_kind, second), lambda parts: F.when(F.size(parts) == METHOD_PART_COUNT, described(parts)))
 
 
 def _with_depth(entry: Column, depth: Column) -> Column:
     return F.struct(
         depth.cast("int").alias("Depth"),
-        entry["ClassName"].alias("ClassName"),
-        entry["Message"].alias("Message"),
-        entry["Source"].alias("Source"),
-        entry["StackTraceString"].alias("StackTraceString"),
-        entry["RemoteStackTraceString"].alias("RemoteStackTraceString"),
-        entry["RemoteStackIndex"].alias("RemoteStackIndex"),
+        *[entry[name].alias(name) for name in BEFORE_METHOD],
         exception_method(entry["ExceptionMethod"]).alias("ExceptionMethod"),
-        entry["HResult"].alias("HResult"),
-        entry["HelpURL"].alias("HelpURL"),
+        *[entry[name].alias(name) for name in AFTER_METHOD],
     )
 
 
@@ -59,38 +65,42 @@ def stack_lines(trace: Column) -> Column:
     return F.filter(F.split(F.coalesce(trace, F.lit("")), r"\r?\n"), lambda line: line != "")
 
 
-def exception_json(entry: Column, stack_as_array: bool = False) -> Column:
+def exception_json(entry: Column, depth: Column, method: Column, stack_as_array: bool = False) -> Column:
     """One exception as JSON; unset fields are shown as null, an unusable method is left out."""
-    if stack_as_array:
-        traces = [stack_lines(entry["StackTraceString"]).alias("StackTrace"),
-                  stack_lines(entry["RemoteStackTraceString"]).alias("RemoteStackTrace")]
-    else:
-        traces = [entry["StackTraceString"].alias("StackTraceString"),
-                  entry["RemoteStackTraceString"].alias("RemoteStackTraceString")]
-    head = [*[entry[name].alias(name) for name in ("Depth", "ClassName", "Message", "Source")],
-            *traces, entry["RemoteStackIndex"].alias("RemoteStackIndex")]
-    method = [entry["ExceptionMethod"].alias("ExceptionMethod")]
-    tail = [entry[name].alias(name) for name in ("HResult", "HelpURL")]
-    return F.when(entry["ExceptionMethod"].isNull(), F.to_json(F.struct(*head, *tail), SHOW_NULLS)).otherwise(
-        F.to_json(F.struct(*head, *method, *tail), SHOW_NULLS))
+    def shown(name: str) -> Column:
+        if stack_as_array and name in STACK_ARRAYS:
+            return stack_lines(entry[name]).alias(STACK_ARRAYS[name])
+        return entry[name].alias(name)
+
+    head = [depth.cast("int").alias("Depth"), *[shown(name) for name in BEFORE_METHOD]]
+    tail = [shown(name) for name in AFTER_METHOD]
+    with_method = F.to_json(F.struct(*head, method.alias("ExceptionMethod"), *tail), SHOW_NULLS)
+    return F.when(method.isNull(), F.to_json(F.struct(*head, *tail), SHOW_NULLS)).otherwise(with_method)
+
+
+def _entry_json(stack_as_array: bool) -> Callable[[Column, Column], Column]:
+    return lambda entry, depth: let(
+        exception_method(entry["ExceptionMethod"]), lambda method: exception_json(entry, depth, method, stack_as_array))
 
 
 def flat_json(chain: Column, stack_as_array: bool = False) -> Column:
     """The ``exceptions`` array; null without an exception."""
-    items = F.transform(flattened(chain), lambda e: exception_json(e, stack_as_array))
+    items = F.transform(F.slice(chain, 1, EXCEPTION_DEPTH_LIMIT + 1), _entry_json(stack_as_array))
     return F.concat(F.lit("["), F.nullif(F.array_join(items, ","), F.lit("")), F.lit("]"))
 
 
 def nested_json(chain: Column, stack_as_array: bool = False) -> Column:
-    """The ``exception`` object with ``innerException`` inside it, to any depth; null without an exception."""
-    items = F.transform(F.transform(chain, _with_depth), lambda e: exception_json(e, stack_as_array))
+    """The ``exception`` object with ``innerException`` inside it, to any depth; null without an exception.
 
-    def wrap(inner: Column, text: Column) -> Column:
-        opened = F.substring(text, F.lit(1), F.length(text) - 1)
-        return F.when(inner.isNull(), text).otherwise(
-            F.concat(opened, F.lit(',"innerException":'), inner, F.lit("}")))
+    All opening parts come first, then all closing braces: one join of the
+    texts instead of a copy of the inner text at every level.
+    """
+    def open_ended(text: Column) -> Column:
+        return F.substring(text, F.lit(1), F.length(text) - 1)
 
-    return F.aggregate(F.reverse(items), F.lit(None).cast("string"), wrap)
+    items = F.transform(F.transform(chain, _entry_json(stack_as_array)), open_ended)
+    opened = F.nullif(F.array_join(items, ',"innerException":'), F.lit(""))
+    return F.concat(opened, F.repeat(F.lit("}"), F.size(chain)))
 
 
 def exceptions_table(events: DataFrame, keys: list[str], chain: str = "exceptions") -> DataFrame:

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -100,30 +97,3 @@ def check_shippable(interval: str) -> None:
     if interval in TOO_COARSE:
         raise ValueError(f"rolling interval {interval} is coarser than a day and cannot be shipped")
 
-
-def rolling_sequences(lines: DataFrame, keys: list[str], order: list[str], size: str, limit_bytes: int) -> DataFrame:
-    """Adds ``sequence``: the file of its key an event lands in when files roll at ``limit_bytes``.
-
-    A file takes events until its size has reached the limit. That rule is a
-    chain from one event to the next, so each writer (the keys) is folded in
-    order over sorted batches; only two numbers are carried and no group is held
-    in memory. Many writers run side by side; give each its own key.
-    """
-    columns = [*keys, *order, size]
-
-    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, used, number = None, 0, 0
-        for frame in frames:
-            numbers = []
-            groups = list(zip(*[frame[key] for key in keys])) if keys else [()] * len(frame)
-            for group, weight in zip(groups, frame[size]):
-                if group != current:
-                    current, used, number = group, 0, 0
-                elif used >= limit_bytes:
-                    used, number = 0, number + 1
-                used += int(weight)
-                numbers.append(number)
-            yield frame.assign(sequence=numbers)
-
-    schema = lines.select(*columns).schema.add("sequence", "long")
-    return lines.select(*columns).repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(fold, schema)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventmill.functions import template, times
 from eventmill.functions.jsontext import string_json
-from eventmill.operators import bulk, delivery, document, exceptions, filters, mapping, retention, routing
+from eventmill.operators import bulk, delivery, document, exceptions, filters, mapping, retention, rolling, routing
 from eventmill.operators.running import plan_chunks
 from eventmill.options import DocumentOptions, RouteOptions
 from eventmill.plans.stub import RuleClient
@@ -151,9 +151,8 @@ def admission_counts(spark, folder):
 @query
 def document_envelope(spark, folder):
     events = views.with_payload(views.log_events(spark, folder, heavy=True))
-    message = template.rendered_message(F.col("message_template"), F.col("properties"))
-    return events.select("event_id", *document.envelope(
-        F.col("ts"), F.col("offset_minutes"), F.col("level"), F.col("message_template"), message))
+    return document.with_message(events).select("event_id", *document.envelope(
+        F.col("ts"), F.col("offset_minutes"), F.col("level"), F.col("message_template"), F.col("message")))
 
 
 @query
@@ -170,10 +169,12 @@ def document_inline_fields(spark, folder):
 @query
 def document_delimited(spark, folder):
     events = views.with_payload(views.log_events(spark, folder, heavy=True))
+    common = template.common_templates(events)
+    bare = DocumentOptions(render_message=False, omit_enclosing_object=True)
+    ended = DocumentOptions(render_message=False, closing_delimiter=";\n")
     return events.select(
-        "event_id",
-        document.event_document(DocumentOptions(render_message=False, omit_enclosing_object=True)).alias("members"),
-        document.event_document(DocumentOptions(render_message=False, closing_delimiter=";\n")).alias("delimited"))
+        "event_id", document.event_document(bare, common).alias("members"),
+        document.event_document(ended, common).alias("delimited"))
 
 
 @query
@@ -184,15 +185,13 @@ def build_document(spark, folder):
 @query
 def document_renderings(spark, folder):
     events = views.with_payload(views.log_events(spark, folder, heavy=True))
-    found = template.renderings(F.col("message_template"), F.col("properties"))
-    return events.select("event_id", F.to_json(found).alias("renderings"))
+    return document.with_message(events).select("event_id", "renderings")
 
 
 @query
 def render_message(spark, folder):
     events = views.with_payload(views.log_events(spark, folder, heavy=True))
-    return events.select(
-        "event_id", template.rendered_message(F.col("message_template"), F.col("properties")).alias("message"))
+    return document.with_message(events).select("event_id", "message")
 
 
 @query
@@ -504,7 +503,7 @@ def rolling_buckets(spark, folder):
 def rolling_size_sequence(spark, folder):
     lines = views.log_events(spark, folder).select(
         retention.rolling_bucket(F.col("ts")).alias("bucket"), "event_id", F.octet_length("props").alias("n_bytes"))
-    return retention.rolling_sequences(lines, ["bucket"], ["event_id"], "n_bytes", 500).select("bucket", "event_id", "sequence")
+    return rolling.rolling_sequences(lines, ["bucket"], ["event_id"], "n_bytes", 500).select("bucket", "event_id", "sequence")
 
 
 # Mappings
@@ -603,7 +602,8 @@ def nest_exceptions(spark, folder):
 @query
 def exception_fields(spark, folder):
     rows = _chains(spark, folder).select("event_id", F.explode(exceptions.flattened(F.col("exceptions"))).alias("e"))
-    return rows.select("event_id", F.col("e.Depth").alias("depth"), exceptions.exception_json(F.col("e")).alias("json"))
+    return rows.select("event_id", F.col("e.Depth").alias("depth"),
+                       exceptions.exception_json(F.col("e"), F.col("e.Depth"), F.col("e.ExceptionMethod")).alias("json"))
 
 
 @query

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from eventmill.functions.jsontext import dynamic_fields, integer_json, merged_maps, number_json, string_json
 from eventmill.functions.levels import LEVELS, levels_from
-from eventmill.functions.template import dynamic_properties, number_property, properties_of, text_property
 from eventmill.session import prepare
 
 # Which event types carry which levels (errors split in two by id).
@@ -85,15 +84,9 @@ def large_log_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def with_payload(logs: DataFrame) -> DataFrame:
-    """Add properties, fields and the exception chain, as an event carries them."""
+    """Add properties and the exception chain, as an event carries them."""
     return logs.withColumns({
         "properties": merged_maps(
-            properties_of(
-                EventType=text_property(F.col("event_type")),
-                UserId=number_property(F.col("user_id")),
-                Value=number_property(F.col("value"), number_json(F.col("value")))),
-            dynamic_properties(F.col("props"))),
-        "fields": merged_maps(
             F.create_map(
                 F.lit("EventType"), string_json(F.col("event_type")),
                 F.lit("UserId"), integer_json(F.col("user_id")),
