@@ -17,6 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from eventmill.operators.running import CHUNK, ROWS_PER_CHUNK, plan_chunks
 from eventmill.session import written
@@ -95,7 +96,7 @@ def rolling_sequences(
 ) -> DataFrame:
     """Adds ``sequence``: the file of its writer (the keys) an event lands in. Sizes are not negative."""
     lines = lines.select(*keys, *order, size)
-    schema = lines.schema.add("sequence", "long")
+    schema = _extended(lines.schema, "sequence")
     chunk = plan_chunks(lines, order, rows_per_chunk)
 
     def ordered(frame: pd.DataFrame) -> pd.DataFrame:
@@ -110,8 +111,8 @@ def rolling_sequences(
 
     cut = lines.withColumn(CHUNK, chunk)
     by_key = lines.select(*keys).schema
-    table_schema = by_key.add(CHUNK, "long").add("upto", "long").add("files", "long").add("used", "long")
-    state_schema = lines.select(*keys).schema.add(CHUNK, "long").add("held", "long").add("number", "long")
+    table_schema = _extended(by_key, CHUNK, "upto", "files", "used")
+    state_schema = _extended(by_key, CHUNK, "held", "number")
 
     def tabled(frame: pd.DataFrame) -> pd.DataFrame:
         return labelled(range_table(ordered(frame)[size].to_numpy(), limit_bytes), frame, int(frame[CHUNK].iloc[0]))
@@ -160,6 +161,10 @@ def rolling_sequences(
     return states.groupBy(*keys, CHUNK).cogroup(cut.groupBy(*keys, CHUNK)).applyInPandas(finish, schema)
 
 
+def _extended(schema: StructType, *names: str) -> StructType:
+    return StructType([*schema.fields, *[StructField(name, LongType()) for name in names]])
+
+
 def _tables(frame: pd.DataFrame) -> list[tuple[int, pd.DataFrame]]:
     """The tables of a group in order of their ranges."""
     frame = frame.sort_values([CHUNK, "upto"], ignore_index=True)
