@@ -177,11 +177,37 @@ def common_templates(events: DataFrame, template: str = "message_template", coun
     return [row[0] for row in rows]
 
 
+def _own_number(value: Column, fmt: str) -> Column:
+    """:func:`formatted_number` for a format known beforehand: only what it needs."""
+    number = value.try_cast("decimal(38,10)")
+
+    def fixed(places: int) -> Column:
+        return number.cast(f"decimal({28 + places},{places})").cast("string")
+
+    kind, digits = fmt[:1].upper(), fmt[1:]
+    if re.fullmatch(r"0+(\.0+)?", fmt):
+        whole, _, fraction = fmt.partition(".")
+        if len(fraction) > MAX_FRACTION_DIGITS:
+            return value
+        text = fixed(len(fraction))
+        return text if len(whole) == 1 else _padded(text, F.lit(len(whole)))
+    if kind in "FN" and re.fullmatch(r"\d?", digits):
+        text = fixed(int(digits or 2))
+        return text if kind == "F" else _grouped(text)
+    if kind == "D" and re.fullmatch(r"\d{0,2}", digits):
+        return F.when(number == F.floor(number), _padded(number.cast("decimal(28,0)").cast("string"), F.lit(int(digits or 0))))
+    return value
+
+
 def _own_hole(raw: str, properties: Column) -> Column:
     """A hole of a known template, as one compiled expression."""
     name, width, fmt = re.match(HOLE, raw, re.ASCII).groups()
     value = F.try_element_at(properties, F.lit(name))
-    text = _value_text(value, F.lit(fmt)) if fmt else _plain_text(value)
+    text = _plain_text(value)
+    if fmt == "l":
+        text = _value_text(value, F.lit(fmt))
+    elif fmt:
+        text = F.when(value.startswith('"'), text).otherwise(F.coalesce(_own_number(value, fmt), value))
     if width:
         gap = F.repeat(F.lit(" "), F.lit(abs(int(width))) - F.length(text))
         text = F.concat(gap, text) if int(width) > 0 else F.concat(text, gap)
