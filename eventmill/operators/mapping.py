@@ -124,16 +124,19 @@ def explicit_mapping(body: Column) -> Column:
 
 
 def _lost_value(mapped: Column) -> Column:
+    def lost(loose: Column, typed: Column) -> Column:
+        return loose.isNotNull() & ~F.is_variant_null(loose) & typed.isNull()
+
     def differs(pair: Column) -> Column:
-        lost = F.lit(False)
+        loose, typed = pair["loose"], pair["typed"]
+        any_lost = lost(loose["ExceptionMethod"]["MemberType"], typed["ExceptionMethod"]["MemberType"])
         for name in INTEGER_FIELDS:
-            lost = lost | (pair["loose"][name].isNotNull() & pair["exceptions"][name].isNull())
-        member = pair["loose"]["ExceptionMethod"]["MemberType"]
-        return lost | (member.isNotNull() & pair["exceptions"]["ExceptionMethod"]["MemberType"].isNull())
+            any_lost = any_lost | lost(loose[name], typed[name])
+        return any_lost
 
     pairs = F.zip_with(mapped["loose"], mapped["exceptions"],
-                       lambda loose, typed: F.struct(loose.alias("loose"), typed.alias("exceptions")))
-    return F.exists(pairs, differs)
+                       lambda loose, typed: F.struct(loose.alias("loose"), typed.alias("typed")))
+    return F.exists(pairs, lambda pair: F.coalesce(differs(pair), F.lit(False)))
 
 
 def raw_keyword(value: Column, limit: int = KEYWORD_LENGTH_LIMIT) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmill.operators.bulk import action_line, durable_id, in_batches, request_lines
@@ -44,11 +44,15 @@ def durable_requests(
 ) -> DataFrame:
     """Request rows of durable mode from ``lines(file_name, line, start_offset, next_offset)``.
 
-    The index comes from the file's date. Lines over the size limit take a
-    place in their batch but are not sent.
+    The index comes from the file's date. Lines over the size limit count for
+    their batch but are not sent; positions are those among the lines sent.
     """
     batched = in_batches(lines, ["file_name"], ["start_offset"], batches.posting_limit)
-    sized = batched.filter(fits(F.col("line"), batches.event_bytes_limit))
+    sized = batched
+    if batches.event_bytes_limit is not None:
+        in_batch = Window.partitionBy("file_name", "batch_no").orderBy("start_offset")
+        sized = batched.filter(fits(F.col("line"), batches.event_bytes_limit)).withColumn(
+            "pos", F.row_number().over(in_batch) - 1)
     index = buffered_index(F.col("file_name"), shipping.rolling_interval, routes.index_format)
     doc_id = durable_id(F.col("pos"), F.col("file_name"), F.col("start_offset"))
     return sized.select(
