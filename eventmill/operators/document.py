@@ -87,7 +87,10 @@ def event_document(options: DocumentOptions, common: Sequence[str] = ()) -> Colu
 def with_document(
     events: DataFrame, options: DocumentOptions = DocumentOptions(), out: str = "doc", common: Sequence[str] | None = None
 ) -> DataFrame:
-    """Add the document; the property and exception columns are no longer needed after it."""
+    """Add the document; the property and exception columns are no longer needed after it.
+
+    Give ``common`` when ``events`` is costly to read a few rows of.
+    """
     if common is None:
         common = common_templates(events)
     return events.withColumn(out, event_document(options, common)).drop("properties", "exceptions")

@@ -26,19 +26,17 @@ def at_least_switched(
     before the first row pass, like those of a logger without a switch.
     """
     ordered = control.withColumn("_until", F.lead("effective_from").over(Window.orderBy("effective_from")))
-    open_end = ordered.filter("_until IS NULL").select(
-        F.col("effective_from").alias("_last_from"), F.col("min_rank").alias("_last_rank"))
-    closed = ordered.filter("_until IS NOT NULL")
     days = F.explode(F.sequence(F.to_date("effective_from"), F.to_date("_until")))
-    by_day = closed.select(days.alias("_day"), "effective_from", "_until", "min_rank").groupBy("_day").agg(
-        F.collect_list(F.struct("effective_from", "_until", "min_rank")).alias("_spans"))
+    by_day = ordered.filter("_until IS NOT NULL").select(days.alias("_day"), "effective_from", "_until", "min_rank")
+    by_day = by_day.groupBy("_day").agg(F.collect_list(F.struct("effective_from", "_until", "min_rank")).alias("_spans"))
     joined = attach(
         events.withColumn("_day", F.to_date(ts)), by_day, ["_day"], spread_by=event_key, label="level-switch")
-    # One row: the threshold that is still in force.
-    last = open_end.limit(1)
-    joined = joined.join(F.broadcast(last), F.col(ts) >= F.col("_last_from"), "left")
-    span = F.get(F.filter("_spans", lambda s: (F.col(ts) >= s["effective_from"]) & (F.col(ts) < s["_until"])), F.lit(0))
-    threshold = F.coalesce(F.col("_last_rank"), span["min_rank"], F.lit(0))
+    inside = F.filter("_spans", lambda s: (F.col(ts) >= s["effective_from"]) & (F.col(ts) < s["_until"]))
+    threshold = F.coalesce(F.get(inside, F.lit(0))["min_rank"], F.lit(0))
+    # The setting still in force is one row, so it becomes a constant.
+    last = ordered.filter("_until IS NULL").select(F.unix_micros("effective_from"), "min_rank").first()
+    if last is not None:
+        threshold = F.when(F.col(ts) >= F.timestamp_micros(F.lit(last[0])), F.lit(last[1])).otherwise(threshold)
     return joined.filter(F.col(rank) >= threshold).select(*events.columns)
 
 

@@ -16,9 +16,8 @@ from eventmill.session import attach
 MAX_DEPTH = 8
 
 
-def field_type(value: Column) -> Column:
-    """The index type of a variant value; null for JSON null, which maps nothing."""
-    kind = F.schema_of_variant(value)
+def field_type(kind: Column) -> Column:
+    """The index type for the schema text of a variant; null for JSON null, which maps nothing."""
     return (
         F.when(kind == "STRING", "string").when(kind == "BIGINT", "long").when(kind == "BOOLEAN", "boolean")
         .when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), "double").when(kind.rlike("^(OBJECT|ARRAY)"), "object"))
@@ -32,14 +31,19 @@ def field_values(documents: DataFrame, body: str, keys: Sequence[str], prefix: s
     object after ``depth`` levels is reported as such.
     """
     spark = documents.sparkSession
-    rows = documents.select(*keys, F.lit(prefix).alias("_path"), F.try_parse_json(body).alias("_value"))
+
+    def described(rows: DataFrame, path: Column, value: Column) -> DataFrame:
+        rows = rows.select(*keys, path.alias("_path"), value.alias("_value"))
+        return rows.withColumn("_kind", F.schema_of_variant("_value"))
+
+    rows = described(documents, F.lit(prefix), F.try_parse_json(body))
     for _ in range(depth):
-        open_value = F.when(F.schema_of_variant("_value").rlike("^(OBJECT|ARRAY)"), F.col("_value"))
+        open_value = F.when(F.col("_kind").startswith("OBJECT") | F.col("_kind").startswith("ARRAY"), F.col("_value"))
         rows = rows.lateralJoin(spark.tvf.variant_explode_outer(open_value.outer()))
         name = F.when(F.col("key").isNull(), F.col("_path")).when(F.col("_path") == "", F.col("key")).otherwise(
             F.concat(F.col("_path"), F.lit("."), F.col("key")))
-        rows = rows.select(*keys, name.alias("_path"), F.coalesce(F.col("value"), F.col("_value")).alias("_value"))
-    return rows.select(*keys, F.col("_path").alias("path"), field_type(F.col("_value")).alias("type")).filter("type IS NOT NULL")
+        rows = described(rows, name, F.coalesce(F.col("value"), F.col("_value")))
+    return rows.select(*keys, F.col("_path").alias("path"), field_type(F.col("_kind")).alias("type")).filter("type IS NOT NULL")
 
 
 def inventory(fields: DataFrame) -> DataFrame:

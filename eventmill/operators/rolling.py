@@ -11,10 +11,11 @@ down, like a parallel prefix sum. At last each range numbers its own events.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -22,6 +23,9 @@ from pyspark.sql.types import LongType, StructField, StructType
 from eventmill.operators.running import CHUNK, ROWS_PER_CHUNK, plan_chunks
 from eventmill.session import written
 
+# Workers need not have this package installed to run its functions.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Tables combined in one group, which bounds what a task holds.
 FAN_IN = 8
 

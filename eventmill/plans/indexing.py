@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventmill.functions.template import common_templates
 from eventmill.operators.bulk import action_line, durable_id, in_batches, request_lines
 from eventmill.operators.document import with_document
 from eventmill.operators.filters import at_least, fits
@@ -12,28 +13,39 @@ from eventmill.operators.routing import buffered_index, decided_index, pipeline_
 from eventmill.options import BatchOptions, DocumentOptions, RouteOptions, ShippingOptions
 
 
+def routed_events(
+    events: DataFrame, minimum: str | None = None, routes: RouteOptions = RouteOptions(),
+    index_decider: Column | None = None, pipeline_decider: Column | None = None,
+) -> DataFrame:
+    """Level filter, index and pipeline: narrow, so it stays with the scan."""
+    return at_least(events, minimum).withColumns({
+        "_index": decided_index(F.col("ts"), routes, index_decider),
+        "pipeline": pipeline_name(routes.pipeline, pipeline_decider)})
+
+
 def indexed_documents(
     events: DataFrame, minimum: str | None = None, routes: RouteOptions = RouteOptions(),
     documents: DocumentOptions = DocumentOptions(), index_decider: Column | None = None,
     pipeline_decider: Column | None = None,
 ) -> DataFrame:
-    """Level filter, index, pipeline and document: one pass over the scan, no shuffle."""
-    kept = at_least(events, minimum)
-    routed = kept.withColumns({
-        "_index": decided_index(F.col("ts"), routes, index_decider),
-        "pipeline": pipeline_name(routes.pipeline, pipeline_decider)})
-    return with_document(routed, documents)
+    """Routed events with their documents: one pass over the scan, no shuffle."""
+    return with_document(routed_events(events, minimum, routes, index_decider, pipeline_decider), documents)
 
 
 def direct_requests(
     events: DataFrame, minimum: str | None = None, routes: RouteOptions = RouteOptions(),
     documents: DocumentOptions = DocumentOptions(), batches: BatchOptions = BatchOptions(),
+    index_decider: Column | None = None, pipeline_decider: Column | None = None,
 ) -> DataFrame:
-    """Batched request rows of direct mode: ``batch_id, pos, event_id, _index, action, doc``."""
-    docs = indexed_documents(events, minimum, routes, documents)
-    sized = docs.filter(fits(F.col("doc"), batches.event_bytes_limit))
-    batched = in_batches(sized, ["_index"], ["ts", "event_id"], batches.posting_limit)
-    return batched.select(
+    """Batched request rows of direct mode: ``batch_id, pos, event_id, _index, action, doc``.
+
+    Events are put into batches before their documents are built: the shuffle
+    then carries the event, not the longer document.
+    """
+    routed = routed_events(events, minimum, routes, index_decider, pipeline_decider)
+    common = common_templates(events)
+    batched = in_batches(routed, ["_index"], ["ts", "event_id"], batches.posting_limit)
+    return with_document(batched, documents, common=common).select(
         "batch_id", "pos", "event_id", "_index",
         action_line(batches.op, F.col("_index"), pipeline=F.col("pipeline")).alias("action"), "doc")
 

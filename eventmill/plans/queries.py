@@ -344,11 +344,12 @@ def sink_round_trip(spark, folder):
 
 
 def _stub_requests(spark, folder):
-    docs = documents_of(spark, folder, DocumentOptions(render_message=False, render_template=False))
-    routed = docs.select("event_id", "ts", daily_index().alias("_index"), "doc")
-    batched = bulk.in_batches(routed, ["_index"], ["ts", "event_id"])
+    logs = views.with_payload(views.log_events(spark, folder, heavy=True)).withColumn("_index", daily_index())
+    batched = bulk.in_batches(logs, ["_index"], ["ts", "event_id"])
+    docs = document.with_document(
+        batched, DocumentOptions(render_message=False, render_template=False), common=template.common_templates(logs))
     doc_id = F.concat(F.col("pos").cast("string"), F.lit("_"), F.md5(F.col("event_id").cast("string")))
-    return batched.withColumn("action", bulk.action_line("index", F.col("_index"), doc_id=doc_id)).select(
+    return docs.withColumn("action", bulk.action_line("index", F.col("_index"), doc_id=doc_id)).select(
         "batch_id", "pos", "event_id", "action", "doc")
 
 
