@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SHOW_NULLS = {"ignoreNullFields": "false"}
+# Text that is the same inside a JSON string: no quote, backslash or control character.
+PLAIN_TEXT = r'^[^"\\\x00-\x1f]*\z'
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -22,16 +24,13 @@ def inside(text: Column) -> Column:
 
 
 def string_json(value: Column) -> Column:
-    """An escaped JSON string, or ``null``."""
-    return F.coalesce(F.to_json(value.cast("variant")), F.lit("null"))
+    """An escaped JSON string, or ``null``. Most text needs no escapes and is only quoted."""
+    return F.when(value.rlike(PLAIN_TEXT), F.concat(F.lit('"'), value, F.lit('"'))).otherwise(
+        F.coalesce(F.to_json(value.cast("variant")), F.lit("null")))
 
 
 def number_json(value: Column) -> Column:
     """Plain text of a double: ``2`` rather than ``2.0``, no exponent within usual sizes."""
-    return let(value, _number_text)
-
-
-def _number_text(value: Column) -> Column:
     size = F.abs(value)
     short = value.cast("string")
     plain = F.regexp_replace(short.try_cast("decimal(38,20)").cast("string"), "0+$", "")

@@ -6,13 +6,13 @@ from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from eventmill.model import RESPONSE_BODY
 from eventmill.operators.running import CHUNK, ROWS_PER_CHUNK, number_rows, plan_chunks
 from eventmill.options import MAXIMUM_BACKOFF_SECONDS, MINIMUM_BACKOFF_SECONDS
-from eventmill.session import attach
+from eventmill.session import attach, written
 
 # Where failures go, as a set of flags.
 WRITE_TO_SELF_LOG = 1
@@ -50,6 +50,11 @@ def deliver(requests: DataFrame, client_factory: Callable[[], Client], attempt:
     return requests.select("batch_id", "body").mapInPandas(send, RESPONSE)
 
 
+def sent(requests: DataFrame, client_factory: Callable[[], Client], attempt: int = 1) -> DataFrame:
+    """:func:`deliver`, run now: the answers are kept, so that reading them again sends nothing again."""
+    return written(deliver(requests, client_factory, attempt), "responses")
+
+
 def parsed(responses: DataFrame) -> DataFrame:
     """Responses with their ``errors`` flag and items."""
     body = F.from_json("response", RESPONSE_BODY)
@@ -205,3 +210,9 @@ def diagnostics(*kinds: tuple[str, DataFrame, Column]) -> DataFrame:
     for more in rows[1:]:
         out = out.unionByName(more)
     return out
+
+
+def observed(rows: DataFrame, observation: Observation, **conditions: Column) -> DataFrame:
+    """Count rows, and rows of each condition, while they pass through a job that runs anyway."""
+    counts = [F.count(F.when(condition, 1)).alias(name) for name, condition in conditions.items()]
+    return rows.observe(observation, F.count(F.lit(1)).alias("rows"), *counts)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -102,3 +102,9 @@ def with_message(events: DataFrame, common: Sequence[str] | None = None) -> Data
         common = common_templates(events)
     texts = message_texts(F.col("message_template"), F.col("properties"), common)
     return events.withColumn("_texts", texts).select("*", "_texts.message", "_texts.renderings").drop("_texts")
+
+
+def custom_document(events: DataFrame, formatter: Callable[[DataFrame], Column], out: str = "doc") -> tuple[DataFrame, DataFrame]:
+    """Documents of a caller's own formatter: those that are valid JSON, and the events whose are not."""
+    made = events.withColumn(out, formatter(events)).withColumn("_valid", F.try_parse_json(out).isNotNull())
+    return made.filter("_valid").drop("_valid"), made.filter(~F.coalesce("_valid", F.lit(False))).drop("_valid")

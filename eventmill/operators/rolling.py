@@ -20,14 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from eventmill.operators.running import CHUNK, ROWS_PER_CHUNK, plan_chunks
+from eventmill.operators.running import CHUNK, plan_chunks
 from eventmill.session import written
 
 # Workers need not have this package installed to run its functions.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Tables combined in one group, which bounds what a task holds.
+# Tables combined in one group, and rows of a range: both bound what a task holds.
 FAN_IN = 8
+ROWS_PER_RANGE = 1_000_000
 
 
 def range_table(sizes: np.ndarray, limit: int) -> pd.DataFrame:
@@ -96,7 +97,7 @@ def numbered(sizes: np.ndarray, used: int, number: int, limit: int) -> np.ndarra
 
 
 def rolling_sequences(
-    lines: DataFrame, keys: list[str], order: list[str], size: str, limit_bytes: int, rows_per_chunk: int = ROWS_PER_CHUNK
+    lines: DataFrame, keys: list[str], order: list[str], size: str, limit_bytes: int, rows_per_chunk: int = ROWS_PER_RANGE
 ) -> DataFrame:
     """Adds ``sequence``: the file of its writer (the keys) an event lands in. Sizes are not negative."""
     lines = lines.select(*keys, *order, size)

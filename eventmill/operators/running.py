@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_CHUNK = 4_000_000
-MAX_CHUNKS = 32_768
-SAMPLES_PER_CHUNK = 16
+MAX_CHUNKS = 131_072
+SAMPLES_PER_CHUNK = 8
 
 CHUNK = "_chunk"
 

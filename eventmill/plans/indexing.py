@@ -9,6 +9,7 @@ from eventmill.functions.template import common_templates
 from eventmill.operators.bulk import action_line, durable_id, in_batches, request_lines
 from eventmill.operators.document import with_document
 from eventmill.operators.filters import at_least, fits
+from eventmill.operators.retention import check_shippable
 from eventmill.operators.routing import buffered_index, decided_index, pipeline_name
 from eventmill.options import BatchOptions, DocumentOptions, RouteOptions, ShippingOptions
 
@@ -52,20 +53,24 @@ def direct_requests(
 
 def durable_requests(
     lines: DataFrame, routes: RouteOptions = RouteOptions(), batches: BatchOptions = BatchOptions(),
-    shipping: ShippingOptions = ShippingOptions(), type_name: Column | None = None,
+    shipping: ShippingOptions = ShippingOptions(), type_name: Column | None = None, index_decider: Column | None = None,
 ) -> DataFrame:
     """Request rows of durable mode from ``lines(file_name, line, start_offset, next_offset)``.
 
-    The index comes from the file's date. Lines over the size limit count for
+    The index comes from the file's date, or from a decider over the file and
+    the raw line. Lines over the size limit count for
     their batch but are not sent; positions are those among the lines sent.
     """
+    check_shippable(shipping.rolling_interval)
     batched = in_batches(lines, ["file_name"], ["start_offset"], batches.posting_limit)
     sized = batched
     if batches.event_bytes_limit is not None:
         in_batch = Window.partitionBy("file_name", "batch_no").orderBy("start_offset")
         sized = batched.filter(fits(F.col("line"), batches.event_bytes_limit)).withColumn(
             "pos", F.row_number().over(in_batch) - 1)
-    index = buffered_index(F.col("file_name"), shipping.rolling_interval, routes.index_format)
+    index = index_decider
+    if index is None:
+        index = buffered_index(F.col("file_name"), shipping.rolling_interval, routes.index_format)
     doc_id = durable_id(F.col("pos"), F.col("file_name"), F.col("start_offset"))
     return sized.select(
         "batch_id", "pos", "file_name", "start_offset", "next_offset", index.alias("_index"), doc_id.alias("doc_id"),

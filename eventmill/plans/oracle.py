@@ -147,6 +147,8 @@ FROM log_events GROUP BY 1""",
     "document_delimited": after(f"d AS (SELECT event_id, {document(message=False)} AS members FROM log_events)")
     + "SELECT event_id, members, '{' || members || '};' || chr(10) AS delimited FROM d",
     "build_document": after() + f"SELECT event_id, '{{' || {document()} || '}}' AS doc FROM log_events",
+    "documents_read_back": after()
+    + f"""SELECT event_id, epoch_us(ts) AS micros, level, {MESSAGE} AS message, CAST(least(chain_len, 21) AS INTEGER) AS n_exceptions FROM log_events""",
     "document_renderings": after() + f"SELECT event_id, {RENDERINGS} AS renderings FROM log_events",
     "render_message": after() + f"SELECT event_id, {MESSAGE} AS message FROM log_events",
     "template_token_usage": after(

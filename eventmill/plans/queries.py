@@ -12,6 +12,7 @@ from eventmill.functions.jsontext import string_json
 from eventmill.operators import bulk, delivery, document, exceptions, filters, mapping, retention, rolling, routing
 from eventmill.operators.running import plan_chunks
 from eventmill.options import DocumentOptions, RouteOptions
+from eventmill.plans import shipping
 from eventmill.plans.stub import RuleClient
 from eventmill.session import new_folder
 from eventmill.sources import buffer, store, views
@@ -182,6 +183,17 @@ def build_document(spark, folder):
     return documents_of(spark, folder).select("event_id", "doc")
 
 
+@query
+def documents_read_back(spark, folder):
+    path = new_folder(spark, "documents")
+    docs = documents_of(spark, folder).select("event_id", daily_index().alias("_index"), "doc")
+    store.write_documents(docs, path)
+    found = store.typed(store.read_documents(spark, path, "logstash-*"))
+    return found.select(
+        "event_id", F.unix_micros("`@timestamp`").alias("micros"), "level", "message",
+        F.coalesce(F.size("exceptions"), F.lit(0)).alias("n_exceptions"))
+
+
 @query
 def document_renderings(spark, folder):
     events = views.with_payload(views.log_events(spark, folder, heavy=True))
@@ -353,14 +365,10 @@ def _stub_requests(spark, folder):
         "batch_id", "pos", "event_id", "action", "doc")
 
 
-def _bodies(rows):
-    return bulk.request_bodies(rows.withColumn("lines", bulk.request_lines(F.col("action"), F.col("doc"))))
-
-
 @query
 def deliver_with_stub(spark, folder):
-    answers = delivery.parsed(delivery.deliver(_bodies(_stub_requests(spark, folder)), RuleClient))
-    items = delivery.response_items(answers, only_errors=False)
+    outcome = shipping.ship_direct_rows(_stub_requests(spark, folder), RuleClient)
+    items = delivery.response_items(outcome.responses, only_errors=False)
     return items.select("batch_id", "pos", "status")
 
 
@@ -400,15 +408,12 @@ def route_failures(spark, folder):
 
 @query
 def clean_and_resend(spark, folder):
-    rows = _stub_requests(spark, folder)
-    answers = delivery.parsed(delivery.deliver(_bodies(rows), RuleClient))
-    failed = delivery.failures_by_id(rows, answers)
-    fixed = delivery.cleaned(failed, lambda row, status, error: F.regexp_replace(row, r'"k":"s(\d+)"', r'"k":$1'))
-    again = delivery.parsed(delivery.deliver(_bodies(fixed), RuleClient, attempt=2))
-    items = delivery.failed_items(again)
-    resent = fixed.select("batch_id", "pos", "event_id", F.col("status").alias("first_status"))
-    return resent.join(items.select("batch_id", "pos", "status"), ["batch_id", "pos"], "left").select(
-        "event_id", "first_status", F.coalesce("status", F.lit(201)).alias("second_status"))
+    outcome = shipping.ship_durable_rows(
+        _stub_requests(spark, folder), RuleClient,
+        cleaner=lambda row, status, error: F.regexp_replace(row, r'"k":"s(\d+)"', r'"k":$1'))
+    still = delivery.failed_items(outcome.resent).select("batch_id", "pos", F.col("status").alias("second"))
+    return outcome.item_failures.join(still, ["batch_id", "pos"], "left").select(
+        "event_id", F.col("status").alias("first_status"), F.coalesce("second", F.lit(201)).alias("second_status"))
 
 
 @query

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventmill.model import DOCUMENT
+
 INDEX = "_index"
 
 
@@ -39,6 +41,17 @@ def read_documents(
     return table.filter(test)
 
 
+def write_dumps(dumps: DataFrame, path: str, mode: str = "append") -> None:
+    """Rejected payloads (see ``delivery.dump_rows``) as text files per HTTP status."""
+    dumps.select("http_status", F.col("payload").alias("value")).write.mode(mode).partitionBy("http_status").text(path)
+
+
+def typed(documents: DataFrame, doc: str = "doc") -> DataFrame:
+    """Documents read back under their explicit types; the JSON column gives way to its members."""
+    rest = [name for name in documents.columns if name != doc]
+    return documents.select(*rest, F.from_json(doc, DOCUMENT).alias("_d")).select(*rest, "_d.*")
+
+
 def counts(documents: DataFrame, index: str = INDEX) -> DataFrame:
     """Documents per index."""
     return documents.groupBy(index).agg(F.count(F.lit(1)).alias("n"))

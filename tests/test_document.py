@@ -123,6 +123,12 @@ def test_numbers(spark, value, text):
     assert frame.select(jsontext.number_json(F.col("v"))).first()[0] == text
 
 
+@pytest.mark.parametrize("text", ["", "plain", "é ü/", "end\n", "tab\t", 'q"', "back\\slash", "\u2028", "\x7f\x01", None])
+def test_every_string_is_valid_json(spark, text):
+    made = spark.createDataFrame([(text,)], "s string").select(jsontext.string_json(F.col("s"))).first()[0]
+    assert json.loads(made) == text
+
+
 def test_strings_and_fields(spark):
     text = 'q"\\\n\u0001é'
     frame = spark.createDataFrame([(text, '{"b":[1,2.50],"a":null,"c":{"x":"y"}}', "no json")], "s string, p string, q string")
