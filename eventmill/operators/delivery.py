@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from eventmill.model import RESPONSE_BODY
 from eventmill.operators.running import CHUNK, ROWS_PER_CHUNK, number_rows, plan_chunks
 from eventmill.options import MAXIMUM_BACKOFF_SECONDS, MINIMUM_BACKOFF_SECONDS
-from eventmill.session import attach, written
+from eventmill.session import attach, join_null_safe, written
 
 # Where failures go, as a set of flags.
 WRITE_TO_SELF_LOG = 1
@@ -76,7 +76,8 @@ def response_items(responses: DataFrame, op: str = "index", only_errors: bool =
 def failures_by_position(events: DataFrame, responses: DataFrame, op: str = "index") -> DataFrame:
     """Direct mode: item *i* of a response belongs to event *i* of its batch."""
     failed = response_items(responses, op).filter("error IS NOT NULL").select("batch_id", "pos", "status", "error")
-    return events.join(failed, ["batch_id", "pos"])
+    # Rejects are few beside the events, and each place occurs once.
+    return attach(events, failed, ["batch_id", "pos"], "inner", label="failed-items")
 
 
 def error_text(error: Column) -> Column:
@@ -97,8 +98,10 @@ def failed_items(responses: DataFrame, op: str = "index") -> DataFrame:
 
 def failures_by_id(events: DataFrame, responses: DataFrame, op: str = "index") -> DataFrame:
     """Failed items with the event at their position; items without one stay, for the report."""
-    kept = events.select("batch_id", "pos", *[c for c in events.columns if c not in ("batch_id", "pos")])
-    return failed_items(responses, op).join(kept, ["batch_id", "pos"], "left")
+    failed = written(failed_items(responses, op), "failed-items")
+    places = failed.select("batch_id", "pos").filter("pos IS NOT NULL").distinct()
+    hit = attach(events, places, ["batch_id", "pos"], "inner", label="failed-places")
+    return failed.join(hit, ["batch_id", "pos"], "left")
 
 
 def has_flag(flags: Column, flag: int) -> Column:
@@ -116,7 +119,7 @@ def failure_routes(failures: DataFrame, flags: int) -> dict[str, DataFrame]:
 def whole_batch_failures(events: DataFrame, responses: DataFrame) -> DataFrame:
     """Every event of a batch whose request failed as a whole."""
     lost = responses.filter(~F.col("success")).select("batch_id", "http_status")
-    return events.join(lost, "batch_id")
+    return attach(events, lost, ["batch_id"], "inner", label="lost-batches")
 
 
 class DeliveryFailed(RuntimeError):
@@ -189,7 +192,7 @@ def failure_runs(
         carried = offsets.select(
             key, CHUNK, "_before",
             F.coalesce(F.max(F.col("_before") + F.col("_last_here")).over(before), F.lit(0)).alias("_carried"))
-        rows = local.join(carried.hint("merge"), [key, CHUNK])
+        rows = join_null_safe(local, carried.hint("merge"), [key, CHUNK])
     since = F.col("_before") + F.col("_place") - F.coalesce(F.col("_before") + F.col("_last"), F.col("_carried"))
     return rows.select(*attempts.columns, since.cast("bigint").alias("failures_in_a_row"))
 

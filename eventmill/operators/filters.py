@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmill.functions.levels import level_at_least
-from eventmill.operators.running import ROWS_PER_CHUNK, number_rows_at_scale
+from eventmill.operators.running import CHUNK, ROWS_PER_CHUNK, number_rows, plan_chunks
 from eventmill.session import attach
 
 
@@ -56,13 +56,27 @@ def admitted(
 ) -> DataFrame:
     """The first ``limit`` events of each bucket; ``None`` admits all.
 
-    Counts per (bucket, range of the order) decide most ranges as a whole, so a
-    bucket of any size is spread over many tasks.
+    For data of more than one range, counts per (bucket, range of the order)
+    decide nearly all rows: ranges below the limit pass whole and those beyond
+    it are dropped whole, without a shuffle. Only the one range of a bucket in
+    which the limit is reached is put in order.
     """
     if limit is None:
         return events
-    return number_rows_at_scale(events, [bucket], order, "_place", rows_per_chunk).filter(
-        F.col("_place") <= limit).drop("_place")
+    chunk = plan_chunks(events, order, rows_per_chunk)
+    if chunk is None:
+        return number_rows(events, [bucket], order, "_place").filter(F.col("_place") <= limit).drop("_place")
+    cut = events.withColumn(CHUNK, chunk)
+    earlier = Window.partitionBy(bucket).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    counts = cut.groupBy(bucket, CHUNK).agg(F.count(F.lit(1)).alias("_rows")).withColumn(
+        "_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    reached = attach(
+        cut, counts, [bucket, CHUNK], "inner", spread_by=order[-1], null_safe=True, label="admission"
+    ).filter(F.col("_before") < limit)
+    fits_whole = F.col("_before") + F.col("_rows") <= limit
+    edge = number_rows(reached.filter(~fits_whole), [bucket], order, "_place").filter(
+        F.col("_before") + F.col("_place") <= limit)
+    return reached.filter(fits_whole).select(*events.columns).unionByName(edge.select(*events.columns))
 
 
 def admission_counts(events: DataFrame, bucket: str, limit: int | None) -> DataFrame:

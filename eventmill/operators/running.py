@@ -15,6 +15,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventmill.session import join_null_safe
+
 ROWS_PER_CHUNK = 4_000_000
 MAX_CHUNKS = 131_072
 SAMPLES_PER_CHUNK = 8
@@ -89,7 +91,7 @@ def running(
     )
     before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(
-        *[F.col(name).alias(f"_k_{name}") for name in parts],
+        *parts,
         *[F.sum(f"_t_{name}").over(before).alias(f"_c_{name}") for name in sums],
         *[F.max(f"_t_{name}").over(before).alias(f"_c_{name}") for name in maxima],
     )
@@ -99,8 +101,7 @@ def running(
         | {name: F.max(value).over(here) for name, value in maxima.items()}
     )
     # The window already distributes rows by (keys, chunk); the join reuses that.
-    same = [F.col(name).eqNullSafe(F.col(f"_k_{name}")) for name in parts]
-    joined = local.join(carried.hint("merge"), same, "left")
+    joined = join_null_safe(local, carried.hint("merge"), parts, "left")
     return joined.withColumns(
         {name: F.col(name) + F.coalesce(F.col(f"_c_{name}"), F.lit(0)) for name in sums}
         | {name: F.greatest(name, f"_c_{name}") for name in maxima}

@@ -57,12 +57,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on columns where a missing key matches a missing key; keeps one copy of the keys."""
+    renamed = right.withColumnsRenamed({name: f"_r_{name}" for name in on})
+    same = [F.col(name).eqNullSafe(F.col(f"_r_{name}")) for name in on]
+    return left.join(renamed, same, how).drop(*[f"_r_{name}" for name in on])
+
+
 def attach(
     big: DataFrame,
     small: DataFrame,
     on: Sequence[str],
     how: str = "left",
     spread_by: str | None = None,
+    null_safe: bool = False,
     max_broadcast_rows: int = BROADCAST_ROWS,
     label: str = "attach",
 ) -> DataFrame:
@@ -75,14 +83,12 @@ def attach(
     ``big``), so a key holding a third of the rows still uses many tasks.
     """
     small = written(small, label)
+    join = join_null_safe if null_safe else DataFrame.join
     if small.count() <= max_broadcast_rows:
-        return big.join(F.broadcast(small), list(on), how)
+        return join(big, F.broadcast(small), list(on), how)
     if spread_by is None:
-        return big.join(small, list(on), how)
+        return join(big, small, list(on), how)
     slice_of_row = F.pmod(F.xxhash64(spread_by), F.lit(SALT_SLICES)).cast("int")
     slices = F.explode(F.sequence(F.lit(0), F.lit(SALT_SLICES - 1)))
-    return (
-        big.withColumn("_slice", slice_of_row)
-        .join(small.withColumn("_slice", slices), [*on, "_slice"], how)
-        .drop("_slice")
-    )
+    return join(
+        big.withColumn("_slice", slice_of_row), small.withColumn("_slice", slices), [*on, "_slice"], how).drop("_slice")
