@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from eventmill.model import RESPONSE_BODY
 from eventmill.operators.running import CHUNK, ROWS_PER_CHUNK, number_rows, plan_chunks
 from eventmill.options import MAXIMUM_BACKOFF_SECONDS, MINIMUM_BACKOFF_SECONDS
-from eventmill.session import attach, join_null_safe, written
+from eventmill.session import KEY, attach, whole_key, written
 
 # Where failures go, as a set of flags.
 WRITE_TO_SELF_LOG = 1
@@ -178,21 +178,21 @@ def failure_runs(
     hands on its row count and the place of its last success.
     """
     chunk = plan_chunks(attempts, order, rows_per_chunk)
-    placed = attempts.withColumn(CHUNK, F.lit(0) if chunk is None else chunk)
-    placed = number_rows(placed, [key, CHUNK], order, "_place")
+    cut = attempts.withColumns({KEY: whole_key([key]), CHUNK: F.lit(0) if chunk is None else chunk})
+    placed = number_rows(cut, [KEY, CHUNK], order, "_place")
     last = F.max(F.when(F.col(success), F.col("_place")))
-    here = Window.partitionBy(key, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    here = Window.partitionBy(KEY, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = placed.withColumn("_last", last.over(here))
     if chunk is None:
         rows = local.withColumns({"_before": F.lit(0), "_carried": F.lit(0)})
     else:
-        totals = placed.groupBy(key, CHUNK).agg(F.max("_place").alias("_rows"), last.alias("_last_here"))
-        before = Window.partitionBy(key).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        totals = placed.groupBy(KEY, CHUNK).agg(F.max("_place").alias("_rows"), last.alias("_last_here"))
+        before = Window.partitionBy(KEY).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
         offsets = totals.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
         carried = offsets.select(
-            key, CHUNK, "_before",
+            KEY, CHUNK, "_before",
             F.coalesce(F.max(F.col("_before") + F.col("_last_here")).over(before), F.lit(0)).alias("_carried"))
-        rows = join_null_safe(local, carried.hint("merge"), [key, CHUNK])
+        rows = local.join(carried.hint("merge"), [KEY, CHUNK])
     since = F.col("_before") + F.col("_place") - F.coalesce(F.col("_before") + F.col("_last"), F.col("_carried"))
     return rows.select(*attempts.columns, since.cast("bigint").alias("failures_in_a_row"))
 

@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventmill.session import join_null_safe
+from eventmill.session import KEY, whole_key
 
 ROWS_PER_CHUNK = 4_000_000
 MAX_CHUNKS = 131_072
@@ -60,7 +60,8 @@ def _position(bounds: Column, count: int, key: Column) -> Column:
         inside = (ahead <= F.size(bounds)) & (F.get(bounds, ahead - 1) <= key)
         return F.when(inside, ahead).otherwise(found)
 
-    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), advance)
+    # Never null, so that joins on the position do not work it out once more to test that.
+    return F.coalesce(F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), advance), F.lit(0))
 
 
 def running(
@@ -83,13 +84,13 @@ def running(
             {name: F.sum(value).over(here) for name, value in sums.items()}
             | {name: F.max(value).over(here) for name, value in maxima.items()}
         )
-    cut = df.withColumn(CHUNK, chunk)
-    parts = [*keys, CHUNK]
+    cut = df.withColumns({KEY: whole_key(keys), CHUNK: chunk})
+    parts = [KEY, CHUNK]
     totals = cut.groupBy(*parts).agg(
         *[F.sum(value).alias(f"_t_{name}") for name, value in sums.items()],
         *[F.max(value).alias(f"_t_{name}") for name, value in maxima.items()],
     )
-    before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(KEY).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(
         *parts,
         *[F.sum(f"_t_{name}").over(before).alias(f"_c_{name}") for name in sums],
@@ -101,7 +102,7 @@ def running(
         | {name: F.max(value).over(here) for name, value in maxima.items()}
     )
     # The window already distributes rows by (keys, chunk); the join reuses that.
-    joined = join_null_safe(local, carried.hint("merge"), parts, "left")
+    joined = local.join(carried.hint("merge"), parts)
     return joined.withColumns(
         {name: F.col(name) + F.coalesce(F.col(f"_c_{name}"), F.lit(0)) for name in sums}
         | {name: F.greatest(name, f"_c_{name}") for name in maxima}

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A side is broadcast only when it was written out and counted below this bound.
@@ -57,11 +57,22 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+KEY = "_key"
+
+
+def whole_key(names: Sequence[str]) -> Column:
+    """The key columns as one struct: never null itself, and missing parts are equal to each other.
+
+    Unlike a null-safe comparison it is a plain join key, so a join on it reuses
+    the distribution of a window over it.
+    """
+    return F.struct(*names) if names else F.struct(F.lit(0).alias("all"))
+
+
 def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Join on columns where a missing key matches a missing key; keeps one copy of the keys."""
-    renamed = right.withColumnsRenamed({name: f"_r_{name}" for name in on})
-    same = [F.col(name).eqNullSafe(F.col(f"_r_{name}")) for name in on]
-    return left.join(renamed, same, how).drop(*[f"_r_{name}" for name in on])
+    keyed = right.withColumn(KEY, whole_key(on)).drop(*on)
+    return left.withColumn(KEY, whole_key(on)).join(keyed, [KEY], how).drop(KEY)
 
 
 def attach(
