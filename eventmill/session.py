@@ -9,8 +9,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A side is broadcast only when it was written out and counted below this bound.
+# A side is broadcast only when it was written out and measured within both bounds.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 # Copies of the other side (and slices of a hot key) when the bound does not hold.
 SALT_SLICES = 16
 
@@ -87,7 +88,7 @@ def attach(
 ) -> DataFrame:
     """Join ``big`` to a side expected to be small, after measuring that side.
 
-    The small side is computed once and counted. Within the bound it is
+    The small side is computed once and measured. Within the bounds it is
     broadcast, so ``big`` is not shuffled and a hot key stays spread over the
     scan tasks. Beyond it the join shuffles with every key cut into
     ``SALT_SLICES`` slices by ``spread_by`` (a high-cardinality column of
@@ -95,7 +96,7 @@ def attach(
     """
     small = written(small, label)
     join = join_null_safe if null_safe else DataFrame.join
-    if small.count() <= max_broadcast_rows:
+    if _small_enough(small, max_broadcast_rows):
         return join(big, F.broadcast(small), list(on), how)
     if spread_by is None:
         return join(big, small, list(on), how)
@@ -103,3 +104,11 @@ def attach(
     slices = F.explode(F.sequence(F.lit(0), F.lit(SALT_SLICES - 1)))
     return join(
         big.withColumn("_slice", slice_of_row), small.withColumn("_slice", slices), [*on, "_slice"], how).drop("_slice")
+
+
+def _small_enough(table: DataFrame, max_rows: int) -> bool:
+    """Rows first, which the files tell without reading them; then the bytes of their text."""
+    if table.count() > max_rows:
+        return False
+    size = table.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return size <= BROADCAST_BYTES
