@@ -13,7 +13,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -141,15 +140,15 @@ def learn(docs: DataFrame) -> Model:
     # One vector for each language and partition, added up bucket by bucket in the tasks of the next stage.
     parts = rows.mapInArrow(count, "lang string, counts binary")
 
-    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
-            for lang, found in zip(batch["lang"], batch["counts"]):
-                found = np.frombuffer(found, np.int64)
+            for lang, counted in zip(batch.column("lang").to_pylist(), batch.column("counts").to_pylist()):
+                found = np.frombuffer(counted, np.int64)
                 sums[lang] = sums[lang] + found if lang in sums else found
-        yield pd.DataFrame({"lang": list(sums), "counts": [v.tobytes() for v in sums.values()]})
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["lang", "counts"])
 
-    summed = parts.repartition(F.col("lang"), F.spark_partition_id() % 16).mapInPandas(add, "lang string, counts binary")
+    summed = parts.repartition(F.col("lang"), F.spark_partition_id() % 16).mapInArrow(add, "lang string, counts binary")
     counts: dict[str, np.ndarray] = {}
     for row in summed.toLocalIterator():
         found = np.frombuffer(row.counts, np.int64)
@@ -165,9 +164,11 @@ def predictor(spark, model: Model):
     """A function of a text Column that gives struct(lang, score, languages)."""
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang string, score double, languages string")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang", "score", "languages"])
+    @F.arrow_udf("lang string, score double, languages string")
+    def predict(texts: pa.Array) -> pa.Array:
+        found = [shared.value.predict(t.as_py()) for t in texts]
+        kinds = {"lang": pa.string(), "score": pa.float64(), "languages": pa.string()}
+        return pa.StructArray.from_arrays([pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds.values())], list(kinds))
 
     return predict
 
