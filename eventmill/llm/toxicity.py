@@ -4,8 +4,8 @@ Two zstandard dictionaries are trained on labelled text: one on ordinary text,
 one on the same with what is particular to toxic text in place of as much of the
 ordinary. A window of the text - a word, between two copies of a carrier that
 both dictionaries hold, so that its bytes alone decide - is compressed with
-both, and the difference of the lengths is its gain. How many windows of a
-document reach which gain, in numbers and as shares, is calibrated to a
+both, and the difference of the lengths is its gain. How many different windows of
+a document reach which gain, in numbers and as shares, is calibrated to a
 probability on labelled rows that the dictionaries were not trained on.
 """
 
@@ -35,6 +35,8 @@ COMMON, OWN = 16_384, 4_096
 #: A word, or a beginning of so many letters, is particular to toxic text if so large a share of its documents holds it, and no ordinary one of the sample.
 PARTICULAR, BEGINNINGS = 0.005, (4, 5, 6)
 GAINS = (2, 3, 4, 5, 6, 8)
+#: A feature that hardly varies in the labelled rows is not stretched beyond this.
+SPREAD = 0.5
 HELD_OUT = (3, 1)
 THRESHOLD = 0.7
 #: Longer words are cut; words whose gain a worker remembers.
@@ -88,10 +90,10 @@ class Gains:
         return np.array([known[w] for w in words], np.int64)
 
     def features(self, text: str) -> list[float]:
-        words = words_of(text)
+        words = sorted(set(words_of(text)))  # a word repeated all over says no more than the word
         gains = self.of(words)
         reached = [int((gains >= g).sum()) for g in GAINS]
-        return [1.0, *np.log1p(reached), *(np.log((n + 0.1) / (len(words) + 10)) for n in reached),
+        return [1.0, *np.log1p(reached), *(float(np.log1p(100 * n / (len(words) + 10))) for n in reached),
                 float(gains.max(initial=0)), float(np.log1p(len(words)))]
 
 
@@ -150,7 +152,7 @@ def calibrate(model: Model, toxic: list[str], ordinary: list[str]) -> Model:
     gains = Gains(model)
     x = np.array([gains.features(t) for t in [*toxic, *ordinary]])
     y = np.array([1.0] * len(toxic) + [0.0] * len(ordinary))
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
+    mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), SPREAD)
     mean[0], scale[0] = 0.0, 1.0
     weights = fit((x - mean) / scale, y)
     return Model(model.toxic, model.ordinary, model.carrier, tuple(mean), tuple(scale), tuple(weights))
