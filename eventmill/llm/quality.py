@@ -24,7 +24,7 @@ WINDOW = 5
 #: Steps of expectation-maximisation at most, and the change of every estimate that ends it.
 STEPS, CLOSE = 20, 2e-3
 #: Where estimation starts: the share of good documents, each vote's rate on good and on bad ones, and for how many votes that counts.
-START_GOOD, START_RATES, PRIOR_VOTES = 0.85, {1: (0.996, 0.83), -1: (0.004, 0.17)}, 20.0
+START_GOOD, START_RATES, PRIOR_VOTES = 0.7, {1: (0.998, 0.83), -1: (0.002, 0.17)}, 20.0
 VOTES = (-1, 1)
 KEPT_FROM = 0.5
 
@@ -47,6 +47,7 @@ def rules() -> list[Rule]:
     letters = F.greatest(F.col("n_letters"), F.lit(1))
     lines = F.greatest(F.col("n_lines"), F.lit(1))
     share = lambda part, whole: F.col(part) / whole
+    characters = F.greatest(F.col("word_chars"), F.lit(1))
     long = F.col("n_words") >= 10
     return [
         Rule("length", F.col("n_words") < 10, F.col("n_words") >= 40),
@@ -56,8 +57,7 @@ def rules() -> list[Rule]:
         Rule("repeated_words", share("n_repeat_words", words) > 0.2, share("n_repeat_words", words) < 0.05),
         Rule("capitals", long & (share("n_capitals", letters) > 0.4), share("n_capitals", letters) < 0.15),
         Rule("shouting", share("n_marks", words) > 0.3, share("n_marks", words) < 0.05),
-        Rule("letters", share("n_letters", F.greatest(F.col("word_chars"), F.lit(1))) < 0.4,
-             share("n_letters", F.greatest(F.col("word_chars"), F.lit(1))) > 0.85),
+        Rule("letters", (F.col("n_words") >= 30) & (share("n_letters", characters) < 0.85), share("n_letters", characters) > 0.92),
         Rule("doubled_words", long & (share("n_doubled", words) > 0.2), share("n_doubled", words) < 0.05),
     ]
 
