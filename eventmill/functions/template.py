@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import json
 import re
-from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -21,10 +20,10 @@ from eventmill.functions.jsontext import let, string_json
 TOKEN = r"(\{\{|\}\}|\{[@$]?\w+(?:,-?\d+)?(?::[^{}]*)?\}|[^{}]+|[{}])"
 HOLE = r"^\{[@$]?(\w+)(?:,(-?\d+))?(?::([^{}]*))?\}$"
 
-MAX_FRACTION_DIGITS = 9
-# How many templates get an expression of their own, and the rows looked at to choose them.
+# Beyond this a format is left out; a decimal has 38 digits, and as many are left for the whole part.
+MAX_FRACTION_DIGITS = 18
+# How many templates get an expression of their own.
 COMMON_TEMPLATES = 64
-COMMON_SAMPLE_ROWS = 10_000
 
 
 def tokens(template: Column) -> Column:
@@ -60,12 +59,24 @@ def parsed_tokens(template: Column) -> Column:
     return F.transform(tokens(template), one)
 
 
+def _rounded(text: Column, places: int) -> Column:
+    """Number text with so many fraction digits, rounded once, halves away from zero.
+
+    Numbers too large for that many digits have no fraction left to round.
+    """
+    number = text.try_cast(f"decimal(38,{places})").cast("string")
+    if not places:
+        return number
+    large = F.concat(text.try_cast("decimal(38,0)").cast("string"), F.lit("." + "0" * places))
+    return F.coalesce(number, large)
+
+
 def _fixed(number: Column, digits: Column) -> Column:
-    """``number`` with a varying count of fraction digits, halves away from zero."""
+    """Number text with a varying count of fraction digits."""
     def pick(count: Column) -> Column:
-        text = F.when(count == 0, number.cast("decimal(28,0)").cast("string"))
+        text = F.when(count == 0, _rounded(number, 0))
         for places in range(1, MAX_FRACTION_DIGITS + 1):
-            text = text.when(count == places, number.cast(f"decimal({28 + places},{places})").cast("string"))
+            text = text.when(count == places, _rounded(number, places))
         return text
 
     return let(digits, pick)
@@ -83,21 +94,25 @@ def _padded(text: Column, whole_digits: Column) -> Column:
 
 def _grouped(text: Column) -> Column:
     """Thousands separators in the whole part."""
-    return F.regexp_replace(text, r"(?<=\d)(?<!\.\d{0,9})(?=(?:\d{3})+(?:\.|$))", ",")
+    return F.regexp_replace(text, r"(?<=\d)(?<!\.\d{0,18})(?=(?:\d{3})+(?:\.|$))", ",")
+
+
+def _is_whole(text: Column) -> Column:
+    """Whether number text has no fraction: written without one, or with zeros alone."""
+    return F.coalesce(text.try_cast("decimal(38,0)") == text.try_cast("decimal(38,18)"), text.rlike(r"^-?\d+$"))
 
 
 def formatted_number(text: Column, fmt: Column) -> Column:
     """Number text under ``0``-patterns, ``Fn``, ``Nn`` or ``Dn``; other formats leave it as it is."""
-    number = text.try_cast("decimal(38,10)")
     fraction = F.when(fmt.contains("."), F.length(F.substring_index(fmt, ".", -1))).otherwise(0)
     whole = F.length(F.substring_index(fmt, ".", 1))
     precision = F.coalesce(F.substring(fmt, 2, 2).try_cast("int"), F.lit(2))
     return F.coalesce(
-        F.when(fmt.rlike(r"^0+(\.0+)?$"), _padded(_fixed(number, fraction), whole))
-        .when(fmt.rlike(r"^[Ff]\d?$"), _fixed(number, precision))
-        .when(fmt.rlike(r"^[Nn]\d?$"), _grouped(_fixed(number, precision)))
-        .when(fmt.rlike(r"^[Dd]\d{0,2}$") & (number == F.floor(number)),
-              _padded(number.cast("decimal(28,0)").cast("string"), F.coalesce(F.substring(fmt, 2, 2).try_cast("int"), F.lit(0)))),
+        F.when(fmt.rlike(r"^0+(\.0+)?$"), _padded(_fixed(text, fraction), whole))
+        .when(fmt.rlike(r"^[Ff]\d?$"), _fixed(text, precision))
+        .when(fmt.rlike(r"^[Nn]\d?$"), _grouped(_fixed(text, precision)))
+        .when(fmt.rlike(r"^[Dd]\d{0,2}$") & _is_whole(text),
+              _padded(_rounded(text, 0), F.coalesce(F.substring(fmt, 2, 2).try_cast("int"), F.lit(0)))),
         text,
     )
 
@@ -168,23 +183,20 @@ def _renderings(filled: Column) -> Column:
 
 
 def common_templates(events: DataFrame, template: str = "message_template", count: int = COMMON_TEMPLATES) -> list[str]:
-    """Templates seen most often in the first rows.
+    """The templates that most events have, counted over all of them.
 
     Only a hint for :func:`message_texts`: other templates take the general
-    way and give the same result, so the choice never changes an output. Spark
-    reads just the partitions that hold these rows.
+    way and give the same result, so the choice never changes an output. The
+    count reads one column and sums up before its shuffle; ``count`` rows come back.
     """
-    head = events.select(template).limit(COMMON_SAMPLE_ROWS).collect()
-    seen = Counter(row[0] for row in head if row[0] is not None)
-    return [text for text, _ in seen.most_common(count)]
+    seen = events.where(F.col(template).isNotNull()).groupBy(template).agg(F.count(F.lit(1)).alias("n"))
+    return [row[0] for row in seen.orderBy(F.desc("n"), template).limit(count).collect()]
 
 
 def _own_number(value: Column, fmt: str) -> Column:
     """:func:`formatted_number` for a format known beforehand: only what it needs."""
-    number = value.try_cast("decimal(38,10)")
-
     def fixed(places: int) -> Column:
-        return number.cast(f"decimal({28 + places},{places})").cast("string")
+        return _rounded(value, places)
 
     kind, digits = fmt[:1].upper(), fmt[1:]
     if re.fullmatch(r"0+(\.0+)?", fmt):
@@ -197,7 +209,7 @@ def _own_number(value: Column, fmt: str) -> Column:
         text = fixed(int(digits or 2))
         return text if kind == "F" else _grouped(text)
     if kind == "D" and re.fullmatch(r"\d{0,2}", digits):
-        return F.when(number == F.floor(number), _padded(number.cast("decimal(28,0)").cast("string"), F.lit(int(digits or 0))))
+        return F.when(_is_whole(value), _padded(fixed(0), F.lit(int(digits or 0))))
     return value
 
 

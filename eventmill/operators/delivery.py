@@ -199,11 +199,13 @@ def failure_runs(
 
 def committed_positions(attempts: DataFrame, file: str = "file", order: str = "attempt_no", success: str = "success",
                         offset: str = "next_offset") -> DataFrame:
-    """Per file, the position reached before its first failed attempt (0 if none)."""
-    first_failed = attempts.filter(~F.col(success)).groupBy(file).agg(F.min(order).alias("_stop"))
-    held = attach(attempts.select(file, order, offset), first_failed, [file], spread_by=order, label="first-failed")
-    before = F.col("_stop").isNull() | (F.col(order) < F.col("_stop"))
-    return held.groupBy(file).agg(F.coalesce(F.max(F.when(before, F.col(offset))), F.lit(0)).alias("committed"))
+    """Per file, the position that the last successful attempt reached (0 if none).
+
+    A failed batch is sent again from where it starts, so a later success stands
+    for everything before it.
+    """
+    reached = F.max(F.when(F.col(success), F.struct(order, offset)))[offset]
+    return attempts.groupBy(file).agg(F.coalesce(reached, F.lit(0)).alias("committed"))
 
 
 def diagnostics(*kinds: tuple[str, DataFrame, Column]) -> DataFrame:

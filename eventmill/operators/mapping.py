@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from eventmill.functions.jsontext import let
 from eventmill.model import EXCEPTION
 from eventmill.options import KEYWORD_LENGTH_LIMIT
-from eventmill.session import attach
+from eventmill.session import attach, written
 
-MAX_DEPTH = 8
+# Levels opened in one plan; deeper documents take another round.
+LEVELS = 4
 
 
 def field_type(kind: Column) -> Column:
@@ -23,27 +24,42 @@ def field_type(kind: Column) -> Column:
         .when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), "double").when(kind.rlike("^(OBJECT|ARRAY)"), "object"))
 
 
-def field_values(documents: DataFrame, body: str, keys: Sequence[str], prefix: str = "", depth: int = MAX_DEPTH) -> DataFrame:
+def field_values(documents: DataFrame, body: str, keys: Sequence[str], prefix: str = "") -> DataFrame:
     """One row per leaf of each JSON body: keys, ``path``, ``type``.
 
-    Objects are opened level by level with lateral explodes in one linear plan;
-    elements of an array count under the array's own path. What is still an
-    object after ``depth`` levels is reported as such.
+    Objects are opened level by level until none is left, ``LEVELS`` of them in
+    one linear plan of lateral explodes; only what is still open goes on to the
+    next round. Elements of an array count under the array's own path; an empty
+    object or array is a leaf of type object.
     """
+    rows = documents.select(*keys, F.lit(prefix).alias("path"), F.col(body).alias("body"))
+    leaves = None
+    while True:
+        opened = written(_opened(rows, keys), "fields")
+        found = opened.where("body IS NULL").select(*keys, "path", "type").filter("type IS NOT NULL")
+        leaves = found if leaves is None else leaves.unionAll(found)
+        rows = opened.where("body IS NOT NULL").select(*keys, "path", "body")
+        if rows.isEmpty():
+            return leaves
+
+
+def _opened(documents: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, path, type, body) after ``LEVELS`` levels; ``body`` is the JSON text of what is still an object or array."""
     spark = documents.sparkSession
 
     def described(rows: DataFrame, path: Column, value: Column) -> DataFrame:
         rows = rows.select(*keys, path.alias("_path"), value.alias("_value"))
         return rows.withColumn("_kind", F.schema_of_variant("_value"))
 
-    rows = described(documents, F.lit(prefix), F.try_parse_json(body))
-    for _ in range(depth):
-        open_value = F.when(F.col("_kind").startswith("OBJECT") | F.col("_kind").startswith("ARRAY"), F.col("_value"))
-        rows = rows.lateralJoin(spark.tvf.variant_explode_outer(open_value.outer()))
+    nested = F.col("_kind").startswith("OBJECT") | F.col("_kind").startswith("ARRAY")
+    rows = described(documents, F.col("path"), F.try_parse_json("body"))
+    for _ in range(LEVELS):
+        rows = rows.lateralJoin(spark.tvf.variant_explode_outer(F.when(nested, F.col("_value")).outer()))
         name = F.when(F.col("key").isNull(), F.col("_path")).when(F.col("_path") == "", F.col("key")).otherwise(
             F.concat(F.col("_path"), F.lit("."), F.col("key")))
         rows = described(rows, name, F.coalesce(F.col("value"), F.col("_value")))
-    return rows.select(*keys, F.col("_path").alias("path"), field_type(F.col("_kind")).alias("type")).filter("type IS NOT NULL")
+    filled = nested & ~F.to_json("_value").isin("{}", "[]")
+    return rows.select(*keys, F.col("_path").alias("path"), field_type(F.col("_kind")).alias("type"), F.when(filled, F.to_json("_value")).alias("body"))
 
 
 def inventory(fields: DataFrame) -> DataFrame:

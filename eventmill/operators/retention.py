@@ -67,23 +67,25 @@ def evictions(files: DataFrame, positions: DataFrame, source: str = "source", fi
     """What an idle shipper does per source.
 
     ``files(source, file_name, file_rank, size_bytes)`` and one bookmark per
-    source in ``positions(source, bookmark_file, next_offset)``. Two files with
-    the first fully read: move on to the second. More than two: delete the oldest.
-    Only the count and the two oldest files of a source travel: the count is
-    pre-aggregated and the rank limit is applied before the shuffle.
+    source in ``positions(source, bookmark_file, next_offset)``. Without a
+    bookmark, or with one of a file that is gone, a shipper stands at the start
+    of the oldest file. As long as the file it stands in has more to send it
+    waits. Then, with two files and the first one read: move on to the second.
+    With more than two: delete the oldest.
     """
-    counts = files.groupBy(source).agg(F.count(F.lit(1)).alias("n_files"))
     pair = F.struct(order, file, "size_bytes")
-    oldest = (
-        files.withColumn("_place", F.row_number().over(Window.partitionBy(source).orderBy(order)))
-        .filter("_place <= 2").groupBy(source).agg(F.min(pair).alias("_first"), F.max(pair).alias("_second")))
-    state = counts.join(oldest, source).join(positions, source, "left")
-    read = (F.col("bookmark_file") == F.col(f"_first.{file}")) & (F.col("next_offset") >= F.col("_first.size_bytes"))
-    advance = (F.col("n_files") == 2) & F.coalesce(read, F.lit(False))
+    ends = files.groupBy(source).agg(F.count(F.lit(1)).alias("n_files"), F.min(pair).alias("_first"), F.max(pair).alias("_last"))
+    standing = positions.join(
+        files.select(source, F.col(file).alias("bookmark_file"), F.col("size_bytes").alias("_size")), [source, "bookmark_file"])
+    state = ends.join(standing.select(source, "bookmark_file", "next_offset", "_size"), source, "left")
+    at = F.coalesce("bookmark_file", F.col(f"_first.{file}"))
+    drained = F.coalesce("next_offset", F.lit(0)) >= F.coalesce("_size", F.col("_first.size_bytes"))
+    delete = drained & (F.col("n_files") > 2)
+    advance = drained & (F.col("n_files") == 2) & (at == F.col(f"_first.{file}"))
     return state.select(
         source, "n_files",
-        F.when(F.col("n_files") > 2, "delete").when(advance, "advance").otherwise("wait").alias("action"),
-        F.when(F.col("n_files") > 2, F.col(f"_first.{file}")).when(advance, F.col(f"_second.{file}")).alias("file"))
+        F.when(delete, "delete").when(advance, "advance").otherwise("wait").alias("action"),
+        F.when(delete, F.col(f"_first.{file}")).when(advance, F.col(f"_last.{file}")).alias("file"))
 
 
 def rolling_bucket(ts: Column, interval: str = "Day") -> Column:

@@ -51,6 +51,20 @@ def direct_requests(
         action_line(batches.op, F.col("_index"), pipeline=F.col("pipeline")).alias("action"), "doc")
 
 
+def undated_lines(
+    lines: DataFrame, routes: RouteOptions = RouteOptions(), shipping: ShippingOptions = ShippingOptions(), index_decider: Column | None = None,
+) -> DataFrame:
+    """Lines that no index can be told for, with a ``reason``: the rejects of :func:`durable_requests`."""
+    index = _line_index(routes, shipping, index_decider)
+    return lines.filter(index.isNull()).withColumn("reason", F.concat(F.lit("no date in file name "), F.col("file_name")))
+
+
+def _line_index(routes: RouteOptions, shipping: ShippingOptions, index_decider: Column | None) -> Column:
+    if index_decider is not None:
+        return index_decider
+    return buffered_index(F.col("file_name"), shipping.rolling_interval, routes.index_format)
+
+
 def durable_requests(
     lines: DataFrame, routes: RouteOptions = RouteOptions(), batches: BatchOptions = BatchOptions(),
     shipping: ShippingOptions = ShippingOptions(), type_name: Column | None = None, index_decider: Column | None = None,
@@ -58,19 +72,18 @@ def durable_requests(
     """Request rows of durable mode from ``lines(file_name, line, start_offset, next_offset)``.
 
     The index comes from the file's date, or from a decider over the file and
-    the raw line. Lines over the size limit count for
-    their batch but are not sent; positions are those among the lines sent.
+    the raw line; lines without one are left to :func:`undated_lines`. Lines
+    over the size limit count for their batch but are not sent; positions are
+    those among the lines sent.
     """
     check_shippable(shipping.rolling_interval)
-    batched = in_batches(lines, ["file_name"], ["start_offset"], batches.posting_limit)
+    index = _line_index(routes, shipping, index_decider)
+    batched = in_batches(lines.filter(index.isNotNull()), ["file_name"], ["start_offset"], batches.posting_limit)
     sized = batched
     if batches.event_bytes_limit is not None:
         in_batch = Window.partitionBy("file_name", "batch_no").orderBy("start_offset")
         sized = batched.filter(fits(F.col("line"), batches.event_bytes_limit)).withColumn(
             "pos", F.row_number().over(in_batch) - 1)
-    index = index_decider
-    if index is None:
-        index = buffered_index(F.col("file_name"), shipping.rolling_interval, routes.index_format)
     doc_id = durable_id(F.col("pos"), F.col("file_name"), F.col("start_offset"))
     return sized.select(
         "batch_id", "pos", "file_name", "start_offset", "next_offset", index.alias("_index"), doc_id.alias("doc_id"),

@@ -151,6 +151,9 @@ FROM log_events GROUP BY 1""",
     + f"""SELECT event_id, epoch_us(ts) AS micros, level, {MESSAGE} AS message, CAST(least(chain_len, 21) AS INTEGER) AS n_exceptions FROM log_events""",
     "document_renderings": after() + f"SELECT event_id, {RENDERINGS} AS renderings FROM log_events",
     "render_message": after() + f"SELECT event_id, {MESSAGE} AS message FROM log_events",
+    "render_precise_numbers": f"""SELECT event_id, CAST(CAST(x AS DECIMAL(30,2)) AS VARCHAR) AS n0, lpad(CAST(CAST(x AS DECIMAL(30,3)) AS VARCHAR), CAST(greatest(7, length(CAST(CAST(x AS DECIMAL(30,3)) AS VARCHAR))) AS INTEGER), '0') AS n1,
+  CAST(CAST(x AS DECIMAL(30,12)) AS VARCHAR) AS n2, CAST(CAST(x AS DECIMAL(30,4)) AS VARCHAR) AS n3, '2.67' AS half
+FROM (SELECT event_id, CAST(CAST(value / 7 AS DECIMAL(30,17)) AS VARCHAR) || '49' AS x FROM events)""",
     "template_token_usage": after(
         r"tokens AS (SELECT unnest(regexp_extract_all(message_template, '\{\{|\}\}|\{[^{}]+\}')) AS token FROM log_events)")
     + "SELECT token, count(*) AS n FROM tokens WHERE token NOT IN ('{{', '}}') GROUP BY token",
@@ -233,10 +236,16 @@ SELECT target, attempt_no, CAST(sum(CASE WHEN success THEN 0 ELSE 1 END) OVER (P
 SELECT target, attempt_no, failures_in_a_row,
   CASE WHEN failures_in_a_row <= 1 THEN 2.0::DOUBLE ELSE least(600.0, 5.0 * pow(2, failures_in_a_row - 1))::DOUBLE END AS delay_seconds
 FROM runs""",
-    "committed_position": after(LINES, offsets("file_name"),
-                                "stops AS (SELECT file_name, min(event_id) AS stop FROM placed WHERE status = 429 GROUP BY file_name)")
+    "committed_position": after(
+        LINES, offsets("file_name"),
+        "stops AS (SELECT file_name, min(event_id) AS stop FROM placed WHERE status = 429 AND event_id % 2 = 1 GROUP BY file_name)")
     + """SELECT p.file_name AS file, coalesce(max(p.next_offset) FILTER (s.stop IS NULL OR p.event_id < s.stop), 0) AS committed
 FROM placed p LEFT JOIN stops s ON p.file_name = s.file_name GROUP BY p.file_name""",
+    "durable_rejects": after(
+        f"""named AS (SELECT CASE event_id % 50 WHEN 0 THEN 'junk.txt' WHEN 1 THEN 'buf-2024x101.json' ELSE {FILE_NAME} END AS file_name,
+  event_id, ts FROM log_events)""")
+    + f"""SELECT 'rejected' AS kind, 'no date in file name ' || file_name AS detail, count(*) AS n FROM named WHERE event_id % 50 < 2 GROUP BY 2
+UNION ALL SELECT 'sent', {DAILY}, count(*) FROM named WHERE event_id % 50 > 1 GROUP BY 2""",
     "diagnostics_summary": after(TARGETS)
     + """SELECT 'oversized' AS kind, CAST(octet_length(encode(props)) AS VARCHAR) AS detail, count(*) AS n
 FROM log_events WHERE octet_length(encode(props)) > 9 GROUP BY 2
@@ -258,12 +267,13 @@ UNION ALL SELECT 'not sent', target, count(*) FROM targeted WHERE NOT registrati
     "evict_shipped_files": after(
         f"rows AS (SELECT unnest([strftime(ts, '%Y%m%d'), event_type]) AS source, {FILE_NAME} AS file_name, octet_length(encode(props)) + 1 AS b FROM log_events)",
         "files AS (SELECT source, file_name, CAST(sum(b) AS BIGINT) AS size_bytes FROM rows GROUP BY 1, 2)",
-        """per AS (SELECT source, count(*) AS n_files, min(file_name) AS first_file, max(file_name) AS last_file,
-  max(CASE WHEN source LIKE '2%' AND file_name NOT LIKE '%\\_001%' ESCAPE '\\' THEN file_name END) AS bookmark FROM files GROUP BY source)""",
-        """state AS (SELECT *, n_files = 2 AND coalesce(bookmark = first_file, false)
-  AND coalesce(TRY_CAST(source AS BIGINT) % 3 <> 0, false) AS advance FROM per)""")
-    + """SELECT source, n_files, CASE WHEN n_files > 2 THEN 'delete' WHEN advance THEN 'advance' ELSE 'wait' END AS action,
-  CASE WHEN n_files > 2 THEN first_file WHEN advance THEN last_file END AS file FROM state""",
+        """per AS (SELECT source, count(*) AS n_files, min(file_name) AS first_file, max(file_name) AS last_file FROM files GROUP BY source)""",
+        # What is left to send of the file where each source stands; a source without a known mark stands at the start of its first file.
+        """state AS (SELECT p.*, source = 'signup' AS at_last,
+  CASE WHEN source IN ('view', 'error') OR TRY_CAST(source AS BIGINT) % 3 = 0 THEN (SELECT size_bytes FROM files f WHERE f.source = p.source AND f.file_name = first_file)
+    WHEN source = 'purchase' THEN (SELECT size_bytes - 5 FROM files f WHERE f.source = p.source AND f.file_name = first_file) ELSE 0 END AS unsent FROM per p)""")
+    + """SELECT source, n_files, CASE WHEN unsent > 0 THEN 'wait' WHEN n_files > 2 THEN 'delete' WHEN n_files = 2 AND NOT at_last THEN 'advance' ELSE 'wait' END AS action,
+  CASE WHEN unsent > 0 THEN NULL WHEN n_files > 2 THEN first_file WHEN n_files = 2 AND NOT at_last THEN last_file END AS file FROM state""",
     "rolling_buckets": after()
     + """SELECT 'Day' AS interval, strftime(ts, '%Y%m%d') AS bucket, count(*) AS n FROM log_events GROUP BY 2
 UNION ALL SELECT 'Hour', strftime(ts, '%Y%m%d%H'), count(*) FROM log_events GROUP BY 2
@@ -279,6 +289,12 @@ SELECT n.bucket, n.event_id, n.rn, CASE WHEN f.used >= 500 THEN n.b ELSE f.used
 FROM fold f JOIN numbered n ON n.bucket = f.bucket AND n.rn = f.rn + 1)""", recursive=True)
     + "SELECT bucket, event_id, sequence FROM fold",
     "infer_field_types": after(FIELDS) + "SELECT path, type, count(*) AS n FROM fields GROUP BY path, type",
+    "infer_deep_fields": f"""SELECT path, type, n FROM (
+  SELECT 'fields.three.l1.l2.l3' AS path, 'boolean' AS type, count(*) AS n FROM events
+  UNION ALL SELECT 'fields.ten.l1.l2.l3.l4.l5.l6.l7.l8.l9.l10', CASE WHEN event_id % 7 = 0 THEN 'string' ELSE 'long' END, count(*) FROM events GROUP BY 2
+  UNION ALL SELECT 'fields.none', 'object', count(*) FROM events
+  UNION ALL SELECT 'fields.list', 'long', 2 * count(*) FROM events
+  UNION ALL SELECT 'fields.list.a', 'double', count(*) FROM events)""",
     "first_mapping_wins": after(FIELDS, MAPPED) + "SELECT index, path, mapped_type FROM mapped",
     "mapping_conflicts": after(FIELDS, MAPPED)
     + """SELECT event_id, index, path, type, mapped_type FROM fields JOIN mapped USING (index, path) WHERE type <> mapped_type""",

@@ -12,7 +12,7 @@ from eventmill.functions.jsontext import string_json
 from eventmill.operators import bulk, delivery, document, exceptions, filters, mapping, retention, rolling, routing
 from eventmill.operators.running import plan_chunks
 from eventmill.options import DocumentOptions, RouteOptions
-from eventmill.plans import shipping
+from eventmill.plans import indexing, shipping
 from eventmill.plans.stub import RuleClient
 from eventmill.session import new_folder
 from eventmill.sources import buffer, store, views
@@ -206,6 +206,16 @@ def render_message(spark, folder):
     return document.with_message(events).select("event_id", "message")
 
 
+@query
+def render_precise_numbers(spark, folder):
+    """Numbers with more digits than their format shows are rounded once."""
+    text = F.concat((F.col("value") / 7).cast("decimal(30,17)").cast("string"), F.lit("49"))
+    formats = ("0.00", "000.000", "0.000000000000", "F4")
+    return views.log_events(spark, folder).select(
+        "event_id", *(template.formatted_number(text, F.lit(f)).alias(f"n{i}") for i, f in enumerate(formats)),
+        template.formatted_number(F.lit("2.67499999999999"), F.lit("0.00")).alias("half"))
+
+
 @query
 def template_token_usage(spark, folder):
     per_template = views.log_events(spark, folder).groupBy("message_template").agg(F.count(F.lit(1)).alias("events"))
@@ -235,6 +245,19 @@ def route_index_by_file_date(spark, folder):
     return lines.select("event_id", "file_name", routing.buffered_index(F.col("file_name")).alias("index"))
 
 
+@query
+def durable_rejects(spark, folder):
+    """Lines of files without a date have no index: they are set aside with a reason, the others become requests."""
+    logs = views.log_events(spark, folder).select(
+        F.when(F.col("event_id") % 50 == 0, "junk.txt").when(F.col("event_id") % 50 == 1, "buf-2024x101.json")
+        .otherwise(views.buffer_file_name()).alias("file_name"), "event_id", F.col("props").alias("line"))
+    placed = buffer.with_offsets(logs, ["file_name"], ["event_id"])
+    sent = indexing.durable_requests(placed).groupBy("_index").agg(F.count(F.lit(1)).alias("n"))
+    rejected = indexing.undated_lines(placed).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return sent.select(F.lit("sent").alias("kind"), F.col("_index").alias("detail"), "n").unionAll(
+        rejected.select(F.lit("rejected").alias("kind"), F.col("reason").alias("detail"), "n"))
+
+
 def _targeted(spark, folder):
     return views.log_events(spark, folder).select(
         "event_id", "ts", F.concat(F.lit("t"), (F.col("user_id") % 5).cast("string")).alias("target"))
@@ -436,8 +459,14 @@ def committed_position(spark, folder):
     logs = views.log_events(spark, folder)
     lines = logs.select(views.buffer_file_name().alias("file_name"), "event_id", "status", F.col("props").alias("line"))
     placed = buffer.with_offsets(lines, ["file_name"], ["event_id"], chunk=plan_chunks(lines, ["event_id"]))
-    tries = placed.select(F.col("file_name").alias("file"), F.col("event_id").alias("attempt_no"),
-                          (F.col("status") != 429).alias("success"), "next_offset")
+    # Every line is a batch. A busy store (429) takes it at the second try, but for odd events: there the shipper is stuck.
+    stuck = (F.col("status") == 429) & (F.col("event_id") % 2 == 1)
+    stops = placed.where(stuck).groupBy("file_name").agg(F.min("event_id").alias("stop"))
+    sent = placed.join(stops, "file_name", "left").where(F.col("stop").isNull() | (F.col("event_id") <= F.col("stop")))
+    first = F.struct((2 * F.col("event_id")).alias("attempt_no"), (F.col("status") != 429).alias("success"))
+    second = F.struct((2 * F.col("event_id") + 1).alias("attempt_no"), (~stuck).alias("success"))
+    tries = sent.select(F.col("file_name").alias("file"), "next_offset", F.inline(
+        F.when(F.col("status") == 429, F.array(first, second)).otherwise(F.array(first))))
     return delivery.committed_positions(tries)
 
 
@@ -490,10 +519,14 @@ def evict_shipped_files(spark, folder):
     rows = lines.select("file_name", "line", F.explode(F.array(day, "event_type")).alias("source"))
     files = rows.groupBy("source", "file_name").agg(F.sum(F.octet_length("line") + 1).alias("size_bytes")).select(
         "source", "file_name", "size_bytes", F.col("file_name").alias("file_rank"))
-    first = files.filter(~F.col("file_name").contains("_001") & F.col("source").rlike("^2"))
-    marks = first.select(
-        "source", F.col("file_name").alias("bookmark_file"),
-        F.when(F.col("source").cast("bigint") % 3 == 0, 0).otherwise(F.col("size_bytes")).alias("next_offset"))
+    ends = files.groupBy("source").agg(*(pick(F.struct("file_name", "size_bytes")).alias(name) for name, pick in (("first", F.min), ("last", F.max))))
+    name = F.col("source")
+    # Where each source stands: days at the start or the end of their first file, some types further on, or in a file that is gone.
+    marks = ends.filter(~name.isin("view")).select(
+        "source",
+        F.when(name == "error", "gone.json").when(name == "signup", F.col("last.file_name")).otherwise(F.col("first.file_name")).alias("bookmark_file"),
+        F.when(name.rlike("^2") & (name.try_cast("bigint") % 3 == 0), 0).when(name == "purchase", 5).when(name == "signup", F.col("last.size_bytes"))
+        .otherwise(F.col("first.size_bytes")).alias("next_offset"))
     return retention.evictions(files, marks)
 
 
@@ -517,7 +550,7 @@ def rolling_size_sequence(spark, folder):
 
 def _fields(spark, folder):
     logs = views.log_events(spark, folder).select("event_id", "ts", daily_index().alias("index"), "props")
-    return mapping.field_values(logs, "props", ["event_id", "ts", "index"], "fields", depth=2)
+    return mapping.field_values(logs, "props", ["event_id", "ts", "index"], "fields")
 
 
 @query
@@ -525,6 +558,13 @@ def infer_field_types(spark, folder):
     return mapping.inventory(_fields(spark, folder))
 
 
+@query
+def infer_deep_fields(spark, folder):
+    """Properties three and ten levels deep, and one that changes its type at the bottom."""
+    logs = views.log_events(spark, folder).select("event_id", views.deep_properties().alias("body"))
+    return mapping.inventory(mapping.field_values(logs, "body", ["event_id"], "fields"))
+
+
 @query
 def first_mapping_wins(spark, folder):
     return mapping.first_mappings(_fields(spark, folder), ["ts", "event_id"])

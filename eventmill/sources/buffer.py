@@ -46,9 +46,9 @@ def ranked(files: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return ordered_files(files, keys or [], "file_date", [F.col("seq")], newest_first=False)
 
 
-def stored_lines(spark: SparkSession, folder: str, base: str) -> DataFrame:
+def stored_lines(spark: SparkSession, folder: str, base: str, newline: str = "\n") -> DataFrame:
     """Lines of buffer files with ``line_no``-like order and the file split they came from."""
-    text = prepare(spark).read.option("pathGlobFilter", f"{base}-*.json").text(folder)
+    text = prepare(spark).read.option("pathGlobFilter", f"{base}-*.json").option("lineSep", newline).text(folder)
     return text.select(
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_block_start").alias("split"),
@@ -75,10 +75,12 @@ def with_offsets(
     }).drop("_end")
 
 
-def stored_lines_with_offsets(spark: SparkSession, folder: str, base: str, assume_bom: bool = True) -> DataFrame:
+def stored_lines_with_offsets(
+    spark: SparkSession, folder: str, base: str, assume_bom: bool = True, newline: str = "\n"
+) -> DataFrame:
     """Stored lines with byte positions. A large file is summed split by split."""
-    lines = stored_lines(spark, folder, base)
-    return with_offsets(lines, ["file_name"], ["line_order"], assume_bom=assume_bom, chunk=F.col("split")).drop(
+    lines = stored_lines(spark, folder, base, newline)
+    return with_offsets(lines, ["file_name"], ["line_order"], assume_bom=assume_bom, newline=newline, chunk=F.col("split")).drop(
         "split", "line_order")
 
 

@@ -96,6 +96,16 @@ def with_payload(logs: DataFrame) -> DataFrame:
     })
 
 
+def deep_properties() -> Column:
+    """Properties as JSON text with objects in objects, three and ten levels down."""
+    def nested(levels: int, leaf: Column) -> Column:
+        opening = "".join(f'{{"l{i}":' for i in range(1, levels + 1))
+        return F.concat(F.lit(opening), leaf, F.lit("}" * levels))
+
+    bottom = F.when(F.col("event_id") % 7 == 0, F.lit('"x"')).otherwise(F.col("event_id").cast("string"))
+    return F.concat(F.lit('{"three":'), nested(3, F.lit("true")), F.lit(',"ten":'), nested(10, bottom), F.lit(',"none":{},"list":[[1,2],[{"a":1.5}]]}'))
+
+
 def exception_chain(length: Column) -> Column:
     """The exception chain of an event, outermost first."""
     def one(d):

@@ -13,13 +13,13 @@ from eventmill.session import prepare
 
 
 def event_stream(spark: SparkSession, folder: str, name: str, max_files: int | None = None) -> DataFrame:
-    """A stream over the files of a table."""
+    """A stream over the files of a table, which is one file or a folder of files."""
     spark = prepare(spark)
-    path = f"{folder}/{name}.parquet"
-    reader = spark.readStream.schema(spark.read.parquet(path).schema).option("pathGlobFilter", f"{name}.parquet")
+    # A pattern may stand for a file or a folder; as a plain path Spark takes a folder only.
+    reader = spark.readStream.schema(spark.read.parquet(f"{folder}/{name}.parquet").schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(folder)
+    return reader.parquet(f"{folder}/{name}.parque[t]")
 
 
 def buffer_stream(spark: SparkSession, folder: str, max_files: int | None = None, clean: str = "off",

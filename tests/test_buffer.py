@@ -54,6 +54,13 @@ def test_positions_are_those_of_the_bytes(spark, folder):
             assert whole[row.file_name][start:row.next_offset].decode() == row.line + "\n"
 
 
+def test_other_line_ends(spark, tmp_path):
+    data = b"first\r\nsecond\r\nthird\r\n"
+    (tmp_path / "app-20240101.json").write_bytes(data)
+    rows = buffer.stored_lines_with_offsets(spark, str(tmp_path), "app", assume_bom=False, newline="\r\n").collect()
+    assert {data[r.start_offset:r.next_offset] for r in rows} == {b"first\r\n", b"second\r\n", b"third\r\n"}
+
+
 def test_without_mark(spark):
     lines = spark.createDataFrame([("f", 1, "test 1"), ("f", 2, "test 2"), ("f", 3, "1234567")], "f string, n long, line string")
     placed = buffer.with_offsets(lines, ["f"], ["n"], assume_bom=False, newline="\r\n").orderBy("n").collect()
@@ -128,12 +135,16 @@ def test_retention(files):
 def test_evictions(spark):
     files = spark.createDataFrame([
         ("one", "f1", 1, 5), ("two", "f1", 1, 5), ("two", "f2", 2, 5), ("part", "f1", 1, 5), ("part", "f2", 2, 5),
-        ("many", "f1", 1, 5), ("many", "f2", 2, 5), ("many", "f3", 3, 5), ("new", "f1", 1, 5), ("new", "f2", 2, 5)],
+        ("many", "f1", 1, 5), ("many", "f2", 2, 5), ("many", "f3", 3, 5), ("new", "f1", 1, 5), ("new", "f2", 2, 5),
+        ("midway", "f1", 1, 10), ("midway", "f2", 2, 5), ("midway", "f3", 3, 5), ("unmarked", "f1", 1, 5), ("unmarked", "f2", 2, 5), ("unmarked", "f3", 3, 5),
+        ("gone", "f1", 1, 5), ("gone", "f2", 2, 5), ("gone", "f3", 3, 5), ("second", "f1", 1, 5), ("second", "f2", 2, 5)],
         "source string, file_name string, file_rank int, size_bytes long")
-    marks = spark.createDataFrame([("one", "f1", 5), ("two", "f1", 5), ("part", "f1", 4), ("many", "f2", 5)],
+    marks = spark.createDataFrame([("one", "f1", 5), ("two", "f1", 5), ("part", "f1", 4), ("many", "f2", 5), ("midway", "f1", 5),
+                                   ("gone", "f0", 5), ("second", "f2", 5)],
                                   "source string, bookmark_file string, next_offset long")
     rows = {r.source: (r.action, r.file) for r in retention.evictions(files, marks).collect()}
-    assert rows == {"one": ("wait", None), "two": ("advance", "f2"), "part": ("wait", None), "many": ("delete", "f1"), "new": ("wait", None)}
+    assert rows == {"one": ("wait", None), "two": ("advance", "f2"), "part": ("wait", None), "many": ("delete", "f1"), "new": ("wait", None),
+                    "midway": ("wait", None), "unmarked": ("wait", None), "gone": ("wait", None), "second": ("wait", None)}
 
 
 @pytest.mark.parametrize("interval, bucket", [

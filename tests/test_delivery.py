@@ -101,9 +101,10 @@ def test_delays(spark, failures, period, delay):
 
 def test_positions(spark):
     rows = spark.createDataFrame([
-        ("a", 1, True, 10), ("a", 2, True, 25), ("a", 3, False, 40), ("a", 4, True, 50), ("b", 1, False, 9), ("c", 1, True, 7)],
+        ("a", 1, True, 10), ("a", 2, True, 25), ("a", 3, False, 40), ("a", 4, True, 50), ("b", 1, False, 9), ("c", 1, True, 7),
+        ("d", 1, True, 100), ("d", 2, False, 200), ("d", 3, True, 200), ("d", 4, False, 300)],
         "file string, attempt_no long, success boolean, next_offset long")
-    assert dict(map(tuple, delivery.committed_positions(rows).collect())) == {"a": 25, "b": 0, "c": 7}
+    assert dict(map(tuple, delivery.committed_positions(rows).collect())) == {"a": 50, "b": 0, "c": 7, "d": 200}
 
 
 def test_client_per_task(spark):

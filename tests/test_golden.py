@@ -89,7 +89,7 @@ def test_templates(spark):
 
 def test_rejects_become_failures(spark):
     logs = views.log_events(spark, MEDIUM).select("event_id", "ts", F.lit("i").alias("index"), "props")
-    fields = mapping.field_values(logs, "props", ["event_id", "ts", "index"], "fields", depth=2)
+    fields = mapping.field_values(logs, "props", ["event_id", "ts", "index"], "fields")
     rejected = mapping.rejected_documents(mapping.conflicts(fields, ["ts", "event_id"]))
     row = rejected.first()
     assert row.status == 400 and row.error.reason.startswith("failed to parse field [fields.k]")

@@ -14,7 +14,7 @@ def fields(spark):
         (1, "i", '{"A":10,"B":0,"o":{"p":{"q":"x"}},"l":[1,2],"n":null}'), (2, "i", '{"A":"string","B":true,"d":1.5}'),
         (3, "j", '{"A":"s"}'), (4, "j", "no json")]
     frame = spark.createDataFrame(docs, "event_id long, index string, body string")
-    return mapping.field_values(frame, "body", ["event_id", "index"], depth=4)
+    return mapping.field_values(frame, "body", ["event_id", "index"])
 
 
 def test_inventory(fields):
@@ -23,9 +23,11 @@ def test_inventory(fields):
         ("d", "double", 1)}
 
 
-def test_deep_values_are_objects(spark):
-    frame = spark.createDataFrame([('{"a":{"b":{"c":1}}}',)], "body string")
-    assert {tuple(r) for r in mapping.field_values(frame, "body", [], depth=2).collect()} == {("a.b", "object")}
+def test_every_level_is_opened(spark):
+    deep = '{"a":' * 11 + "1" + "}" * 11
+    frame = spark.createDataFrame([('{"a":{"b":{"c":1}}}',), (deep,), ('{"e":{},"f":[]}',)], "body string")
+    assert {tuple(r) for r in mapping.field_values(frame, "body", []).collect()} == {
+        ("a.b.c", "long"), (".".join("a" * 11), "long"), ("e", "object"), ("f", "object")}
 
 
 def test_second_document_is_rejected(fields):

@@ -60,6 +60,15 @@ def test_threshold_changes_between_batches(spark, folder):
     assert shipped(spark, path) == [3, 4, 4, 5, 5]
 
 
+@pytest.mark.parametrize("files", [1, 3])
+def test_table_of_several_files(spark, tmp_path, files):
+    """A table may be a folder of files, and the folder may hold other tables."""
+    spark.range(30).repartition(files).write.parquet(str(tmp_path / "events.parquet"))
+    spark.range(5).write.parquet(str(tmp_path / "other.parquet"))
+    jobs.drained(jobs.ship(jobs.event_stream(spark, str(tmp_path), "events", max_files=1), lambda batch: batch, str(tmp_path / "out"), str(tmp_path / "check")))
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == list(range(30))
+
+
 def test_periodic_direct_delivery(spark, folder):
     path, add = folder
     add("a.json", range(3))

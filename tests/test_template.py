@@ -9,6 +9,7 @@ from eventmill.functions import template
 
 PROPERTIES = {
     "Song": json.dumps("New Macabre"), "Odd": json.dumps('a "b" \\ c'), "N": "7", "Price": "1234.565", "Small": "-0.5",
+    "Fine": "2.67499999999999999", "Large": "1e30",
     "Flag": "true", "None": "null", "List": "[1,2]",
 }
 
@@ -25,6 +26,8 @@ CASES = [
     ("{Price:F1} {Price:N2} {N:D4} {Price:F}", "1234.6 1,234.57 0007 1234.57"),
     ("{N,5}|{N,-5}|{Song,3}", '    7|7    |"New Macabre"'),
     ("{N,6:000}", "   007"),
+    ("{Fine:0.00} {Fine:0.000000000000}", "2.67 2.675000000000"),
+    ("{Large:0.00} {Large:0}", "1000000000000000000000000000000.00 1000000000000000000000000000000"),
     ("{@List} {$Flag} {None}", "[1,2] true null"),
     ("{Price:weird}", "1234.565"),
     ("{not a hole} {", "{not a hole} {"),
