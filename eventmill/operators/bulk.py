@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from eventmill.operators.routing import blank_to_null
 from eventmill.operators.running import ROWS_PER_CHUNK, number_rows_at_scale
 from eventmill.options import BATCH_POSTING_LIMIT
+from eventmill.session import attach, written
 
 
 def action_line(
@@ -81,18 +82,12 @@ def first_per_id(events: DataFrame, doc_id: str, order: list[str], values: list[
 def apply_index(store: DataFrame, events: DataFrame, doc_id: str, order: list[str]) -> DataFrame:
     """The store after ``index`` operations: created or replaced, the last event per id winning.
 
-    One aggregation over both sides decides, so the store is not joined at all.
+    Events are brought down to one per id first; the store is then passed
+    through but for the ids they replace, which is a broadcast when they are few.
     """
     values = [name for name in store.columns if name != doc_id]
-    old = store.select(doc_id, F.struct(F.lit(0).alias("_new"), *[_nothing(events, name) for name in order]).alias("_rank"),
-                       F.struct(*values).alias("_v"))
-    new = events.select(doc_id, F.struct(F.lit(1).alias("_new"), *order).alias("_rank"), F.struct(*values).alias("_v"))
-    return old.unionByName(new).groupBy(doc_id).agg(F.max_by("_v", "_rank").alias("_v")).select(
-        *[F.col(doc_id) if name == doc_id else F.col(f"_v.{name}").alias(name) for name in store.columns])
-
-
-def _nothing(events: DataFrame, name: str) -> Column:
-    return F.lit(None).cast(events.schema[name].dataType).alias(name)
+    new = written(latest_per_id(events, doc_id, order, values).select(store.columns), "latest")
+    return attach(store, new.select(doc_id), [doc_id], "left_anti", null_safe=True, label="replaced").unionByName(new)
 
 
 def apply_create(store: DataFrame, events: DataFrame, doc_id: str, order: list[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from eventmill.functions.levels import level_at_least
 from eventmill.operators.running import CHUNK, ROWS_PER_CHUNK, number_rows, plan_chunks
-from eventmill.session import attach
+from eventmill.session import BROADCAST_ROWS, attach
 
 
 def at_least(events: DataFrame, minimum: str | None, level: str = "level") -> DataFrame:
@@ -16,7 +16,8 @@ def at_least(events: DataFrame, minimum: str | None, level: str = "level") -> Da
 
 
 def at_least_switched(
-    events: DataFrame, control: DataFrame, rank: str = "level_rank", ts: str = "ts", event_key: str = "event_id"
+    events: DataFrame, control: DataFrame, rank: str = "level_rank", ts: str = "ts", event_key: str = "event_id",
+    max_broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Events at or above the threshold in force at their time.
 
@@ -30,7 +31,7 @@ def at_least_switched(
     by_day = ordered.filter("_until IS NOT NULL").select(days.alias("_day"), "effective_from", "_until", "min_rank")
     by_day = by_day.groupBy("_day").agg(F.collect_list(F.struct("effective_from", "_until", "min_rank")).alias("_spans"))
     joined = attach(
-        events.withColumn("_day", F.to_date(ts)), by_day, ["_day"], spread_by=event_key, label="level-switch")
+        events.withColumn("_day", F.to_date(ts)), by_day, ["_day"], spread_by=event_key, max_broadcast_rows=max_broadcast_rows, label="level-switch")
     inside = F.filter("_spans", lambda s: (F.col(ts) >= s["effective_from"]) & (F.col(ts) < s["_until"]))
     threshold = F.coalesce(F.get(inside, F.lit(0))["min_rank"], F.lit(0))
     # The setting still in force is one row, so it becomes a constant.

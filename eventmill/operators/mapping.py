@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from eventmill.functions.jsontext import let
 from eventmill.model import EXCEPTION
 from eventmill.options import KEYWORD_LENGTH_LIMIT
-from eventmill.session import attach, written
+from eventmill.session import BROADCAST_ROWS, attach, written
 
 # Levels opened in one plan; deeper documents take another round.
 LEVELS = 4
@@ -72,10 +72,15 @@ def first_mappings(fields: DataFrame, order: Sequence[str]) -> DataFrame:
     return fields.groupBy("index", "path").agg(F.min_by("type", F.struct(*order)).alias("mapped_type"))
 
 
-def conflicts(fields: DataFrame, order: Sequence[str], event_key: str = "event_id") -> DataFrame:
+def conflicts(
+    fields: DataFrame, order: Sequence[str], event_key: str = "event_id", max_broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """Field values whose type is not the one mapped first."""
     mapped = first_mappings(fields, order)
-    joined = attach(fields, mapped, ["index", "path"], "inner", spread_by=event_key, label="mappings")
+    # Only paths with more than one type can conflict: the others never reach the join.
+    several = fields.groupBy("index", "path").agg((F.min("type") < F.max("type")).alias("mixed")).where("mixed").select("index", "path")
+    mapped = mapped.join(several, ["index", "path"])
+    joined = attach(fields, mapped, ["index", "path"], "inner", spread_by=event_key, max_broadcast_rows=max_broadcast_rows, label="mappings")
     return joined.filter(F.col("type") != F.col("mapped_type"))
 
 

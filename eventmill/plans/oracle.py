@@ -339,3 +339,6 @@ FROM depths WHERE d % 5 <> 4 GROUP BY 1, 2, 3""",
     "stream_durable_restart": after() + PER_INDEX + " GROUP BY 1",
     "stream_late_events": after() + PER_INDEX + " GROUP BY 1",
 }
+# The same results by the ways of large tables.
+ORACLES |= {f"{name}_ranged": ORACLES[name] for name in (
+    "buffer_line_offsets", "admission_limit", "bulk_batches", "retry_schedule", "mapping_conflicts", "filter_level_switch_asof")}

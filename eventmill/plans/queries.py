@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from eventmill.functions import template, times
 from eventmill.functions.jsontext import string_json
 from eventmill.operators import bulk, delivery, document, exceptions, filters, mapping, retention, rolling, routing
-from eventmill.operators.running import plan_chunks
+from eventmill.operators.running import ROWS_PER_CHUNK, plan_chunks
 from eventmill.options import DocumentOptions, RouteOptions
 from eventmill.plans import indexing, shipping
 from eventmill.plans.stub import RuleClient
@@ -31,10 +31,14 @@ def daily_index():
     return routing.index_name(F.col("ts"))
 
 
-def batched_events(spark: SparkSession, folder: str) -> DataFrame:
+# Rows to a range in the ``_ranged`` queries: so few that the small tables take the way of the large ones.
+FEW_ROWS = 500
+
+
+def batched_events(spark: SparkSession, folder: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """All events in batches per daily index, with durable ids."""
     logs = views.log_events(spark, folder).select("event_id", "ts", "status", "props", daily_index().alias("_index"))
-    batched = bulk.in_batches(logs, ["_index"], ["ts", "event_id"])
+    batched = bulk.in_batches(logs, ["_index"], ["ts", "event_id"], rows_per_chunk=rows_per_chunk)
     # Some ids do not start with a position: such rejects can only be reported.
     prefix = F.when((F.col("status") == 429) & (F.col("event_id") % 2 == 0), F.lit("x")).otherwise(F.col("pos").cast("string"))
     return batched.withColumns({
@@ -62,9 +66,9 @@ def buffer_file_catalog(spark, folder):
     return buffer.ranked(files).select("file_name", "file_date", "seq", "size_bytes", "n_lines", "rank")
 
 
-def _offsets(spark, folder, *extra):
+def _offsets(spark, folder, *extra, rows_per_chunk=ROWS_PER_CHUNK):
     lines = views.buffer_lines(views.log_events(spark, folder).select("event_id", "ts", "props", *extra))
-    return buffer.with_offsets(lines, ["file_name"], ["event_id"], chunk=plan_chunks(lines, ["event_id"]))
+    return buffer.with_offsets(lines, ["file_name"], ["event_id"], chunk=plan_chunks(lines, ["event_id"], rows_per_chunk))
 
 
 @query
@@ -72,6 +76,11 @@ def buffer_line_offsets(spark, folder):
     return _offsets(spark, folder).select("file_name", "event_id", "start_offset", "next_offset")
 
 
+@query
+def buffer_line_offsets_ranged(spark, folder):
+    return _offsets(spark, folder, rows_per_chunk=FEW_ROWS).select("file_name", "event_id", "start_offset", "next_offset")
+
+
 @query
 def stream_ship_counts(spark, folder):
     lines = views.buffer_lines(views.log_events(spark, folder))
@@ -140,6 +149,12 @@ def admission_limit(spark, folder):
     return filters.admitted(logs, "bucket", ["ts", "event_id"], 10).select("event_id", "bucket")
 
 
+@query
+def admission_limit_ranged(spark, folder):
+    logs = views.log_events(spark, folder).select("event_id", "ts", F.date_format("ts", "yyyy-MM-dd HH").alias("bucket"))
+    return filters.admitted(logs, "bucket", ["ts", "event_id"], 10, FEW_ROWS).select("event_id", "bucket")
+
+
 @query
 def admission_counts(spark, folder):
     logs = views.log_events(spark, folder).select(F.date_format("ts", "yyyy-MM-dd HH").alias("bucket"))
@@ -326,6 +341,12 @@ def bulk_batches(spark, folder):
         F.count(F.lit(1)).alias("n"), F.max("pos").alias("last_pos"), F.sum("event_id").alias("id_sum"))
 
 
+@query
+def bulk_batches_ranged(spark, folder):
+    return batched_events(spark, folder, FEW_ROWS).groupBy("batch_id", F.col("_index").alias("index")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("pos").alias("last_pos"), F.sum("event_id").alias("id_sum"))
+
+
 @query
 def bulk_durable_ids(spark, folder):
     lines = _offsets(spark, folder)
@@ -454,6 +475,13 @@ def retry_schedule(spark, folder):
                        delivery.retry_delay(F.col("failures_in_a_row"), 2).alias("delay_seconds"))
 
 
+@query
+def retry_schedule_ranged(spark, folder):
+    runs = delivery.failure_runs(views.attempts(spark, folder), "target", ["ts", "attempt_no"], rows_per_chunk=FEW_ROWS)
+    return runs.select("target", "attempt_no", "failures_in_a_row",
+                       delivery.retry_delay(F.col("failures_in_a_row"), 2).alias("delay_seconds"))
+
+
 @query
 def committed_position(spark, folder):
     logs = views.log_events(spark, folder)
@@ -576,6 +604,20 @@ def mapping_conflicts(spark, folder):
     return found.select("event_id", "index", "path", "type", "mapped_type")
 
 
+@query
+def mapping_conflicts_ranged(spark, folder):
+    """As without a broadcast: keys cut into slices."""
+    found = mapping.conflicts(_fields(spark, folder), ["ts", "event_id"], max_broadcast_rows=0)
+    return found.select("event_id", "index", "path", "type", "mapped_type")
+
+
+@query
+def filter_level_switch_asof_ranged(spark, folder):
+    """As without a broadcast."""
+    logs = views.log_events(spark, folder).select("event_id", "ts", "level_rank")
+    return filters.at_least_switched(logs, views.level_control(spark), max_broadcast_rows=0).select("event_id", "level_rank")
+
+
 @query
 def resolve_dynamic_mapping(spark, folder):
     # Third-party events carry positional names: fields.0, fields.1, ...
