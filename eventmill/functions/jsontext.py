@@ -5,10 +5,13 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SHOW_NULLS = {"ignoreNullFields": "false"}
+# Fixed value: the member that names a structure's type; it comes first.
+TYPE_TAG = "_typeTag"
 # Text that is the same inside a JSON string: no quote, backslash or control character.
 PLAIN_TEXT = r'^[^"\\\x00-\x1f]*\z'
 
@@ -83,3 +86,47 @@ def merged_maps(first: Column, second: Column) -> Column:
             F.map_concat(f, F.map_filter(s, lambda name, _: ~F.map_contains_key(f, name)))))
 
     return let(first, join)
+
+
+def value_json(value: Column, kind: T.DataType) -> Column:
+    """JSON text of a value of any Spark type, everything in its own order.
+
+    A structure with a field ``_typeTag`` writes it first, and leaves it out
+    when it is null; keys of a dictionary are quoted whatever their type; a
+    missing value is ``null``.
+    """
+    if isinstance(kind, T.StructType):
+        named = sorted(kind.fields, key=lambda f: f.name != TYPE_TAG)  # the sort is stable: the others keep their order
+        members = [F.when(value[f.name].isNotNull(), member(f.name, value_json(value[f.name], f.dataType))) if f.name == TYPE_TAG
+                   else member(f.name, value_json(value[f.name], f.dataType)) for f in named]
+        text = object_json(*members)
+    elif isinstance(kind, T.ArrayType):
+        text = F.concat(F.lit("["), F.array_join(F.transform(value, lambda x: value_json(x, kind.elementType)), ","), F.lit("]"))
+    elif isinstance(kind, T.MapType):
+        pairs = F.transform(F.map_entries(value), lambda e: F.concat(
+            string_json(e["key"].cast("string")), F.lit(":"), value_json(e["value"], kind.valueType)))
+        text = F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
+    elif isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        text = number_json(value.cast("double"))
+    elif isinstance(kind, T.NumericType | T.BooleanType):
+        text = value.cast("string")
+    else:
+        text = string_json(value.cast("string"))
+    return F.coalesce(F.when(value.isNotNull(), text), F.lit("null"))
+
+
+def structured_fields(
+    events: DataFrame, names: list[str], serializers: dict[str, Callable[[Column], Column]] | None = None
+) -> Column:
+    """The named columns as properties, ``map<name, JSON text>``, in this order.
+
+    A serializer of one's own for a column is a function of it that gives JSON
+    text, such as a pandas UDF; where it gives null the usual text stays.
+    """
+    serializers = serializers or {}
+    entries = []
+    for name in names:
+        usual = value_json(F.col(name), events.schema[name].dataType)
+        text = F.coalesce(serializers[name](F.col(name)), usual) if name in serializers else usual
+        entries += [F.lit(name), text]
+    return F.create_map(*entries)

@@ -289,6 +289,9 @@ SELECT n.bucket, n.event_id, n.rn, CASE WHEN f.used >= 500 THEN n.b ELSE f.used
 FROM fold f JOIN numbered n ON n.bucket = f.bucket AND n.rn = f.rn + 1)""", recursive=True)
     + "SELECT bucket, event_id, sequence FROM fold",
     "infer_field_types": after(FIELDS) + "SELECT path, type, count(*) AS n FROM fields GROUP BY path, type",
+    "document_structured_fields": after()
+    + """SELECT event_id, '"fields":{"User":{' || CASE WHEN event_id % 3 > 0 THEN '"_typeTag":"Account",' ELSE '' END || '"Id":' || user_id || ',"Last Type":"' || event_type
+  || '"},"Steps":[' || event_id || ',null,2],"Seats":{"20":["a\\"b","' || level || '"],"3":[]}}' AS fields FROM log_events""",
     "infer_deep_fields": f"""SELECT path, type, n FROM (
   SELECT 'fields.three.l1.l2.l3' AS path, 'boolean' AS type, count(*) AS n FROM events
   UNION ALL SELECT 'fields.ten.l1.l2.l3.l4.l5.l6.l7.l8.l9.l10', CASE WHEN event_id % 7 = 0 THEN 'string' ELSE 'long' END, count(*) FROM events GROUP BY 2

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmill.functions import template, times
-from eventmill.functions.jsontext import string_json
+from eventmill.functions.jsontext import string_json, structured_fields
 from eventmill.operators import bulk, delivery, document, exceptions, filters, mapping, retention, rolling, routing
 from eventmill.operators.running import ROWS_PER_CHUNK, plan_chunks
 from eventmill.options import DocumentOptions, RouteOptions
@@ -193,6 +193,15 @@ def document_delimited(spark, folder):
         document.event_document(ended, common).alias("delimited"))
 
 
+@query
+def document_structured_fields(spark, folder):
+    """Structures with their type tag first, sequences, and dictionaries with quoted keys, in the document's fields."""
+    logs = views.with_structures(views.log_events(spark, folder))
+    events = logs.withColumns({"message_template": F.lit("plain"), "properties": structured_fields(logs, ["User", "Steps", "Seats"]), "exceptions": views.exception_chain(F.lit(0))})
+    options = DocumentOptions(render_message=False, render_template=False, omit_enclosing_object=True)
+    return document.with_document(events, options).select("event_id", F.regexp_extract("doc", r'("fields":.*)$', 1).alias("fields"))
+
+
 @query
 def build_document(spark, folder):
     return documents_of(spark, folder).select("event_id", "doc")

@@ -96,6 +96,14 @@ def with_payload(logs: DataFrame) -> DataFrame:
     })
 
 
+def with_structures(logs: DataFrame) -> DataFrame:
+    """Events with a structure, a sequence and a dictionary among their columns."""
+    return logs.withColumns({
+        "User": F.struct(F.col("user_id").alias("Id"), F.when(F.col("event_id") % 3 > 0, "Account").alias("_typeTag"), F.col("event_type").alias("Last Type")),
+        "Steps": F.array(F.col("event_id"), F.lit(None).cast("bigint"), F.lit(2).cast("bigint")),
+        "Seats": F.create_map(F.lit(20), F.array(F.lit("a\"b"), F.col("level")), F.lit(3), F.array().cast("array<string>"))})
+
+
 def deep_properties() -> Column:
     """Properties as JSON text with objects in objects, three and ten levels down."""
     def nested(levels: int, leaf: Column) -> Column:
