@@ -339,6 +339,9 @@ FROM depths WHERE d % 5 <> 4 GROUP BY 1, 2, 3""",
     + """SELECT event_id, CAST(d AS INTEGER) AS depth, 'E' || (d % 3) AS class_name, 'm' || d AS message,
   CASE WHEN d % 2 = 0 THEN 'app' END AS source, CAST(-d AS INTEGER) AS hresult FROM depths""",
     "stream_direct": after() + PER_INDEX + " WHERE level_rank >= 2 GROUP BY 1",
+    "stream_direct_requests": after()
+    + f"""SELECT {DAILY} AS index, level, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum, CAST(sum(CASE WHEN status >= 300 THEN 1 ELSE 0 END) AS BIGINT) AS n_failed
+FROM log_events WHERE level_rank >= 2 GROUP BY 1, 2""",
     "stream_durable_restart": after() + PER_INDEX + " GROUP BY 1",
     "stream_late_events": after() + PER_INDEX + " GROUP BY 1",
 }

@@ -14,7 +14,7 @@ from eventmill.operators.running import ROWS_PER_CHUNK, plan_chunks
 from eventmill.options import DocumentOptions, RouteOptions
 from eventmill.plans import indexing, shipping
 from eventmill.plans.stub import RuleClient
-from eventmill.session import new_folder
+from eventmill.session import new_folder, written
 from eventmill.sources import buffer, store, views
 from eventmill.streaming import jobs
 
@@ -747,6 +747,26 @@ def stream_direct(spark, folder):
     return _totals(spark.read.parquet(out))
 
 
+@query
+def stream_direct_requests(spark, folder):
+    """Each micro-batch goes the whole way: documents, request batches, answers, and the events of failed items."""
+    def shipped(batch):
+        logs = views.with_payload(views.log_columns(batch))
+        rows = written(indexing.direct_requests(logs, "Information"), "requests")
+        # The store answers with the status that each event carries.
+        sent = rows.join(logs.select("event_id", "status"), "event_id").withColumn("doc_id", F.col("event_id").cast("string"))
+        failed = delivery.failures_by_position(rows.select("batch_id", "pos"), delivery.parsed(views.bulk_responses(sent)))
+        lost = failed.select("batch_id", "pos", F.lit(1).alias("failed"))
+        return rows.join(lost, ["batch_id", "pos"], "left").select(
+            F.col("_index").alias("index"), "event_id", F.coalesce("failed", F.lit(0)).alias("failed"),
+            F.get_json_object("action", "$.index._index").alias("target"), F.get_json_object("doc", "$.level").alias("level"))
+
+    out = new_folder(spark, "shipped")
+    jobs.drained(jobs.ship(jobs.event_stream(spark, folder, "events"), shipped, out, new_folder(spark, "checkpoint")))
+    return spark.read.parquet(out).where("index = target").groupBy("index", "level").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("id_sum"), F.sum("failed").alias("n_failed"))
+
+
 @query
 def stream_durable_restart(spark, folder):
     lines = views.buffer_lines(views.log_events(spark, folder)).select(
