@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmill.functions.times import ROLLING_INTERVALS
-from eventmill.options import BUFFER_FILE_COUNT_LIMIT
+from eventmill.options import BUFFER_FILE_COUNT_LIMIT, ShippingOptions
 
 # The newest files always kept, and the intervals too coarse to ship.
 ALWAYS_KEPT = 2
@@ -62,6 +62,17 @@ def keep_by_count(
     return ranked.withColumn("keep", F.lit(True) if limit is None else F.col("rank") <= limit)
 
 
+def kept_buffers(
+    files: DataFrame, shipping: ShippingOptions, part: str, order: list[Column], size: str = "size_bytes", keys: list[str] | None = None
+) -> DataFrame:
+    """Adds ``keep``: files within the count limit of the options, and within their size limit for one file times that count."""
+    counted = keep_by_count(files, part, order, shipping.file_count_limit, size, keys)
+    if shipping.file_size_limit is None or shipping.file_count_limit is None:
+        return counted
+    total = shipping.file_size_limit * shipping.file_count_limit
+    return counted.withColumn("keep", F.col("keep") & ((F.col("rank") <= ALWAYS_KEPT) | (F.col("running_bytes") <= total)))
+
+
 def evictions(files: DataFrame, positions: DataFrame, source: str = "source", file: str = "file_name",
               order: str = "file_rank") -> DataFrame:
     """What an idle shipper does per source.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventmill.functions.template import common_templates
@@ -10,8 +10,9 @@ from eventmill.operators.bulk import action_line, durable_id, in_batches, reques
 from eventmill.operators.document import with_document
 from eventmill.operators.filters import at_least, fits
 from eventmill.operators.retention import check_shippable
-from eventmill.operators.routing import buffered_index, decided_index, pipeline_name
+from eventmill.operators.routing import Routed, buffered_index, decided_index, pipeline_name, route_to_targets, type_name
 from eventmill.options import BatchOptions, DocumentOptions, RouteOptions, ShippingOptions
+from eventmill.sources.buffer import stored_lines_with_offsets
 
 
 def routed_events(
@@ -51,6 +52,35 @@ def direct_requests(
         action_line(batches.op, F.col("_index"), pipeline=F.col("pipeline")).alias("action"), "doc")
 
 
+def requests_by_target(
+    events: DataFrame, targets: DataFrame, minimum: str | None = None, routes: RouteOptions = RouteOptions(),
+    documents: DocumentOptions = DocumentOptions(), batches: BatchOptions = BatchOptions(),
+) -> Routed:
+    """Request rows of direct mode for several destinations, with the index and the document type each of them takes.
+
+    ``events`` have a ``target``; ``targets`` are few literal rows, see
+    :func:`routing.route_to_targets`. ``failed`` holds the events that a failed
+    sink does not send.
+    """
+    chosen = at_least(events, minimum)
+    routed = route_to_targets(chosen, targets, routes)
+    typed = routed.sent.withColumns({"_index": F.col("index"), "_type": type_name(F.col("version"), F.col("type_name"))})
+    batched = in_batches(typed, ["target", "_index"], ["ts", "event_id"], batches.posting_limit)
+    rows = with_document(batched, documents, common=common_templates(chosen)).select(
+        "batch_id", "pos", "event_id", "target", "_index",
+        action_line(batches.op, F.col("_index"), F.col("_type"), F.lit(routes.pipeline).cast("string")).alias("action"), "doc")
+    return Routed(rows, routed.failed)
+
+
+def stored_requests(
+    spark: SparkSession, folder: str, base: str, routes: RouteOptions = RouteOptions(), batches: BatchOptions = BatchOptions(),
+    shipping: ShippingOptions = ShippingOptions(),
+) -> tuple[DataFrame, DataFrame]:
+    """Durable mode over a folder of buffer files: request rows, and the lines that no index can be told for."""
+    lines = stored_lines_with_offsets(spark, folder, base, shipping.assume_bom, shipping.newline)
+    return durable_requests(lines, routes, batches, shipping), undated_lines(lines, routes, shipping)
+
+
 def undated_lines(
     lines: DataFrame, routes: RouteOptions = RouteOptions(), shipping: ShippingOptions = ShippingOptions(), index_decider: Column | None = None,
 ) -> DataFrame:
@@ -67,7 +97,7 @@ def _line_index(routes: RouteOptions, shipping: ShippingOptions, index_decider:
 
 def durable_requests(
     lines: DataFrame, routes: RouteOptions = RouteOptions(), batches: BatchOptions = BatchOptions(),
-    shipping: ShippingOptions = ShippingOptions(), type_name: Column | None = None, index_decider: Column | None = None,
+    shipping: ShippingOptions = ShippingOptions(), doc_type: Column | None = None, index_decider: Column | None = None,
 ) -> DataFrame:
     """Request rows of durable mode from ``lines(file_name, line, start_offset, next_offset)``.
 
@@ -87,7 +117,7 @@ def durable_requests(
     doc_id = durable_id(F.col("pos"), F.col("file_name"), F.col("start_offset"))
     return sized.select(
         "batch_id", "pos", "file_name", "start_offset", "next_offset", index.alias("_index"), doc_id.alias("doc_id"),
-        action_line(batches.op, index, type_name, F.lit(routes.pipeline).cast("string"), doc_id).alias("action"),
+        action_line(batches.op, index, doc_type, F.lit(routes.pipeline).cast("string"), doc_id).alias("action"),
         F.col("line").alias("doc"))
 
 

@@ -167,6 +167,12 @@ FROM (SELECT event_id, CAST(CAST(value / 7 AS DECIMAL(30,17)) AS VARCHAR) || '49
     + f"""SELECT event_id, target, CASE WHEN NOT registration_ok AND recovery = 'IndexToDeadletterIndex'
   THEN 'DeadLetter-' || strftime(ts, '%Y.%m.%d') ELSE {DAILY} END AS index
 FROM targeted WHERE registration_ok OR recovery <> 'FailSink'""",
+    "direct_end_to_end": after(TARGETS, f"""sent AS (SELECT target, CASE WHEN NOT registration_ok AND recovery = 'IndexToDeadletterIndex'
+  THEN 'DeadLetter-' || strftime(ts, '%Y.%m.%d') ELSE {DAILY} END AS index, {TYPE_NAME} AS doc_type
+FROM targeted WHERE level_rank >= 2 AND (registration_ok OR recovery <> 'FailSink'))""")
+    + """SELECT target, index, doc_type, count(*) AS n, CAST(least(count(*), 50) - 1 AS INTEGER) AS last_pos, (count(*) + 49) // 50 AS batches FROM sent GROUP BY 1, 2, 3
+UNION ALL SELECT target, NULL, NULL, count(*), NULL, NULL FROM targeted
+WHERE level_rank >= 2 AND NOT registration_ok AND recovery = 'FailSink' GROUP BY target""",
     "route_pipeline": after()
     + "SELECT event_id, CASE level WHEN 'Fatal' THEN 'alerts' WHEN 'Verbose' THEN NULL ELSE 'main' END AS pipeline FROM log_events",
     "resolve_type_name": after(TARGETS)

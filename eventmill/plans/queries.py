@@ -294,6 +294,19 @@ def route_dead_letter(spark, folder):
     return routed.sent.select("event_id", "target", "index")
 
 
+@query
+def direct_end_to_end(spark, folder):
+    """Requests of several destinations: dead letters, document types, and the events of a failed sink."""
+    logs = views.log_events(spark, folder).withColumn("target", F.concat(F.lit("t"), (F.col("user_id") % 5).cast("string")))
+    options = RouteOptions(dead_letter_format="DeadLetter-{0:yyyy.MM.dd}")
+    routed = indexing.requests_by_target(views.with_payload(logs), views.targets(spark), "Information", options)
+    sent = routed.sent.groupBy("target", "_index", F.get_json_object("action", "$.index._type").alias("doc_type")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("pos").alias("last_pos"), F.count_distinct("batch_id").alias("batches"))
+    unsent = routed.failed.groupBy("target").agg(F.count(F.lit(1)).alias("n"))
+    return sent.select("target", F.col("_index").alias("index"), "doc_type", "n", "last_pos", "batches").unionByName(
+        unsent, allowMissingColumns=True)
+
+
 @query
 def route_pipeline(spark, folder):
     decider = F.when(F.col("level") == "Fatal", "alerts").when(F.col("level") == "Verbose", " ")

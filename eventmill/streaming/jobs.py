@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eventmill.options import BUFFER_SHIPPING_SECONDS, PERIOD_SECONDS
+from eventmill.options import PERIOD_SECONDS, ShippingOptions
 from eventmill.session import prepare
 
 
@@ -58,9 +58,11 @@ def ship_direct(stream: DataFrame, transform: Callable[[DataFrame], DataFrame],
     return ship(stream, transform, out, checkpoint, seconds=PERIOD_SECONDS)
 
 
-def ship_durable(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], out: str, checkpoint: str) -> StreamingQuery:
+def ship_durable(
+    stream: DataFrame, transform: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, shipping: ShippingOptions = ShippingOptions()
+) -> StreamingQuery:
     """Durable mode: a micro-batch each shipping interval."""
-    return ship(stream, transform, out, checkpoint, seconds=BUFFER_SHIPPING_SECONDS)
+    return ship(stream, transform, out, checkpoint, seconds=shipping.period_seconds)
 
 
 def drained(query: StreamingQuery) -> None:

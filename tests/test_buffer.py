@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventmill.operators import retention
-from eventmill.options import BatchOptions, RouteOptions
+from eventmill.options import BatchOptions, RouteOptions, ShippingOptions
 from eventmill.plans import indexing
 from eventmill.sources import buffer, store
 
@@ -132,6 +132,21 @@ def test_retention(files):
     assert kept(retention.keep_dumps(files, 10, 20, "file_date", order)) == []
 
 
+def test_stored_requests(spark, folder):
+    """From files to requests: every line of a dated file, none of the others."""
+    rows, undated = indexing.stored_requests(spark, folder, "app")
+    got = {r.file_name: r.n for r in rows.groupBy("file_name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert {n: got.get(n) for n in NAMES} == dict.fromkeys(NAMES, 40)
+    assert {r.reason for r in undated.collect()} == {"no date in file name app-202401.json"}
+
+
+def test_kept_buffers(spark):
+    files = spark.createDataFrame([(f"2024010{d}", d, 10) for d in range(1, 8)], "file_date string, seq int, size_bytes int")
+    for size, count, want in ((10, 5, 5), (7, 5, 3), (None, 4, 4), (5, None, 7)):
+        options = ShippingOptions(file_size_limit=size, file_count_limit=count)
+        assert retention.kept_buffers(files, options, "file_date", [F.col("seq").desc()]).where("keep").count() == want
+
+
 def test_evictions(spark):
     files = spark.createDataFrame([
         ("one", "f1", 1, 5), ("two", "f1", 1, 5), ("two", "f2", 2, 5), ("part", "f1", 1, 5), ("part", "f2", 2, 5),
