@@ -1,11 +1,16 @@
 """Vector links against all pairs."""
 
+import compare
+import duckdb
 import helpers
 import numpy as np
 import pandas as pd
 import pytest
+from conftest import MEDIUM
 
 from eventmill.llm import vectors
+from eventmill.llm.oracle import ORACLES
+from eventmill.llm.queries import QUERIES
 
 
 def clustered(n=700, dim=24, seed=3):
@@ -65,6 +70,22 @@ def test_awkward_rows(spark):
     assert vectors.near_vectors(docs.limit(0)).collect() == []
 
 
+def test_sql(spark):
+    name = "op8_near_vectors"
+    assert compare.spark_rows(QUERIES[name](spark, MEDIUM)) == compare.sql_rows(compare.connection(MEDIUM), ORACLES[name])
+
+
+def test_sql_on_links(spark, tmp_path):
+    """The SQL against a table with links, which the small tables lack."""
+    near = plain(clustered(60), vectors.COSINE)
+    table(spark, clustered(60)).coalesce(1).write.parquet(str(tmp_path / "e"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{next((tmp_path / 'e').glob('*.parquet'))}'")
+    rows = {r[3]: r for r in compare.sql_rows(con, ORACLES["op8_near_vectors"])[1]}
+    assert {i: r[2] for i, r in rows.items()} == {i: int(near[i].sum()) for i in range(60)} and near.any()
+    assert {i: r[0] for i, r in rows.items()} == helpers.components(range(60), lambda a, b: near[a, b])
+
+
 def test_calibration():
     """Enough collisions for pairs at the threshold, and more tables for more cuts."""
     rng = np.random.default_rng(0)
