@@ -224,6 +224,11 @@ FROM batched GROUP BY batch_id""",
 FROM batched WHERE status >= 300""",
     "route_failures": after()
     + """SELECT route, event_id, status FROM log_events CROSS JOIN (VALUES ('self_log'), ('failure_sink')) r(route) WHERE status >= 300""",
+    "handle_failed_batches": after(BATCHED, """failed AS (SELECT event_id, CASE WHEN (place // 50) % 7 = 3 THEN 503 ELSE status END AS status
+  FROM batched WHERE status >= 300 OR (place // 50) % 7 = 3)""")
+    + """SELECT route, event_id, CAST(status AS INTEGER) AS status, (SELECT count(*) FROM failed WHERE status = 503) > 0 AS stopped
+FROM failed CROSS JOIN (VALUES ('self_log'), ('failure_sink')) r(route)
+UNION ALL SELECT 'self_log', -1, 0, (SELECT count(*) FROM failed WHERE status = 503) > 0""",
     "clean_and_resend": after()
     + f"""SELECT event_id, {STUB_STATUS} AS first_status, CASE WHEN user_id % 89 = 0 THEN 429 ELSE 201 END AS second_status
 FROM log_events WHERE {STUB_STATUS} >= 300""",
@@ -298,6 +303,10 @@ FROM fold f JOIN numbered n ON n.bucket = f.bucket AND n.rn = f.rn + 1)""", recu
     "document_structured_fields": after()
     + """SELECT event_id, '"fields":{"User":{' || CASE WHEN event_id % 3 > 0 THEN '"_typeTag":"Account",' ELSE '' END || '"Id":' || user_id || ',"Last Type":"' || event_type
   || '"},"Steps":[' || event_id || ',null,2],"Seats":{"20":["a\\"b","' || level || '"],"3":[]}}' AS fields FROM log_events""",
+    "document_custom_formatter": after()
+    + """SELECT event_id, CASE WHEN event_id % 10 <> 3 THEN '{"severity":"' || level || '","body":' || props || '}' END AS doc FROM log_events""",
+    "resolve_caller_mapping": after(FIELDS) + """SELECT path, type, count(*) AS n, CASE WHEN type = 'string' THEN 'words' ELSE 'k' END AS rule,
+  CASE WHEN type = 'string' THEN 'keyword' ELSE 'double' END AS mapped_type, CASE WHEN type = 'string' THEN 10 END AS raw_limit FROM fields GROUP BY path, type""",
     "infer_deep_fields": f"""SELECT path, type, n FROM (
   SELECT 'fields.three.l1.l2.l3' AS path, 'boolean' AS type, count(*) AS n FROM events
   UNION ALL SELECT 'fields.ten.l1.l2.l3.l4.l5.l6.l7.l8.l9.l10', CASE WHEN event_id % 7 = 0 THEN 'string' ELSE 'long' END, count(*) FROM events GROUP BY 2
@@ -348,6 +357,9 @@ FROM depths WHERE d % 5 <> 4 GROUP BY 1, 2, 3""",
     "stream_direct_requests": after()
     + f"""SELECT {DAILY} AS index, level, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum, CAST(sum(CASE WHEN status >= 300 THEN 1 ELSE 0 END) AS BIGINT) AS n_failed
 FROM log_events WHERE level_rank >= 2 GROUP BY 1, 2""",
+    "stream_level_switch": after()
+    + """SELECT minimum, level, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum FROM log_events JOIN (VALUES ('Error', 4), ('Debug', 1)) m(minimum, rank)
+ON level_rank >= rank GROUP BY 1, 2""",
     "stream_durable_restart": after() + PER_INDEX + " GROUP BY 1",
     "stream_late_events": after() + PER_INDEX + " GROUP BY 1",
 }

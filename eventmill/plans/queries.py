@@ -202,6 +202,16 @@ def document_structured_fields(spark, folder):
     return document.with_document(events, options).select("event_id", F.regexp_extract("doc", r'("fields":.*)$', 1).alias("fields"))
 
 
+@query
+def document_custom_formatter(spark, folder):
+    """Documents of a caller's own formatter, and the events for which it gives no valid JSON."""
+    logs = views.log_events(spark, folder).select("event_id", "level", "props")
+    fields = F.when(F.col("event_id") % 10 == 3, F.lit("{broken")).otherwise(F.col("props"))
+    made, broken = document.custom_document(
+        logs, lambda rows: F.concat(F.lit('{"severity":"'), F.col("level"), F.lit('","body":'), fields, F.lit("}")))
+    return made.select("event_id", "doc").unionAll(broken.select("event_id", F.lit(None).cast("string").alias("doc")))
+
+
 @query
 def build_document(spark, folder):
     return documents_of(spark, folder).select("event_id", "doc")
@@ -472,6 +482,40 @@ def route_failures(spark, folder):
     return routes[0].unionByName(routes[1])
 
 
+@query
+def handle_failed_batches(spark, folder):
+    """Handlers get the failed items and every event of a request that failed as a whole; one handler fails itself, and delivery is stopped last."""
+    events = batched_events(spark, folder)
+    lost = F.split("batch_id", "#")[1].cast("int") % 7 == 3
+    answers = views.bulk_responses(events).withColumns({
+        "success": ~lost, "http_status": F.when(lost, 503).otherwise(F.col("http_status")), "response": F.when(~lost, F.col("response"))})
+    answers = written(delivery.parsed(answers), "answers")
+    rows = events.select("batch_id", "pos", "event_id")
+    items = delivery.failures_by_position(rows, answers).select("event_id", "status")
+    batches = delivery.whole_batch_failures(rows, answers).select("event_id", F.col("http_status").alias("status"))
+    folders = {name: new_folder(spark, name) for name in ("self_log", "failure_sink")}
+
+    def refuses(failed):
+        raise ValueError("no room")
+
+    def logs(failed):
+        if "message" in failed.columns:
+            failed = failed.select(F.lit(-1).cast("bigint").alias("event_id"), F.lit(0).alias("status"))
+        failed.select("event_id", F.col("status").cast("int").alias("status")).write.mode("append").parquet(folders["self_log"])
+
+    flags = delivery.WRITE_TO_SELF_LOG | delivery.WRITE_TO_FAILURE_SINK | delivery.RAISE_CALLBACK | delivery.THROW_EXCEPTION
+    stopped = False
+    try:
+        delivery.handle_failures(items, batches, flags, {
+            "self_log": logs, "callback": refuses,
+            "failure_sink": lambda failed: failed.select("event_id", F.col("status").cast("int").alias("status")).write.parquet(folders["failure_sink"])})
+    except delivery.DeliveryFailed:
+        stopped = True
+    routes = [spark.read.parquet(path).select(F.lit(name).alias("route"), "event_id", "status", F.lit(stopped).alias("stopped"))
+              for name, path in folders.items()]
+    return routes[0].unionAll(routes[1])
+
+
 @query
 def clean_and_resend(spark, folder):
     outcome = shipping.ship_durable_rows(
@@ -651,6 +695,15 @@ def resolve_dynamic_mapping(spark, folder):
         F.col("_m.raw_limit").alias("raw_limit"))
 
 
+@query
+def resolve_caller_mapping(spark, folder):
+    """A caller's own rules, in their order, instead of the default ones."""
+    rules = (mapping.DynamicRule("words", "keyword", value_type="string", raw_limit=10), mapping.DynamicRule("k", "double", path_regex=r"^fields\.k$"))
+    found = mapping.inventory(_fields(spark, folder))
+    return found.withColumn("_m", mapping.dynamic_mapping(F.col("path"), F.col("type"), rules)).select(
+        "path", "type", "n", F.col("_m.rule").alias("rule"), F.col("_m.type").alias("mapped_type"), F.col("_m.raw_limit").alias("raw_limit"))
+
+
 @query
 def apply_explicit_mapping(spark, folder):
     logs = views.log_events(spark, folder)
@@ -780,6 +833,18 @@ def stream_direct_requests(spark, folder):
         F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("id_sum"), F.sum("failed").alias("n_failed"))
 
 
+@query
+def stream_level_switch(spark, folder):
+    """A threshold read anew for every micro-batch: a second stream over the same table meets another one."""
+    out, current = new_folder(spark, "shipped"), {"minimum": "Error"}
+    run = jobs.switched(lambda session: current["minimum"], lambda batch, minimum: filters.at_least(views.log_columns(batch), minimum).select(
+        "event_id", "level", F.lit(minimum).alias("minimum")))
+    for number, minimum in enumerate(("Error", "Debug")):
+        current["minimum"] = minimum
+        jobs.drained(jobs.ship(jobs.event_stream(spark, folder, "events"), run, f"{out}/run={number}", new_folder(spark, "checkpoint")))
+    return spark.read.parquet(out).groupBy("minimum", "level").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("id_sum"))
+
+
 @query
 def stream_durable_restart(spark, folder):
     lines = views.buffer_lines(views.log_events(spark, folder)).select(
