@@ -103,56 +103,58 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -
 
 
 def share_tails(tails: dict[int, int], capacity: int) -> dict[int, tuple[int, int]]:
-    """For each class with a part-filled bin: (the class whose sequence it joins, its place there). First fit, largest first."""
-    shared: list[list] = []  # [tokens, classes]
+    """For each class with a part-filled bin of so many tokens: (the class whose sequence it joins, its offset there). First fit, largest first."""
+    shared: list[tuple[list[int], int]] = []  # the classes and tokens of a sequence
+    found = {}
     for cls, tokens in sorted(tails.items(), key=lambda x: (-x[1], x[0])):
-        home = next((s for s in shared if s[0] + tokens <= capacity), None)
-        if home is None:
-            shared.append(home := [0, []])
-        home[0] += tokens
-        home[1].append(cls)
-    return {cls: (classes[0], i) for _, classes in shared for i, cls in enumerate(classes)}
+        home = next((i for i, (_, filled) in enumerate(shared) if filled + tokens <= capacity), len(shared))
+        classes, filled = shared[home] if home < len(shared) else ([], 0)
+        shared[home:home + 1] = [([*classes, cls], filled + tokens)]
+        found[cls] = (shared[home][0][0], filled)
+    return found
 
 
 def pack(cut_up: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Adds sequence_id and offset to pieces. Only the count of each class (some 50 rows) comes to the driver."""
+    """Adds sequence_id and offset to pieces. Only counts of the classes (some 50 rows) come to the driver.
+
+    A round numbers the pieces of each (class, worker) and sums up lengths along
+    each bin in the same stage; full bins are done, the rest goes on.
+    """
     sizes = class_sizes(capacity)
     n_classes = len(sizes)
     tops = F.array(*map(F.lit, reversed(sizes)))  # the class of a piece: the smallest that holds it
     cls = n_classes - 1 - F.array_position(F.transform(tops, lambda size: size >= F.col("length")), True).cast("int") + 1
     rest = written(cut_up.withColumn("cls", cls), "pieces")
     in_order = [F.col(c) for c in ("doc_id", "start", "ids_crc32", "length")]
-    placed = []
+    output = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    placed = None
     for step in range(ROUNDS):
         counts = {r.cls: r.n for r in rest.groupBy("cls").agg(F.count(F.lit(1)).alias("n")).collect()}
         per_bin = {c: capacity // sizes[c] for c in counts}
         workers = {c: max(1, n // max(BINS * per_bin[c], ROWS)) for c, n in counts.items()}
-        last = all(n == 1 for n in workers.values())
-        tails = share_tails({c: n % per_bin[c] * sizes[c] for c, n in counts.items() if n % per_bin[c]}, capacity) if last else {}
-        plan = F.array(*(F.struct(F.lit(workers.get(c, 1)).cast("long").alias("workers"), F.lit(per_bin.get(c, 1)).cast("long").alias("per_bin"),
-                                  F.lit(tails.get(c, (c, 0))[0]).alias("home"), F.lit(tails.get(c, (c, 0))[1]).alias("place")) for c in range(n_classes)))
+        plan = F.array(*(F.struct(F.lit(workers.get(c, 1)).cast("long").alias("workers"), F.lit(per_bin.get(c, 1)).cast("long").alias("per_bin"))
+                         for c in range(n_classes)))
         rule = plan[F.col("cls")]
         group = Window.partitionBy("cls", "worker")
-        numbered = rest.withColumn("worker", F.pmod(F.xxhash64(F.lit(step), "doc_id", "start", "ids_crc32"), rule["workers"])).withColumn(
-            "rank", F.row_number().over(group.orderBy(*in_order)) - 1).withColumn("n", F.count(F.lit(1)).over(group)).select(*rest.columns, "worker", "rank", "n", rule.alias("rule"))
-        bin_no = F.floor(F.col("rank") / F.col("rule.per_bin"))
-        full = bin_no < F.floor(F.col("n") / F.col("rule.per_bin"))
-        number = lambda c: ((F.col("worker") + F.col("rule.workers") * bin_no) * n_classes + c) * ROUNDS + step
-        tail = (F.col("rule.home") + F.lit(0).cast("long")) * ROUNDS + step
+        numbered = rest.withColumn("worker", F.pmod(F.xxhash64(F.lit(step), "doc_id", "start", "ids_crc32"), rule["workers"])).withColumns({
+            "rank": F.row_number().over(group.orderBy(*in_order)) - 1, "n": F.count(F.lit(1)).over(group)})
+        numbered = numbered.withColumns({"bin": F.floor(F.col("rank") / rule["per_bin"]), "full": F.floor(F.col("n") / rule["per_bin"])})
+        along = Window.partitionBy("cls", "worker", "bin").orderBy(*in_order).rowsBetween(Window.unboundedPreceding, 0)
+        number = ((F.col("worker") + rule["workers"] * F.col("bin")) * n_classes + F.col("cls")) * ROUNDS + step
         numbered = written(numbered.select(
-            *rest.columns, full.alias("full"), F.when(full, number(F.col("cls"))).otherwise(-1 - tail).cast("long").alias("sequence_id"),
-            F.when(full, 0).otherwise(F.col("rule.place")).alias("place")), "packed")
-        placed.append(numbered if last else numbered.where("full"))
-        if last:
+            *rest.columns, (F.col("bin") < F.col("full")).alias("full"), number.cast("long").alias("sequence_id"),
+            (F.sum("length").over(along) - F.col("length")).alias("offset")), "packed")
+        full, left = numbered.where("full").select(*output), numbered.where("NOT full")
+        placed = full if placed is None else placed.unionAll(full)
+        if all(n == 1 for n in workers.values()):
             break
-        rest = numbered.where("NOT full").select(*rest.columns)
-    together = placed[0]
-    for more in placed[1:]:
-        together = together.unionAll(more)
-    sequence = Window.partitionBy("sequence_id").orderBy("place", *in_order).rowsBetween(Window.unboundedPreceding, 0)
-    return together.select(
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
-        (F.sum("length").over(sequence) - F.col("length")).alias("offset"))
+        rest = left.select(*rest.columns)
+    tails = {r.cls: r.n for r in left.groupBy("cls").agg(F.sum("length").alias("n")).collect()}
+    places = share_tails(tails, capacity)
+    home = F.array(*(F.lit(places.get(c, (c, 0))[0]).cast("long") for c in range(n_classes)))[F.col("cls")]
+    base = F.array(*(F.lit(places.get(c, (c, 0))[1]).cast("long") for c in range(n_classes)))[F.col("cls")]
+    shared = left.withColumns({"sequence_id": -1 - home, "offset": F.col("offset") + base}).select(*output)
+    return placed.unionAll(shared)
 
 
 def packed(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
