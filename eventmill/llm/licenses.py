@@ -2,9 +2,9 @@
 
 The templates' words are indexed by template and position. Over all files it is
 counted how many hold each of these words; every template is then found through
-its rarest ones. In a file, the places of its rarest licence words are turned
-into (template, start) by the index's postings; starts that several of them
-agree on are candidates, and a candidate is verified against the template's
+its rarest ones. In a file, the places of all these words are turned into
+(template, start) by the index's postings; starts that several of them
+agree on are candidates, however many licences the file holds, and a candidate is verified against the template's
 words and its mandatory key phrases. It runs row by row in Spark expressions:
 only the word counts, one row for each template word, are gathered.
 """
@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from eventmill.llm.common import let, whole_text
 
-#: Rarest words that each template is looked up by, and that a file is looked up with.
-TEMPLATE_WORDS, FILE_WORDS = 3, 12
+#: Rarest words that each template is looked up by.
+TEMPLATE_WORDS = 3
 #: Words of an edit that may shift a template's parts against each other, and share of its words that must stand in place.
 SHIFT, MATCH = 1, 0.6
 
@@ -123,27 +123,27 @@ def starts_by(hits: Column, word: str, position: int) -> Column:
 
 
 def agreed(starts: Column) -> Column:
-    """The starts that two words give at least, give or take a shift."""
-    return let(starts, lambda s: F.filter(F.array_distinct(s), lambda x: F.size(F.filter(s, lambda y: F.abs(y - x) <= SHIFT)) >= 2))
+    """The starts that two words give at least, give or take a shift: in order, the next one or the last one is near."""
+    def near(s: Column) -> Column:
+        return F.filter(s, lambda x, i: (x - F.get(s, i - 1) <= SHIFT) | (F.get(s, i + 1) - x <= SHIFT))
+
+    return F.array_distinct(let(F.array_sort(starts), near))
 
 
 def template_scores(words: Column, postings: list[tuple[str, list[tuple[int, int]]]]) -> Column:
-    """An array with the best score of each template, through the postings of the file's rarest licence words."""
-    rare = literal([w for w, _ in postings])  # rarest first
-    mine = F.slice(F.filter(rare, lambda w: F.array_contains(words, w)), F.lit(1), F.lit(FILE_WORDS))
-    hits = F.filter(F.transform(words, lambda w, i: F.when(w.isin([w for w, _ in postings]), F.struct(w.alias("w"), i.alias("i")))), lambda x: x.isNotNull())
+    """An array with the best score of each template, through the postings of every index word of the file."""
+    rare = [w for w, _ in postings]
+    hits = F.filter(F.transform(words, lambda w, i: F.when(w.isin(rare), F.struct(w.alias("w"), i.alias("i")))), lambda x: x.isNotNull())
 
-    def by_template(mine: Column, hits: Column) -> Column:
-        own = F.filter(hits, lambda h: F.array_contains(mine, h["w"]))
+    def by_template(hits: Column) -> Column:
         scores = []
         for t in range(len(TEMPLATES)):
             known = [(w, at) for w, posts in postings for tpl, at in posts if tpl == t]
-            starts = F.flatten(F.array(*(starts_by(own, w, at) for w, at in known)))
+            starts = F.flatten(F.array(*(starts_by(hits, w, at) for w, at in known)))
             scores.append(verified(words, t, agreed(starts)))
         return F.array(*scores)
 
-    found = let(mine, lambda m: let(hits, lambda h: by_template(m, h)))
-    return F.when(F.arrays_overlap(words, rare), found).otherwise(F.array().cast("array<double>"))
+    return F.when(F.arrays_overlap(words, literal(rare)), let(hits, by_template)).otherwise(F.array().cast("array<double>"))
 
 
 def scanned(docs: DataFrame) -> DataFrame:

@@ -41,5 +41,14 @@ def test_templates(spark):
     assert found[5][0] == "" and found[6] == ("", 0.0)
 
 
+def test_file_with_every_template(spark):
+    notices = [text for _, text, _ in licenses.TEMPLATES]
+    rows = [(1, " and also ".join(notices)), (2, " ".join(reversed(notices))), (3, "word " * 5_000 + " filler ".join(notices)), (4, helpers.PROSE)]
+    rows += [(10 + i, f"{helpers.PROSE} {text} {helpers.PROSE}") for i, text in enumerate(notices)]
+    found = {r.doc_id: r.labels for r in licenses.scanned(helpers.documents(spark, rows)).collect()}
+    every = ",".join(sorted({label for label, _, _ in licenses.TEMPLATES}))
+    assert found[1] == found[2] == found[3] == every and found[4] == ""
+
+
 def test_empty(spark):
     assert licenses.scanned(helpers.documents(spark, [])).collect() == []
