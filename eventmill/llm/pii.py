@@ -1,12 +1,14 @@
 """Personal data by bootstrapped contextual extraction.
 
-Four patterns find the seed entities. What surrounds them in the text - the two
-words before, the word before with the word behind, and what a value is glued
-to - are lexical patterns; each identifier-like value of the corpus is an
-instance. Patterns are scored by the known instances that they surround among
-all that they surround, instances by the patterns that surround them, in turn,
-over the graph of both. Values inside a pattern of high confidence are
-identifiers too, though no seed pattern matches them.
+Four patterns find the seed entities. What surrounds a whole seed in the text -
+the two pieces before, the piece before with the word behind, and what it is
+glued to - are lexical patterns; a piece is a word with what separates it from the
+next one. Whatever stands in the slot of a pattern that surrounds enough known
+instances is an instance too, with or without digits, of one word or several.
+Patterns are scored by the sure instances among all that they surround, instances
+by the patterns that surround them, in turn, over the graph of both. Values
+inside a pattern of high confidence are identifiers, though no seed pattern
+matches them.
 
 All of it is Spark SQL. The graph holds one row per different (pattern,
 instance), so copies of a document add nothing, and a pattern that surrounds a
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 from eventmill.llm.common import let, whole_text
 from eventmill.session import written
 
-#: Rounds of scoring; confidence from which a pattern extracts; different known instances that it must surround.
+#: Rounds of scoring each time patterns join; confidence from which a pattern extracts; different sure instances that it must surround.
 ROUNDS, CONFIDENT, SUPPORT = 3, 0.8, 5
 #: Characters before and after a value that its context is taken from.
 REACH = 80
@@ -35,8 +37,14 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 #: Kind of the spans that patterns discover.
 FOUND = "id"
-#: A value that may be an identifier: six characters or more with a digit, from its first one on.
-VALUE = r"(?:(?<![A-Za-z0-9._@%+-])|\G)(?=[A-Za-z._@%+-]*+[0-9])[A-Za-z0-9._@%+-]{5,}[A-Za-z0-9]"
+#: Characters of a word, and those that it must end with; a piece is a word and all up to the next one.
+IN_WORD, WORD_END = r"\p{L}\p{M}\p{N}._@%+-", r"\p{L}\p{M}\p{N}"
+PIECE = f"[{IN_WORD}]++[^{IN_WORD}]*+|[^{IN_WORD}]++"
+TAIL = f"(?<=[{WORD_END}])[^{WORD_END}]++$"
+#: Words that a discovered value may have.
+LONGEST = 5
+#: Up to so many patterns or instances are looked up in the rows themselves, more by a join.
+IN_ROWS = 2_000
 PART_TO_255 = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
 
@@ -93,78 +101,174 @@ def located(text: Column, pattern: str, gate: Column) -> Column:
     return F.when(gate, let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)).otherwise(none)
 
 
-def base_spans(text: Column) -> dict[str, Column]:
-    """Of each kind the array of (start, end), leftmost non-overlapping, failing matches dropped."""
-    gates = {"email": F.contains(text, F.lit("@")), "ip": text.rlike("[0-9]\\.[0-9]"), "card": text.rlike("[0-9][\\x20-]?[0-9]"), "phone": F.contains(text, F.lit("+"))}
-    patterns = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE}
+PATTERNS = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE}
 
-    def of(kind: str) -> Column:
-        fine = F.filter(located(text, patterns[kind], gates[kind]), lambda x: kept_match(kind, x["value"]))
-        return F.transform(fine, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
 
-    return {kind: of(kind) for kind in KINDS}
+def gates(text: Column) -> dict[str, Column]:
+    """Of each kind whether a text may have it."""
+    return {"email": F.contains(text, F.lit("@")), "ip": text.rlike("[0-9]\\.[0-9]"), "card": text.rlike("[0-9][\\x20-]?[0-9]"), "phone": F.contains(text, F.lit("+"))}
 
 
-def contexts(x: Column) -> Column:
-    """The lexical patterns around a value; one without a word before it has none."""
-    before, behind = F.lower(x["before"]), F.lower(x["behind"])
-    glued = F.regexp_extract(before, r"([^\s]++)$", 1)
-    one = F.regexp_extract(before, r"(\S+)\s*$", 1)
-    two = F.regexp_extract(before, r"(\S+\s+\S+)\s*$", 1)
-    after = F.regexp_extract(behind, r"^\s*(\S+)", 1)
+def plainly(text: Column) -> Column:
+    """In lower case, with single blanks; \0 parts the pieces of a pattern."""
+    return F.regexp_replace(F.lower(text), r"[\s\x00]+", " ")
+
+
+def pieces(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(PIECE), F.lit(0))
+
+
+def patterns_around(two: Column, one: Column, behind: Column) -> Column:
+    """The lexical patterns between the last two pieces before and the plain text behind; none without a piece before."""
+    after = F.regexp_replace(F.regexp_extract(behind, f"^[^{WORD_END}]*+[{IN_WORD}]++", 0), TAIL, "")
     return F.filter(F.array(
-        F.when(two != "", F.concat(F.lit("2 "), F.regexp_replace(two, r"\s+", " "))),
-        F.when((one != "") & (after != ""), F.concat(F.lit("1 "), one, F.lit(" _ "), after)),
-        F.when(glued != "", F.concat(F.lit("0 "), glued))), lambda p: p.isNotNull())
+        F.when((two != "") & (one != ""), F.concat(F.lit("2\0"), two, F.lit("\0"), one)),
+        F.when((one != "") & (after != ""), F.concat(F.lit("1\0"), one, F.lit("\0"), after)),
+        F.when((one != "") & ~one.endswith(" "), F.concat(F.lit("0\0"), one))), lambda p: p.isNotNull())
+
+
+def seeds_of(text: Column, kind: str, pattern: str, gate: Column) -> Column:
+    """The base spans of a kind as (start, end, instance, patterns): each whole span is an instance."""
+    fine = F.filter(located(text, pattern, gate), lambda x: kept_match(kind, x["value"]))
+
+    def seed(x: Column) -> Column:
+        around = let(F.transform(pieces(x["before"]), plainly), lambda q: patterns_around(
+            F.coalesce(F.get(q, F.size(q) - 2), F.lit("")), F.coalesce(F.get(q, F.size(q) - 1), F.lit("")), plainly(x["behind"])))
+        return F.struct(x["start"].alias("start"), x["end"].alias("end"), plainly(x["value"]).alias("instance"), around.alias("patterns"))
+
+    return F.transform(fine, seed)
 
 
 def extracted(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, email, ip, card, phone, values) of each row; no texts."""
+    """(doc_id, text_hash, text, email, ip, card, phone) of each row, the base spans with instance and patterns."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     text = F.col("text")
-    values = F.transform(located(text, VALUE, text.rlike("[0-9]")), lambda x: F.struct(
-        x["start"].alias("start"), x["end"].alias("end"), F.lower(x["value"]).alias("instance"), contexts(x).alias("patterns")))
-    return rows.select("doc_id", F.xxhash64("text").alias("text_hash"), *(c.alias(k) for k, c in base_spans(text).items()), values.alias("values"))
-
-
-def occurrences(found: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, start, end, instance, pattern, known) of every pattern around every value; known: a seed covers it."""
-    seeds = F.flatten(F.array(*KINDS))
-    each = found.where(F.size("values") > 0).select("doc_id", "text_hash", seeds.alias("seeds"), F.explode("values").alias("v")).select(
-        "doc_id", "text_hash", "v.start", "v.end", "v.instance", "v.patterns",
-        F.exists("seeds", lambda s: (s["start"] < F.col("v.end")) & (s["end"] > F.col("v.start"))).alias("known"))
-    return each.select("doc_id", "text_hash", "start", "end", "instance", "known", F.explode("patterns").alias("pattern"))
-
-
-def confident_patterns(occurring: DataFrame) -> DataFrame:
-    """(pattern, confidence) after the last round."""
-    graph = written(occurring.groupBy("pattern", "instance").agg(F.max("known").alias("known")), "graph")
-    # Only patterns with enough seeds can ever extract; what they surround is all that the rounds need.
-    seeded = graph.groupBy("pattern").agg(F.count_if("known").alias("seeds")).where(F.col("seeds") >= SUPPORT).select("pattern")
-    graph = written(graph.join(seeded, "pattern"), "graph")
+    return rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "text", *(seeds_of(text, k, PATTERNS[k], gate).alias(k) for k, gate in gates(text).items()))
+
+
+def joined_words(q: Column, i: Column, k: int) -> Column:
+    """Pieces i to i + k - 1 without what follows the last word."""
+    return F.regexp_replace(F.concat(*(F.coalesce(F.get(q, i + j), F.lit("")) for j in range(k))), TAIL, "")
+
+
+def candidates_at(q: Column, i: Column) -> Column:
+    """Each value of one to LONGEST words from piece i on, as (i, k, instance, pattern) of every pattern around it.
+
+    Only what stands behind tells where a value of several words ends, so other
+    patterns take one word, or all of a number that is written with blanks.
+    """
+    piece = lambda n: F.coalesce(F.get(q, i + n), F.lit(""))
+    number = F.coalesce(*(F.when((F.size(q) >= i + k) & joined_words(q, i, k).rlike(r"^[+]?[0-9][0-9 ().-]*+$"), k) for k in range(LONGEST, 1, -1)), F.lit(1))
+
+    def of(k: int, whole: Column) -> Column:
+        def made(value: Column) -> Column:
+            behind = F.concat(F.regexp_extract(piece(k - 1), TAIL, 0), piece(k), piece(k + 1))
+            fine = F.filter(patterns_around(piece(-2), piece(-1), behind), lambda p: p.startswith("1") | (whole == k))
+            return F.when((F.size(q) >= i + k) & value.rlike(f"(?s)^[{IN_WORD}].*[{WORD_END}]$"), F.transform(fine, lambda p: F.struct(
+                i.alias("i"), F.lit(k).alias("k"), value.alias("instance"), p.alias("pattern")))).otherwise(F.array().cast(CANDIDATE))
+        return let(joined_words(q, i, k), made)
+
+    return let(number, lambda whole: F.flatten(F.array(*(of(k, whole) for k in range(1, LONGEST + 1)))))
+
+
+CANDIDATE = "array<struct<i:int,k:int,instance:string,pattern:string>>"
+
+
+def with_places(hits: Column, p: Column) -> Column:
+    """Hits in order of i as (start, end, instance, pattern): code points, end exclusive; the pieces are gone through once."""
+    none = F.array().cast("array<struct<start:int,end:int,instance:string,pattern:string>>")
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"), none.alias("out"))
+    text = lambda a, n: F.array_join(F.slice(p, a + 1, n), "")
+
+    def step(acc: Column, x: Column) -> Column:
+        begin = acc["at"] + F.length(text(acc["i"], x["i"] - acc["i"]))
+        end = begin + F.length(F.regexp_replace(text(x["i"], x["k"]), TAIL, ""))
+        here = F.struct(begin.alias("start"), end.alias("end"), x["instance"].alias("instance"), x["pattern"].alias("pattern"))
+        return F.struct(begin.alias("at"), x["i"].alias("i"), F.array_append(acc["out"], here).alias("out"))
+
+    return F.aggregate(hits, start, step, lambda acc: acc["out"])
+
+
+def first_word(value: Column) -> Column:
+    return F.regexp_replace(F.regexp_extract(value, f"^[{IN_WORD}]*+", 0), TAIL, "")
+
+
+def looked_up(found: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """(doc_id, text_hash, start, end, instance, pattern) of every value outside base spans whose ``column`` is wanted."""
+    start = first_word(F.col(column)) if column == "instance" else F.get(F.split(column, "\0"), F.when(F.col(column).startswith("2"), 2).otherwise(1))
+    some = wanted.select(column, start).limit(IN_ROWS + 1).collect()
+    in_rows = len(some) <= IN_ROWS
+    few, first = [r[0] for r in some], sorted({r[1] for r in some})
+
+    def hits(p: Column) -> Column:
+        def of(q: Column) -> Column:
+            at = F.sequence(F.lit(0), F.size(q) - 1)
+            if in_rows and column == "pattern":
+                at = F.filter(at, lambda i: F.get(q, i - 1).isin(first))
+            elif in_rows:
+                at = F.filter(at, lambda i: first_word(F.get(q, i)).isin(first))
+            each = F.flatten(F.transform(at, lambda i: candidates_at(q, i)))
+            return F.filter(each, lambda x: x[column].isin(few)) if in_rows else each
+        return let(F.transform(p, plainly), lambda q: F.when(F.size(q) > 0, let(of(q), lambda h: with_places(h, p))))
+
+    seeds = F.transform(F.flatten(F.array(*KINDS)), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    values = let(seeds, lambda base: F.filter(let(pieces(F.col("text")), hits), lambda v: ~F.exists(base, lambda s: (s["start"] < v["end"]) & (s["end"] > v["start"]))))
+    each = found.select("doc_id", "text_hash", F.explode(values).alias("v")).select("doc_id", "text_hash", "v.*")
+    return each if in_rows else each.join(wanted, column, "left_semi").select("doc_id", "text_hash", "start", "end", "instance", "pattern")
+
+
+def scored_graph(graph: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pattern, confidence) and the sure (instance) that no seed is, after the last round."""
     scores = graph.withColumn("score", F.col("known").cast("double"))
     for round_ in range(ROUNDS):
-        patterns = written(scores.groupBy("pattern").agg((F.sum("score") / (F.count(F.lit(1)) + 1)).alias("confidence"), F.count_if("known").alias("seeds")), "patterns")
+        patterns = written(scores.groupBy("pattern").agg((F.sum("score") / (F.count(F.lit(1)) + 1)).alias("confidence")), "patterns")
+        # An instance is as sure as its surest pattern; a known one stays sure.
+        sure = graph.join(patterns, "pattern").groupBy("instance").agg(F.max("confidence").alias("surest"), F.max("known").alias("seed"))
         if round_ == ROUNDS - 1:
             break
-        # An instance is as sure as its surest pattern; a known one stays sure.
-        sure = graph.join(patterns, "pattern").groupBy("instance").agg(F.max("confidence").alias("surest"))
-        scores = graph.join(sure, "instance").withColumn(
+        scores = graph.join(sure.drop("seed"), "instance").withColumn(
             "score", F.when(F.col("known"), 1.0).when(F.col("surest") >= CONFIDENT, F.col("surest")).otherwise(0.0)).drop("surest")
-    return patterns.where(F.col("confidence") >= CONFIDENT).select("pattern", "confidence")
+    return patterns.where(F.col("confidence") >= CONFIDENT), sure.where((F.col("surest") >= CONFIDENT) & ~F.col("seed")).select("instance")
+
+
+def discovered(found: DataFrame) -> DataFrame | None:
+    """(doc_id, text_hash, start, end) of every value in the slot of a confident pattern; None if no pattern has support."""
+    seed = found.select(F.explode(F.flatten(F.array(*KINDS))).alias("s")).select(F.explode("s.patterns").alias("pattern"), "s.instance")
+    support = seeds = written(seed.distinct(), "support")
+    admitted = inside = confident = None
+    while True:
+        supported = support.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= SUPPORT).select("pattern")
+        new = written(supported if admitted is None else supported.join(admitted, "pattern", "left_anti"), "admitted")
+        if new.isEmpty():
+            break
+        admitted = new if admitted is None else admitted.unionAll(new)
+        slots = written(looked_up(found, new, "pattern"), "slots")
+        inside = slots if inside is None else inside.unionAll(slots)
+        graph = seeds.withColumn("known", F.lit(True)).join(admitted, "pattern", "left_semi").unionByName(inside.select("pattern", "instance", F.lit(False).alias("known")))
+        confident, _ = scored_graph(written(graph.groupBy("pattern", "instance").agg(F.max("known").alias("known")), "graph"))
+        break
+    return inside if inside is None else inside.join(confident, "pattern", "left_semi").select("doc_id", "text_hash", "start", "end")
+
+
+def outermost(spans: Column) -> Column:
+    """Spans in order without those inside another."""
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"))))
+    start = F.struct(F.lit(-1).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
+    return F.aggregate(ordered, start, lambda acc, s: F.when(-s["back"] > acc["at"], F.struct((-s["back"]).alias("at"), F.array_append(
+        acc["out"], F.struct(s["start"].alias("start"), (-s["back"]).alias("end"))).alias("out"))).otherwise(acc), lambda acc: acc["out"])
 
 
 def all_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, email, ip, card, phone, id): the spans of each row, arrays of (start, end) in order."""
     found = written(extracted(docs), "extracted")
-    occurring = occurrences(found)
-    patterns = confident_patterns(occurring)
-    new = occurring.where(~F.col("known")).join(patterns, "pattern").groupBy("doc_id", "text_hash").agg(
-        F.array_sort(F.collect_set(F.struct("start", "end"))).alias(FOUND))
-    keys = F.struct("doc_id", "text_hash").alias("whose")
-    new = written(new.select(keys, FOUND), "discovered")
-    spans = found.drop("values").withColumn("whose", keys).join(new, "whose", "left").drop("whose")
-    return spans.withColumn(FOUND, F.coalesce(FOUND, F.array().cast("array<struct<start:int,end:int>>")))
+    new = discovered(found)
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    spans = found.select("doc_id", "text_hash", *(F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias(k) for k in KINDS))
+    if new is None:
+        return spans.withColumn(FOUND, none)
+    keys = F.struct("doc_id", "text_hash")
+    new = written(new.groupBy(keys.alias("whose")).agg(outermost(F.collect_set(F.struct("start", "end"))).alias(FOUND)), "discovered")
+    return spans.withColumn("whose", keys).join(new, "whose", "left").drop("whose").withColumn(FOUND, F.coalesce(FOUND, none))
 
 
 def listed(kinds: tuple[str, ...]) -> Column:

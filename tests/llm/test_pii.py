@@ -51,6 +51,16 @@ def test_patterns_find_unseen_identifiers(spark):
     assert spans[0] == "email:12:26"
 
 
+def test_whole_seeds_make_patterns(spark):
+    names = ["jane", "omar", "li", "eva", "tom", "ada", "ben", "zoe", "max", "ida", "amy", "bob", "cy", "dan"]
+    rows = [(i, f"please write to {n}.doe@mail.com soon") for i, n in enumerate(names)]
+    rows += [(20 + i, f"you may ring +44 20 7946 09{10 + i} after noon") for i in range(10)]
+    rows += [(40, "please write to jdoe soon"), (41, "you may ring 20 7946 after noon"), (42, "please write to the front desk soon"), (43, "nothing to see here")]
+    spans = {r.doc_id: r.spans for r in pii.personal_data(helpers.documents(spark, rows)).collect()}
+    assert spans[0] == "email:16:33" and spans[20] == "phone:13:29"
+    assert spans[40] == "id:16:20" and spans[41] == "id:13:20" and spans[42] == "id:16:30" and spans[43] == ""
+
+
 def test_long_run_of_letters_is_read_once(spark):
     got = pii.personal_data(helpers.documents(spark, [(1, "a" * 200_000 + "@b.c")])).first()
     assert got.spans == "email:0:200004"
