@@ -6,9 +6,10 @@ glued to - are lexical patterns; a piece is a word with what separates it from t
 next one. Whatever stands in the slot of a pattern that surrounds enough known
 instances is an instance too, with or without digits, of one word or several.
 Patterns are scored by the sure instances among all that they surround, instances
-by the patterns that surround them, in turn, over the graph of both. Values
-inside a pattern of high confidence are identifiers, though no seed pattern
-matches them.
+by the patterns that surround them, in turn, over the graph of both. Instances
+that get sure are looked up in the whole corpus; the patterns around them that
+now have enough support join the graph, until no pattern is added. Values inside
+a pattern of high confidence are identifiers, though no seed pattern matches them.
 
 All of it is Spark SQL. The graph holds one row per different (pattern,
 instance), so copies of a document add nothing, and a pattern that surrounds a
@@ -118,13 +119,17 @@ def pieces(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PIECE), F.lit(0))
 
 
-def patterns_around(two: Column, one: Column, behind: Column) -> Column:
-    """The lexical patterns between the last two pieces before and the plain text behind; none without a piece before."""
-    after = F.regexp_replace(F.regexp_extract(behind, f"^[^{WORD_END}]*+[{IN_WORD}]++", 0), TAIL, "")
-    return F.filter(F.array(
+def left_patterns(two: Column, one: Column) -> Column:
+    """The patterns of the two pieces before, and of what a value is glued to; none without a piece before."""
+    return F.array_compact(F.array(
         F.when((two != "") & (one != ""), F.concat(F.lit("2\0"), two, F.lit("\0"), one)),
-        F.when((one != "") & (after != ""), F.concat(F.lit("1\0"), one, F.lit("\0"), after)),
-        F.when((one != "") & ~one.endswith(" "), F.concat(F.lit("0\0"), one))), lambda p: p.isNotNull())
+        F.when((one != "") & ~one.endswith(" "), F.concat(F.lit("0\0"), one))))
+
+
+def both_sides(one: Column, behind: Column) -> Column:
+    """The pattern of the piece before and the word behind, missing without one of them."""
+    after = F.regexp_replace(F.regexp_extract(behind, f"^[^{WORD_END}]*+[{IN_WORD}]++", 0), TAIL, "")
+    return F.when((one != "") & (after != ""), F.concat(F.lit("1\0"), one, F.lit("\0"), after))
 
 
 def seeds_of(text: Column, kind: str, pattern: str, gate: Column) -> Column:
@@ -132,8 +137,9 @@ def seeds_of(text: Column, kind: str, pattern: str, gate: Column) -> Column:
     fine = F.filter(located(text, pattern, gate), lambda x: kept_match(kind, x["value"]))
 
     def seed(x: Column) -> Column:
-        around = let(F.transform(pieces(x["before"]), plainly), lambda q: patterns_around(
-            F.coalesce(F.get(q, F.size(q) - 2), F.lit("")), F.coalesce(F.get(q, F.size(q) - 1), F.lit("")), plainly(x["behind"])))
+        last = lambda q, n: F.coalesce(F.get(q, F.size(q) - n), F.lit(""))
+        around = let(F.transform(pieces(x["before"]), plainly), lambda q: F.concat(
+            left_patterns(last(q, 2), last(q, 1)), F.array_compact(F.array(both_sides(last(q, 1), plainly(x["behind"]))))))
         return F.struct(x["start"].alias("start"), x["end"].alias("end"), plainly(x["value"]).alias("instance"), around.alias("patterns"))
 
     return F.transform(fine, seed)
@@ -151,24 +157,31 @@ def joined_words(q: Column, i: Column, k: int) -> Column:
     return F.regexp_replace(F.concat(*(F.coalesce(F.get(q, i + j), F.lit("")) for j in range(k))), TAIL, "")
 
 
-def candidates_at(q: Column, i: Column) -> Column:
+def candidates_at(q: Column, i: Column, wanted, may_end) -> Column:
     """Each value of one to LONGEST words from piece i on, as (i, k, instance, pattern) of every pattern around it.
 
     Only what stands behind tells where a value of several words ends, so other
     patterns take one word, or all of a number that is written with blanks.
+    ``wanted`` tells of a pattern and ``may_end`` of a number of words, before
+    the value is made, whether they can be asked for.
     """
     piece = lambda n: F.coalesce(F.get(q, i + n), F.lit(""))
-    number = F.coalesce(*(F.when((F.size(q) >= i + k) & joined_words(q, i, k).rlike(r"^[+]?[0-9][0-9 ().-]*+$"), k) for k in range(LONGEST, 1, -1)), F.lit(1))
+    none = F.array().cast(CANDIDATE)
 
-    def of(k: int, whole: Column) -> Column:
-        def made(value: Column) -> Column:
-            behind = F.concat(F.regexp_extract(piece(k - 1), TAIL, 0), piece(k), piece(k + 1))
-            fine = F.filter(patterns_around(piece(-2), piece(-1), behind), lambda p: p.startswith("1") | (whole == k))
-            return F.when((F.size(q) >= i + k) & value.rlike(f"(?s)^[{IN_WORD}].*[{WORD_END}]$"), F.transform(fine, lambda p: F.struct(
-                i.alias("i"), F.lit(k).alias("k"), value.alias("instance"), p.alias("pattern")))).otherwise(F.array().cast(CANDIDATE))
-        return let(joined_words(q, i, k), made)
+    def of(k: int, patterns: Column) -> Column:
+        return let(joined_words(q, i, k), lambda value: F.when((F.size(q) >= i + k) & value.rlike(f"(?s)^[{IN_WORD}].*[{WORD_END}]$"), F.transform(
+            F.filter(patterns, wanted), lambda p: F.struct(i.alias("i"), F.lit(k).alias("k"), value.alias("instance"), p.alias("pattern")))).otherwise(none))
 
-    return let(number, lambda whole: F.flatten(F.array(*(of(k, whole) for k in range(1, LONGEST + 1)))))
+    def by_left(patterns: Column) -> Column:
+        number = F.coalesce(*(F.when((F.size(q) >= i + k) & joined_words(q, i, k).rlike(r"^[+]?[0-9][0-9 ().-]*+$"), k) for k in range(LONGEST, 1, -1)), F.lit(1))
+        made = let(number, lambda whole: F.coalesce(*(F.when(whole == k, of(k, patterns)) for k in range(1, LONGEST + 1))))
+        return F.when(F.size(patterns) > 0, made).otherwise(none)
+
+    def by_both(k: int) -> Column:
+        behind = F.concat(F.regexp_extract(piece(k - 1), TAIL, 0), piece(k), piece(k + 1))
+        return F.when(may_end(k), of(k, F.array_compact(F.array(both_sides(piece(-1), behind))))).otherwise(none)
+
+    return F.flatten(F.array(let(F.filter(left_patterns(piece(-2), piece(-1)), wanted), by_left), *map(by_both, range(1, LONGEST + 1))))
 
 
 CANDIDATE = "array<struct<i:int,k:int,instance:string,pattern:string>>"
@@ -195,21 +208,35 @@ def first_word(value: Column) -> Column:
 
 def looked_up(found: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
     """(doc_id, text_hash, start, end, instance, pattern) of every value outside base spans whose ``column`` is wanted."""
-    start = first_word(F.col(column)) if column == "instance" else F.get(F.split(column, "\0"), F.when(F.col(column).startswith("2"), 2).otherwise(1))
-    some = wanted.select(column, start).limit(IN_ROWS + 1).collect()
-    in_rows = len(some) <= IN_ROWS
-    few, first = [r[0] for r in some], sorted({r[1] for r in some})
+    few = [r[0] for r in wanted.limit(IN_ROWS + 1).collect()]
+    in_rows = len(few) <= IN_ROWS
+    first, ends = [], []
+    if in_rows and column == "instance":
+        first = sorted({r[0] for r in wanted.select(first_word(F.col(column))).collect()})
+    elif in_rows:  # the piece before, and with it the word behind
+        first = sorted({p.split("\0")[2 if p[0] == "2" else 1] for p in few})
+        ends = [f"{r[0]}\0{r[1]}" for r in wanted.where(F.col(column).startswith("1")).select(
+            F.split(column, "\0")[1], F.regexp_extract(F.split(column, "\0")[2], f"[{IN_WORD}]*$", 0)).collect()]
 
     def hits(p: Column) -> Column:
-        def of(q: Column) -> Column:
+        def of(q: Column, words: Column) -> Column:
             at = F.sequence(F.lit(0), F.size(q) - 1)
-            if in_rows and column == "pattern":
-                at = F.filter(at, lambda i: F.get(q, i - 1).isin(first))
-            elif in_rows:
-                at = F.filter(at, lambda i: first_word(F.get(q, i)).isin(first))
-            each = F.flatten(F.transform(at, lambda i: candidates_at(q, i)))
-            return F.filter(each, lambda x: x[column].isin(few)) if in_rows else each
-        return let(F.transform(p, plainly), lambda q: F.when(F.size(q) > 0, let(of(q), lambda h: with_places(h, p))))
+            if not in_rows:
+                return F.flatten(F.transform(at, lambda i: candidates_at(q, i, lambda x: F.lit(True), lambda k: F.lit(True))))
+            if column == "instance":
+                at = F.filter(at, lambda i: F.get(words, i).isin(first))
+                each = F.flatten(F.transform(at, lambda i: candidates_at(q, i, lambda x: F.lit(True), lambda k: F.lit(True))))
+                return F.filter(each, lambda x: x["instance"].isin(few))
+            at = F.filter(at, lambda i: F.get(q, i - 1).isin(first))
+            # a piece without a word may stand between
+            ended = lambda i, k: F.concat(F.get(q, i - 1), F.lit("\0"), F.get(words, i + k)).isin(ends)
+            may_end = lambda i: lambda k: F.coalesce(ended(i, k), F.lit(False)) | F.coalesce(ended(i, k + 1), F.lit(False))
+            return F.flatten(F.transform(at, lambda i: candidates_at(q, i, lambda x: x.isin(few), may_end(i))))
+
+        def found_in(q: Column) -> Column:
+            return let(F.transform(q, first_word), lambda words: let(of(q, words), lambda h: with_places(h, p)))
+
+        return let(F.transform(p, plainly), lambda q: F.when(F.size(q) > 0, found_in(q)))
 
     seeds = F.transform(F.flatten(F.array(*KINDS)), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
     values = let(seeds, lambda base: F.filter(let(pieces(F.col("text")), hits), lambda v: ~F.exists(base, lambda s: (s["start"] < v["end"]) & (s["end"] > v["start"]))))
@@ -235,7 +262,7 @@ def discovered(found: DataFrame) -> DataFrame | None:
     """(doc_id, text_hash, start, end) of every value in the slot of a confident pattern; None if no pattern has support."""
     seed = found.select(F.explode(F.flatten(F.array(*KINDS))).alias("s")).select(F.explode("s.patterns").alias("pattern"), "s.instance")
     support = seeds = written(seed.distinct(), "support")
-    admitted = inside = confident = None
+    admitted = known_sure = inside = confident = None
     while True:
         supported = support.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= SUPPORT).select("pattern")
         new = written(supported if admitted is None else supported.join(admitted, "pattern", "left_anti"), "admitted")
@@ -245,8 +272,13 @@ def discovered(found: DataFrame) -> DataFrame | None:
         slots = written(looked_up(found, new, "pattern"), "slots")
         inside = slots if inside is None else inside.unionAll(slots)
         graph = seeds.withColumn("known", F.lit(True)).join(admitted, "pattern", "left_semi").unionByName(inside.select("pattern", "instance", F.lit(False).alias("known")))
-        confident, _ = scored_graph(written(graph.groupBy("pattern", "instance").agg(F.max("known").alias("known")), "graph"))
-        break
+        confident, sure = scored_graph(written(graph.groupBy("pattern", "instance").agg(F.max("known").alias("known")), "graph"))
+        more = written(sure if known_sure is None else sure.join(known_sure, "instance", "left_anti"), "sure")
+        if more.isEmpty():
+            break
+        # What got sure supports the patterns around it, wherever it stands.
+        known_sure = more if known_sure is None else known_sure.unionAll(more)
+        support = written(support.unionByName(looked_up(found, more, "instance").select("pattern", "instance")).distinct(), "support")
     return inside if inside is None else inside.join(confident, "pattern", "left_semi").select("doc_id", "text_hash", "start", "end")
 
 

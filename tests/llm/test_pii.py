@@ -61,6 +61,15 @@ def test_whole_seeds_make_patterns(spark):
     assert spans[40] == "id:16:20" and spans[41] == "id:13:20" and spans[42] == "id:16:30" and spans[43] == ""
 
 
+def test_discovered_values_support_further_patterns(spark):
+    rows = [(100 + i, f"reach me at user{i}@mail.com today") for i in range(80)]
+    rows += [(20 + i, f"reach me at nick{c} today") for i, c in enumerate("abcdefghijkl")]
+    rows += [(40 + i, f"greetings from handle nick{c} as ever") for i, c in enumerate("abcdefghijkl")]
+    rows += [(70, "greetings from handle sam as ever"), (71, "greetings from uncle sam as ever")]
+    spans = {r.doc_id: r.spans for r in pii.personal_data(helpers.documents(spark, rows)).collect()}
+    assert spans[20] == "id:12:17" and spans[40] == "id:22:27" and spans[70] == "id:22:25" and spans[71] == ""
+
+
 def test_long_run_of_letters_is_read_once(spark):
     got = pii.personal_data(helpers.documents(spark, [(1, "a" * 200_000 + "@b.c")])).first()
     assert got.spans == "email:0:200004"
