@@ -23,3 +23,17 @@ def ids_and_texts(docs: DataFrame) -> DataFrame:
 def let(value: Column, body) -> Column:
     """``body`` of a value that is worked out once, though it is used several times."""
     return F.transform(F.array(value), body)[0]
+
+
+class Remembered(dict):
+    """What a worker has worked out for short texts: bounded in entries and in the length of each, and started anew when full."""
+
+    longest, most = 64, 400_000
+
+    def keep(self, text: str, value):
+        """The value, remembered if the text is short."""
+        if len(text) <= self.longest:
+            if len(self) >= self.most:
+                self.clear()
+            self[text] = value
+        return value
