@@ -37,7 +37,8 @@ from eventmill.llm.common import Remembered, ids_and_texts
 from eventmill.llm.subwords import Pieces, library, model_file
 from eventmill.session import written
 
-BATCH = 256
+#: Texts per batch that goes out, and parts that are aligned in one go.
+BATCH, PARTS = 256, 20_000
 #: Pairs up to which their table is broadcast (16 bytes each); the two vocabularies here cannot have as many. Beyond, the join shuffles.
 MOST_BROADCAST = 1_000_000
 
@@ -73,41 +74,57 @@ class Aligner:
     def parts(self, text: str) -> list[str]:
         return self.cut_at.split(text) if self.cut_at else [text]
 
-    def ends(self, part: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
-        """Ids of A and of B, and for each cut the number of A's and of B's tokens before it."""
-        encoded = self.a.encode(part, add_special_tokens=False)
-        a = np.array(encoded.ids, np.int64)
-        spans = np.array(encoded.offsets, np.int64).reshape(-1, 2)
-        proto = self.b.encode(part[1:], return_type="proto")
-        b = np.array([p.id for p in proto.pieces], np.int64)
-        b_ends = np.array([p.end for p in proto.pieces], np.int64) + 1  # the blank that B puts in front
-        raw = part.encode()
-        if b"".join([self.a_bytes[i] for i in a.tolist()]) != raw or b"".join([self.b_bytes[i] for i in b.tolist()]) != raw:
-            return None
+    def encoded(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of all parts in a row: ids of A with first and end characters, ids of B with ends, and tokens of A and of B per part."""
+        flat = itertools.chain.from_iterable
+        bases = np.array([0, *itertools.accumulate(map(len, parts))])
+        of_a = self.a.encode_batch(parts, add_special_tokens=False)
+        n_a = np.array([len(e) for e in of_a])
+        a = np.fromiter(flat(e.ids for e in of_a), np.int64)
+        spans = np.fromiter(flat(flat(e.offsets for e in of_a)), np.int64).reshape(-1, 2) + np.repeat(bases[:-1], n_a)[:, None]
+        of_b = self.b.encode([part[1:] for part in parts], num_threads=1, return_type="offset_mapping")
+        n_b = np.array([len(e["ids"]) for e in of_b])
+        b = np.fromiter(flat(e["ids"] for e in of_b), np.int64)
+        b_ends = np.fromiter((end for e in of_b for _, end in e["offsets"]), np.int64) + np.repeat(bases[:-1] + 1, n_b)  # B puts the blank in front itself
+        return a, spans, b, b_ends, n_a, n_b
+
+    def given_back(self, parts: list[str], a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> list[bool]:
+        """Whether the tokens of A and of B give back the bytes of a part."""
+        sides = [[table[i] for i in ids.tolist()] for table, ids in ((self.a_bytes, a), (self.b_bytes, b))]
+        raw = [part.encode() for part in parts]
+        whole, lengths = b"".join(raw), np.array(list(map(len, raw)))
+        stops = [np.append(0, np.cumsum(n)) for n in (n_a, n_b)]
+        sizes = [np.diff(np.append(0, np.cumsum(table[ids]))[stop]) for table, ids, stop in ((self.a_lengths, a, stops[0]), (self.b_lengths, b, stops[1]))]
+        if all(b"".join(side) == whole for side in sides) and all((size == lengths).all() for size in sizes):
+            return [True] * len(parts)
+        return [all(b"".join(side[stop[i]:stop[i + 1]]) == raw[i] for side, stop in zip(sides, stops)) for i in range(len(parts))]
+
+    def cuts(self, a: np.ndarray, spans: np.ndarray, b: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each cut, the number of A's and of B's tokens before it."""
         a_ends = spans[:, 1]
-        if len(raw) > len(part):  # character offsets to byte offsets
-            width = np.array([0, *itertools.accumulate(len(c.encode()) for c in part)])
-            a_ends = width[a_ends]
-        a_inside = np.append(spans[1:, 0] < spans[:-1, 1], False)  # the next token shares its last character
+        a_inside = np.append(spans[1:, 0] < a_ends[:-1], False)  # the next token shares its last character
         b_inside = np.append(False, b_ends[1:] == b_ends[:-1])  # it has no characters of its own
         a_at, b_at = np.flatnonzero(~a_inside), np.flatnonzero(~b_inside)
         _, i, j = np.intersect1d(a_ends[a_at], b_ends[b_at], assume_unique=True, return_indices=True)
         i, j = a_at[i], b_at[j]
-        if a_inside.any() and b_inside.any():  # both end within characters: these tokens are placed by their bytes
+        if a_inside.any() and b_inside.any():  # tokens that end within a character are placed by their bytes
             a_at, b_at = np.flatnonzero(a_inside), np.flatnonzero(b_inside)
             _, k, l = np.intersect1d(np.cumsum(self.a_lengths[a])[a_at], np.cumsum(self.b_lengths[b])[b_at], assume_unique=True, return_indices=True)
             i, j = np.sort(np.append(i, a_at[k])), np.sort(np.append(j, b_at[l]))
-        return a, b, i + 1, j + 1
-
-    def aligned(self, part: str) -> tuple[int, int, str, bytes] | None:
-        """Tokens of A and of B, the groups as text, and the linked id pairs (A's in the upper half) as 64-bit integers."""
-        found = self.ends(part)
-        if found is None:
-            return None
-        a, b, i, j = found
+        return i + 1, j + 1
+
+    def aligned(self, parts: list[str]) -> list[tuple[int, int, str, bytes] | None]:
+        """Of each part: tokens of A and of B, the groups as text, and the linked id pairs (A's in the upper half) as 64-bit integers."""
+        if not parts:
+            return []
+        a, spans, b, b_ends, n_a, n_b = self.encoded(parts)
+        good = self.given_back(parts, a, b, n_a, n_b)
+        if not all(good):
+            rest = iter(self.aligned([part for part, ok in zip(parts, good) if ok]))
+            return [next(rest) if ok else None for ok in good]
+        i, j = self.cuts(a, spans, b, b_ends)
         # each token's place in the text form: A's behind the B tokens of all groups before, B's behind the A tokens up to its own
-        starts_b = np.append(0, j[:-1])
-        place_a = np.arange(len(a)) + np.repeat(starts_b, np.diff(i, prepend=0))
+        place_a = np.arange(len(a)) + np.repeat(np.append(0, j[:-1]), np.diff(i, prepend=0))
         place_b = np.arange(len(b)) + np.repeat(i, np.diff(j, prepend=0))
         codes = np.empty(len(a) + len(b), np.int64)
         last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
@@ -115,24 +132,38 @@ class Aligner:
         codes[place_a] = 2 * a + last_a
         codes[place_b] = 2 * (len(self.a_bytes) + b) + last_b
         printed = self.printed
-        groups = "".join([printed[c] for c in codes.tolist()])
-        return len(a), len(b), groups, (a[i - 1] << 32 | b[j - 1]).astype("<i8").tobytes()
-
-    def text(self, text: str) -> tuple[int, int, str, np.ndarray] | None:
-        """As ``aligned``, of a whole text with a blank in front."""
-        if not text:
-            return None
-        n_a, n_b, groups, links = 0, 0, [], []
+        tokens = [printed[c] for c in codes.tolist()]
+        links = (a[i - 1] << 32 | b[j - 1]).astype("<i8").tobytes()
+        stops = np.append(0, np.cumsum(n_a + n_b)).tolist()
+        link_stops = (8 * np.append(0, np.searchsorted(i, np.cumsum(n_a), "right"))).tolist()
+        return [(x, y, "".join(tokens[s:e]), links[f:t])
+                for x, y, s, e, f, t in zip(n_a.tolist(), n_b.tolist(), stops, stops[1:], link_stops, link_stops[1:])]
+
+    def texts(self, texts: list[str]) -> list[tuple[int, int, str, np.ndarray] | None]:
+        """As ``aligned``, of whole texts with a blank in front; parts that are not remembered are aligned in one go."""
         known = self.known
-        for part in self.parts(" " + text):
-            found = known.get(part) or known.keep(part, self.aligned(part) or ())
-            if not found:
-                return None
-            n_a += found[0]
-            n_b += found[1]
-            groups.append(found[2])
-            links.append(found[3])
-        return n_a, n_b, "".join(groups)[:-1], np.frombuffer(b"".join(links), "<i8")
+        in_parts = [self.parts(" " + text) if text else [] for text in texts]
+        here: dict[str, tuple] = {}
+        new = [part for part in dict.fromkeys(itertools.chain.from_iterable(in_parts)) if part not in known]
+        for part in new:
+            older = known.older.get(part)
+            if older is not None:
+                here[part] = older
+        new = [part for part in new if part not in here]
+        for start in range(0, len(new), PARTS):
+            some = new[start:start + PARTS]
+            here.update((part, found or ()) for part, found in zip(some, self.aligned(some)))
+        out = []
+        for parts in in_parts:
+            found = [known.get(part) or here.get(part) for part in parts]
+            if not parts or not all(found):
+                out.append(None)
+                continue
+            n_a, n_b, groups, links = zip(*found)
+            out.append((sum(n_a), sum(n_b), "".join(groups)[:-1], np.frombuffer(b"".join(links), "<i8")))
+        for part, value in here.items():
+            known.keep(part, value)
+        return out
 
 
 def most_pairs(a_tokens: list[bytes], b_tokens: list[bytes]) -> int:
@@ -162,12 +193,12 @@ def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None)
         models = docs.sparkSession.sparkContext.broadcast((file.read(), model_file(b_path)))  # two vocabulary files
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        align_text = aligner(*models.value).text
+        align_texts = aligner(*models.value).texts
         row = TaskContext.get().partitionId() << 33
         for whole in batches:
             for start in range(0, whole.num_rows, BATCH):
                 batch = whole.slice(start, BATCH)
-                found = [align_text(t) or (0, 0, "", np.zeros(0, "<i8")) for t in batch.column("text").to_pylist()]
+                found = [f or (0, 0, "", np.zeros(0, "<i8")) for f in align_texts(batch.column("text").to_pylist())]
                 links = [np.unique(f[3], return_counts=True) for f in found]
                 offsets = np.array([0, *itertools.accumulate(len(pairs) for pairs, _ in links)], np.int32)
                 values = pa.StructArray.from_arrays(

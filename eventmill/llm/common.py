@@ -26,14 +26,27 @@ def let(value: Column, body) -> Column:
 
 
 class Remembered(dict):
-    """What a worker has worked out for short texts: bounded in entries and in the length of each, and started anew when full."""
+    """What a worker has worked out for short texts: bounded in entries and in the length of each.
 
-    longest, most = 64, 400_000
+    A full table becomes the older one, in place of the one before; what is
+    asked for there comes back, so what is common stays.
+    """
+
+    longest, most = 64, 300_000
+
+    def __init__(self):
+        self.older: dict = {}
 
     def keep(self, text: str, value):
         """The value, remembered if the text is short."""
         if len(text) <= self.longest:
             if len(self) >= self.most:
+                self.older = dict(self)
                 self.clear()
             self[text] = value
         return value
+
+    def recall(self, text: str):
+        """A value that only the older table has."""
+        value = self.older.get(text)
+        return None if value is None else self.keep(text, value)

@@ -65,16 +65,26 @@ def test_groups_and_links(models):
     inner = 0
     for text in texts():
         n_a, n_b, groups, links = plain(models, text)
-        got = models[2].text(text) or (0, 0, "", [])
+        got = models[2].texts([text])[0] or (0, 0, "", [])
         assert got[:3] == (n_a, n_b, groups), text
         assert Counter((int(x) >> 32, int(x) & 0xFFFFFFFF) for x in got[3]) == Counter(links), text
         inner += n_a > 0 and len(groups.split(";")) > len(set(" " + text)) and "𐍈" in text
     assert inner
 
 
+def test_together_as_alone(models):
+    """Parts that are aligned in one go, those of texts without tokens among them."""
+    a, b, aligner = models
+    with open(A_PATH, encoding="utf-8") as file:
+        fresh = alignment.Aligner(file.read(), subwords.model_file())
+    many = texts()
+    for text, got in zip(many, fresh.texts(many)):
+        assert (got or (0, 0, "", []))[:3] == plain(models, text)[:3]
+
+
 def test_cuts_within_characters(models):
     """Bytes where tokens of both end are cuts, also inside a character."""
-    groups = models[2].text("\U000e0041")[2]
+    groups = models[2].texts(["\U000e0041"])[0][2]
     assert groups == plain(models, "\U000e0041")[2] and groups.count(";") >= 2
 
 
@@ -108,5 +118,5 @@ def test_long_text(models):
     """A long part is aligned whole, and not remembered."""
     aligner = models[2]
     text = "x" * 30_000 + " " + "word " * 30_000
-    got = aligner.text(text)
+    got, = aligner.texts([text])
     assert got[:3] == plain(models, text)[:3] and " " + "x" * 30_000 not in aligner.known
