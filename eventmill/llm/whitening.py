@@ -55,13 +55,17 @@ def secular_roots(poles: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, n
     low = np.where(near_own, np.where(last & (at_middle < 0), gaps / 2, 0.0), -gaps / 2)
     high = np.where(near_own, np.where(last & (at_middle < 0), gaps, gaps / 2), 0.0)
     x = (low + high) / 2
+    up_to_own = np.tri(n)
     for _ in range(STEPS):
         apart = poles_from - x[:, None]
         terms = weights / apart
         value = 1 + terms.sum(1)
+        found = np.abs(value) <= n * EPS * (1 + np.abs(terms).sum(1))  # no digits left
+        if found.all():
+            break
         low, high = np.where(value < 0, x, low), np.where(value < 0, high, x)
         slopes = terms / apart
-        slope_below = np.tril(slopes).sum(1)
+        slope_below = (slopes * up_to_own).sum(1)
         slope_above = slopes.sum(1) - slope_below
         d1, d2 = apart[own, own], np.where(last, 1.0, apart[own, above])
         s1, s2 = slope_below * d1 * d1, slope_above * d2 * d2
@@ -73,9 +77,10 @@ def secular_roots(poles: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, n
         moved = x + step
         inside = np.isfinite(moved) & (moved > low) & (moved < high)
         moved = np.where(inside, moved, (low + high) / 2)
-        settled = (np.abs(moved - x) <= 4 * EPS * np.abs(moved)) | (value == 0)
-        x = np.where(value == 0, x, moved)
-        if settled.all():
+        moved = np.where(found, x, moved)
+        still = np.abs(moved - x) <= 2 * EPS * np.abs(moved)
+        x = moved
+        if still.all():
             break
     return origin, x
 
