@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,7 +73,29 @@ def drained(query: StreamingQuery) -> None:
         raise query.exception()
 
 
+def drained_steps(query: StreamingQuery) -> None:
+    """Let a periodic stream go on step by step until nothing new comes, and stop it; for sources that limit their steps themselves."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def switched(read_minimum: Callable[[SparkSession], str | None],
              transform: Callable[[DataFrame, str | None], DataFrame]) -> Callable[[DataFrame], DataFrame]:
     """A transform whose level threshold is read anew for every micro-batch."""
     return lambda batch: transform(batch, read_minimum(batch.sparkSession))
+
+
+def until(query: StreamingQuery, done: Callable[[], bool], most_seconds: float = 600, each_seconds: float = 0.5) -> None:
+    """Let a periodic stream go on until ``done``, and stop it; for streams whose timers make rows without new input."""
+    end = time.monotonic() + most_seconds
+    try:
+        while not done():
+            if query.exception() is not None:
+                raise query.exception()
+            if time.monotonic() > end:
+                raise TimeoutError("the stream has not come to its end")
+            time.sleep(each_seconds)
+    finally:
+        query.stop()
