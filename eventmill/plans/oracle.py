@@ -363,6 +363,35 @@ ON level_rank >= rank GROUP BY 1, 2""",
     "stream_durable_restart": after() + PER_INDEX + " GROUP BY 1",
     "stream_late_events": after() + PER_INDEX + " GROUP BY 1",
 }
+# Lines of three sources in rolling files, steps of 200 lines per source, payloads of 50 lines of one file.
+SOURCE_LINES = f"""lines AS (
+SELECT 's' || (user_id % 3) AS source, {FILE_NAME} AS file_name, strftime(ts, '%Y%m%d') AS file_date, event_id % 2 AS seq, event_id, ts,
+  octet_length(encode(event_id || '|' || props)) AS n_bytes FROM log_events)"""
+STEPS = """stepped AS (
+SELECT *, (row_number() OVER (PARTITION BY source ORDER BY file_date, seq, event_id) - 1) // 200 AS step FROM placed),
+in_step AS (
+SELECT *, row_number() OVER (PARTITION BY source, file_name, step ORDER BY event_id) - 1 AS place FROM stepped)"""
+ORACLES |= {
+    "stream_ship_ordered": after(SOURCE_LINES, offsets("source, file_name"), STEPS)
+    + "SELECT source, file_name, event_id, start_offset, next_offset, place // 50 AS payload, CAST(place % 50 AS INTEGER) AS pos, step FROM in_step",
+    "stream_durable_positions": after(
+        SOURCE_LINES, offsets("source, file_name"), STEPS,
+        """payloads AS (
+SELECT *, dense_rank() OVER (PARTITION BY source ORDER BY step, file_date, seq, place // 50) - 1 AS payload, n_bytes <= 13 AS fits FROM in_step),
+sent AS (
+SELECT *, CAST(sum(CASE WHEN fits THEN 1 ELSE 0 END) OVER (PARTITION BY source, payload ORDER BY start_offset) AS BIGINT) - 1 AS pos FROM payloads),
+reached AS (
+SELECT source, max((file_date, seq, next_offset, file_name)) AS last FROM placed GROUP BY source)""")
+    + f"""SELECT source, payload, pos, event_id, start_offset, next_offset, {DAILY} AS index,
+  pos || '_' || md5(source || '/' || file_name || ':' || start_offset) AS doc_id, last[4] AS at_file, last[3] AS at_offset
+FROM sent JOIN reached USING (source) WHERE fits""",
+    "stream_retry_after_delay": f"""WITH retried AS ({ORACLES["retry_schedule"]})
+SELECT r.target, r.attempt_no, e.props AS payload, r.failures_in_a_row, r.delay_seconds, true AS waited
+FROM retried r JOIN events e ON e.event_id = r.attempt_no WHERE e.event_type = 'error'""",
+    "stream_commit_once": after() + "SELECT level, count(*) AS n, count(*) AS n_events, CAST(sum(event_id) AS BIGINT) AS id_sum FROM log_events GROUP BY level",
+    "stream_admission": ORACLES["admission_limit"],
+    "stream_without_replays": after() + f"SELECT event_id, {DAILY} AS index FROM log_events",
+}
 # The same results by the ways of large tables.
 ORACLES |= {f"{name}_ranged": ORACLES[name] for name in (
     "buffer_line_offsets", "admission_limit", "bulk_batches", "retry_schedule", "mapping_conflicts", "filter_level_switch_asof")}

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,3 +100,14 @@ def until(query: StreamingQuery, done: Callable[[], bool], most_seconds: float =
             time.sleep(each_seconds)
     finally:
         query.stop()
+
+
+@contextmanager
+def state_partitions(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """Queries started in here keep their state in so many partitions (as many as there are cores), for the life of their checkpoint."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions or spark.sparkContext.defaultParallelism)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
