@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmill.functions.levels import level_at_least
-from eventmill.operators.running import CHUNK, ROWS_PER_CHUNK, number_rows, plan_chunks
-from eventmill.session import BROADCAST_ROWS, attach
+from eventmill.operators.asof import as_of
+from eventmill.operators.running import CHUNK, ROWS_PER_CHUNK, bisected, number_rows, plan_chunks
+from eventmill.session import attach
 
 
 def at_least(events: DataFrame, minimum: str | None, level: str = "level") -> DataFrame:
@@ -15,30 +16,33 @@ def at_least(events: DataFrame, minimum: str | None, level: str = "level") -> Da
     return events if minimum is None else events.filter(level_at_least(F.col(level), minimum))
 
 
+#: Switches up to which they become an expression.
+LITERAL_SWITCHES = 1_000
+
+
 def at_least_switched(
-    events: DataFrame, control: DataFrame, rank: str = "level_rank", ts: str = "ts", event_key: str = "event_id",
-    max_broadcast_rows: int = BROADCAST_ROWS,
+    events: DataFrame, control: DataFrame, rank: str = "level_rank", ts: str = "ts", literal_switches: int = LITERAL_SWITCHES,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Events at or above the threshold in force at their time.
 
-    ``control`` holds ``(effective_from, min_rank)``. Its rows become intervals,
-    cut at day borders, so that the as-of lookup is an equi-join on the day with
-    few intervals per day: a switch is re-read every two minutes at most. Events
-    before the first row pass, like those of a logger without a switch.
+    ``control`` holds ``(effective_from, min_rank)``. A few switches become one
+    sorted array in which the time of an event is looked up, so events are not
+    moved; more are merged with the events along time (:mod:`operators.asof`).
+    Of several switches at one time the highest rank counts. Events before the
+    first row, and those without a time, pass, like those of a logger without a switch.
     """
-    ordered = control.withColumn("_until", F.lead("effective_from").over(Window.orderBy("effective_from")))
-    days = F.explode(F.sequence(F.to_date("effective_from"), F.to_date("_until")))
-    by_day = ordered.filter("_until IS NOT NULL").select(days.alias("_day"), "effective_from", "_until", "min_rank")
-    by_day = by_day.groupBy("_day").agg(F.collect_list(F.struct("effective_from", "_until", "min_rank")).alias("_spans"))
-    joined = attach(
-        events.withColumn("_day", F.to_date(ts)), by_day, ["_day"], spread_by=event_key, max_broadcast_rows=max_broadcast_rows, label="level-switch")
-    inside = F.filter("_spans", lambda s: (F.col(ts) >= s["effective_from"]) & (F.col(ts) < s["_until"]))
-    threshold = F.coalesce(F.get(inside, F.lit(0))["min_rank"], F.lit(0))
-    # The setting still in force is one row, so it becomes a constant.
-    last = ordered.filter("_until IS NULL").select(F.unix_micros("effective_from"), "min_rank").first()
-    if last is not None:
-        threshold = F.when(F.col(ts) >= F.timestamp_micros(F.lit(last[0])), F.lit(last[1])).otherwise(threshold)
-    return joined.filter(F.col(rank) >= threshold).select(*events.columns)
+    control = control.filter("effective_from IS NOT NULL")
+    first = control.select(F.unix_micros("effective_from"), "min_rank").take(literal_switches + 1)
+    if len(first) > literal_switches:
+        judged = as_of(events, control, ts, "effective_from", "min_rank", "_threshold", rows_per_chunk)
+        return judged.filter(F.col(rank) >= F.coalesce("_threshold", F.lit(0))).drop("_threshold")
+    if not first:
+        return events.filter(F.col(rank) >= 0)
+    switches = sorted((at, -1 if least is None else least) for at, least in first)
+    times, ranks = F.array(*(F.lit(at) for at, _ in switches)), F.array(F.lit(0), *(F.lit(least) for _, least in switches))
+    place = bisected(times, len(switches), F.unix_micros(ts))
+    return events.filter(F.col(rank) >= F.get(ranks, place))
 
 
 def fits(body: Column, limit: int | None) -> Column:

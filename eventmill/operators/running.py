@@ -44,14 +44,14 @@ def plan_chunks(df: DataFrame, order: Sequence[str], rows_per_chunk: int = ROWS_
     values = bounds.select(F.to_json(F.struct("bounds"), {"timestampFormat": _TIMES, "timestampNTZFormat": _TIMES_NTZ})).first()[0]
     kind = f"struct<bounds:{bounds.schema['bounds'].dataType.simpleString()}>"
     literal = F.from_json(F.lit(values), kind, {"timestampFormat": _TIMES, "timestampNTZFormat": _TIMES_NTZ})["bounds"]
-    return _position(literal, chunks, key)
+    return bisected(literal, chunks, key)
 
 
 _TIMES = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 _TIMES_NTZ = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def _position(bounds: Column, count: int, key: Column) -> Column:
+def bisected(bounds: Column, count: int, key: Column) -> Column:
     """How many boundaries are at or below ``key``, by bisection."""
     steps = [2**i for i in reversed(range(count.bit_length()))]
 

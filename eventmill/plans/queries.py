@@ -679,9 +679,9 @@ def mapping_conflicts_ranged(spark, folder):
 
 @query
 def filter_level_switch_asof_ranged(spark, folder):
-    """As without a broadcast."""
+    """As with many switches."""
     logs = views.log_events(spark, folder).select("event_id", "ts", "level_rank")
-    return filters.at_least_switched(logs, views.level_control(spark), max_broadcast_rows=0).select("event_id", "level_rank")
+    return filters.at_least_switched(logs, views.level_control(spark), literal_switches=0, rows_per_chunk=FEW_ROWS).select("event_id", "level_rank")
 
 
 @query
