@@ -72,16 +72,34 @@ def first_mappings(fields: DataFrame, order: Sequence[str]) -> DataFrame:
     return fields.groupBy("index", "path").agg(F.min_by("type", F.struct(*order)).alias("mapped_type"))
 
 
+def summary(fields: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``(index, path, type, first, n)`` of leaves ``(index, path, type, *order)``; partial aggregation keeps a busy index spread."""
+    return fields.groupBy("index", "path", "type").agg(F.min(F.struct(*order)).alias("first"), F.count(F.lit(1)).alias("n"))
+
+
+def merged(one: DataFrame, other: DataFrame) -> DataFrame:
+    """The summary of the documents of both."""
+    return one.unionByName(other).groupBy("index", "path", "type").agg(F.min("first").alias("first"), F.sum("n").alias("n"))
+
+
+def mappings(known: DataFrame) -> DataFrame:
+    """``(index, path, mapped_type, mixed)``: the type seen first, and whether there are others."""
+    return known.groupBy("index", "path").agg(
+        F.min_by("type", F.struct("first", "type")).alias("mapped_type"), (F.count(F.lit(1)) > 1).alias("mixed"))
+
+
+def conflicting(fields: DataFrame, known: DataFrame, event_key: str = "event_id", max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Leaves whose type is not the mapping of their path. Only paths with several types reach the join."""
+    mixed = mappings(known).where("mixed").select("index", "path", "mapped_type")
+    joined = attach(fields, mixed, ["index", "path"], "inner", spread_by=event_key, max_broadcast_rows=max_broadcast_rows, label="mappings")
+    return joined.filter(F.col("type") != F.col("mapped_type"))
+
+
 def conflicts(
     fields: DataFrame, order: Sequence[str], event_key: str = "event_id", max_broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """Field values whose type is not the one mapped first."""
-    mapped = first_mappings(fields, order)
-    # Only paths with more than one type can conflict: the others never reach the join.
-    several = fields.groupBy("index", "path").agg((F.min("type") < F.max("type")).alias("mixed")).where("mixed").select("index", "path")
-    mapped = mapped.join(several, ["index", "path"])
-    joined = attach(fields, mapped, ["index", "path"], "inner", spread_by=event_key, max_broadcast_rows=max_broadcast_rows, label="mappings")
-    return joined.filter(F.col("type") != F.col("mapped_type"))
+    """Field values whose type is not the one mapped first: the leaves are summed up once, then looked up once."""
+    return conflicting(fields, written(summary(fields, order), "summary"), event_key, max_broadcast_rows)
 
 
 def rejected_documents(conflicting: DataFrame, event_key: str = "event_id") -> DataFrame:

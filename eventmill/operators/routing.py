@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from eventmill.functions.times import file_date, formatted_name
 from eventmill.options import DEFAULT_INDEX_FORMAT, DEFAULT_TYPE_NAME, RouteOptions
+from eventmill.session import BROADCAST_ROWS, attach, written
 
 # What to do when a template could not be registered.
 INDEX_ANYWAY = "IndexAnyway"
@@ -105,3 +106,31 @@ def best_template(index: Column, templates: Sequence[IndexTemplate]) -> Column:
     """
     ranked = sorted(templates, key=lambda t: (-t.priority, t.name))
     return F.coalesce(*[F.when(covers(index, t.pattern), t.name) for t in ranked], F.lit(None).cast("string"))
+
+
+def like_pattern(pattern: Column) -> Column:
+    """The LIKE pattern of a wildcard pattern in a column."""
+    for mark in ("\\", "%", "_"):
+        pattern = F.replace(pattern, F.lit(mark), F.lit("\\" + mark))
+    return F.replace(pattern, F.lit("*"), F.lit("%"))
+
+
+def best_templates(indices: DataFrame, templates: DataFrame, index: str = "index", max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Adds ``template``, as :func:`best_template`, for any number of ``templates(name, pattern, priority)``.
+
+    The part of a pattern before its first wildcard is its head. Index names are
+    few beside their rows, so each different name is worked on once: of its
+    prefixes, those of a length that some head has are looked up among the heads,
+    level by level of a prefix tree held as a table, and only patterns found
+    there are tried.
+    """
+    heads = templates.select("name", "pattern", "priority", F.substring_index("pattern", "*", 1).alias("_head"))
+    heads = written(heads, "templates")
+    lengths = sorted(row[0] for row in heads.select(F.length("_head")).distinct().collect())  # at most as many as a name has characters
+    names = written(indices.select(index).distinct(), "names").filter(F.col(index).isNotNull())
+    inside = F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.length(index)) if lengths else F.array().cast("array<int>")
+    prefixes = names.select(index, F.explode(F.transform(inside, lambda n: F.substring(F.col(index), F.lit(1), n))).alias("_head"))
+    tried = attach(prefixes, heads, ["_head"], "inner", spread_by=index, max_broadcast_rows=max_broadcast_rows, label="heads")
+    found = tried.filter(F.like(F.col(index), like_pattern(F.col("pattern"))))
+    best = found.groupBy(index).agg(F.min_by("name", F.struct(-F.col("priority"), "name")).alias("template"))
+    return attach(indices, best, [index], spread_by=index, max_broadcast_rows=max_broadcast_rows, label="best-templates")
