@@ -392,6 +392,21 @@ FROM retried r JOIN events e ON e.event_id = r.attempt_no WHERE e.event_type = '
     "stream_admission": ORACLES["admission_limit"],
     "stream_without_replays": after() + f"SELECT event_id, {DAILY} AS index FROM log_events",
 }
+# What is kept between runs.
+ORACLES |= {
+    "mapping_registry_updates": after(FIELDS, MAPPED)
+    + """SELECT index, path, type, count(*) AS n, any_value(mapped_type) AS mapped_type, any_value(kinds) > 1 AS mixed
+FROM fields JOIN mapped USING (index, path) JOIN (SELECT index, path, count(DISTINCT type) AS kinds FROM fields GROUP BY index, path) USING (index, path)
+GROUP BY index, path, type""",
+    "indexed_store_create": f"SELECT doc_id, payload, 'i' || (doc_id % 3) AS index FROM ({ORACLES['bulk_apply_create']})",
+    "indexed_store_replace": f"SELECT doc_id, payload, 'i' || (doc_id % 3) AS index FROM ({ORACLES['bulk_apply_index']})",
+    "match_many_templates": after("""templates AS (
+SELECT 's' || s_suppkey AS name, 'logstash-2024.01.' || lpad(CAST(s_suppkey % 40 AS VARCHAR), 2, '0') || CASE WHEN s_suppkey % 3 = 0 THEN '*' ELSE '' END AS pattern,
+  s_suppkey % 7 AS priority FROM supplier
+UNION ALL VALUES ('a', 'logstash-*', 1), ('b', '*.01.1*', 6), ('c', 'dailyindex-*', 9))""", f"indices AS (SELECT DISTINCT {DAILY} AS index FROM log_events)",
+        """best AS (SELECT index, arg_min(name, (-priority, name)) AS template FROM indices JOIN templates ON index LIKE replace(pattern, '*', '%') GROUP BY index)""")
+    + f"SELECT event_id, {DAILY} AS index, template FROM log_events LEFT JOIN best ON index = {DAILY}",
+}
 # The same results by the ways of large tables.
 ORACLES |= {f"{name}_ranged": ORACLES[name] for name in (
     "buffer_line_offsets", "admission_limit", "bulk_batches", "retry_schedule", "mapping_conflicts", "filter_level_switch_asof")}

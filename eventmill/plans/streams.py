@@ -1,4 +1,4 @@
-"""Registered queries of the durable and stateful streams."""
+"""Registered queries of the durable and stateful streams, and of what is kept between runs."""
 
 from __future__ import annotations
 
@@ -7,12 +7,15 @@ import posixpath
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmill.operators import bulk
+from eventmill.operators import bulk, mapping, routing
+from eventmill.operators.registry import Registry
 from eventmill.options import BatchOptions
 from eventmill.plans.queries import query
 from eventmill.session import new_folder
 from eventmill.sources import ordered, views
+from eventmill.sources.indexed import IndexedStore
 from eventmill.sources.ordered import store_of
+from eventmill.sources.store import INDEX
 from eventmill.streaming import admission, durable, jobs, retry, sink
 
 #: Lines of a source in a step, and bytes up to which a line is sent.
@@ -170,3 +173,48 @@ def _buffer_rows(spark: SparkSession, path: str) -> DataFrame:
     event = _event_id("line")
     return text.select(F.md5(F.concat_ws(":", "file_path", event.cast("string"))).alias("doc_id"), event.alias("event_id"),
                        F.concat(F.lit("logstash-"), F.date_format(F.to_date(F.regexp_extract(name, r"-(\d{8})", 1), "yyyyMMdd"), "yyyy.MM.dd")).alias("index"))
+
+
+@query
+def mapping_registry_updates(spark, folder):
+    """Mappings kept between runs: two updates of half the documents each, and one that is repeated."""
+    registry = Registry(spark, new_folder(spark, "registry"))
+    logs = views.log_events(spark, folder).select("event_id", "ts", routing.index_name(F.col("ts")).alias("index"), "props")
+    for number, half in ((0, 0), (1, 1), (1, 1)):
+        fields = mapping.field_values(logs.filter(F.col("event_id") % 2 == half), "props", ["event_id", "ts", "index"], "fields")
+        registry.update(fields, ["ts", "event_id"], number)
+    known = registry.known()
+    return known.join(mapping.mappings(known), ["index", "path"]).select("index", "path", "type", "n", "mapped_type", "mixed")
+
+
+def _indexed(spark, folder, way: str) -> DataFrame:
+    """Suppliers as a stored index, and the events of users as operations on it."""
+    store = IndexedStore(spark, new_folder(spark, "store"), "doc_id")
+    shard = F.concat(F.lit("i"), (F.col("doc_id") % 3).cast("string"))
+    suppliers = views.table(spark, folder, "supplier").select(F.col("s_suppkey").alias("doc_id"), F.col("s_name").alias("payload"))
+    store.write(suppliers.withColumn(INDEX, shard), "overwrite")
+    writes = views.log_events(spark, folder).select(F.col("user_id").alias("doc_id"), F.col("props").alias("payload"), "ts", "event_id").withColumn(INDEX, shard)
+    getattr(store, way)(writes, ["ts", "event_id"], ["doc_id", "payload", INDEX])
+    return store.read().select("doc_id", "payload", F.col(INDEX).alias("index"))
+
+
+@query
+def indexed_store_create(spark, folder):
+    return _indexed(spark, folder, "create")
+
+
+@query
+def indexed_store_replace(spark, folder):
+    return _indexed(spark, folder, "replace")
+
+
+@query
+def match_many_templates(spark, folder):
+    """The daily indices of all events against one template for each supplier and some for all."""
+    own = views.table(spark, folder, "supplier").select(
+        F.concat(F.lit("s"), F.col("s_suppkey")).alias("name"),
+        F.concat(F.lit("logstash-2024.01."), F.lpad((F.col("s_suppkey") % 40).cast("string"), 2, "0"), F.when(F.col("s_suppkey") % 3 == 0, "*").otherwise("")).alias("pattern"),
+        (F.col("s_suppkey") % 7).cast("int").alias("priority"))
+    shared = spark.sql("SELECT * FROM VALUES ('a', 'logstash-*', 1), ('b', '*.01.1*', 6), ('c', 'dailyindex-*', 9) AS t(name, pattern, priority)")
+    events = views.log_events(spark, folder).select("event_id", routing.index_name(F.col("ts")).alias("index"))
+    return routing.best_templates(events, own.unionByName(shared))
