@@ -18,14 +18,19 @@ third of all values is summed up before it is shuffled.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmill.llm.common import let, whole_text
 from eventmill.session import written
 
-#: Rounds of scoring each time patterns join; confidence from which a pattern extracts; different sure instances that it must surround.
-ROUNDS, CONFIDENT, SUPPORT = 3, 0.8, 5
+#: Rounds of scoring each time patterns join; confidence from which a pattern extracts.
+ROUNDS, CONFIDENT = 3, 0.8
+#: Different sure instances that a pattern must surround: so many, and this share of all different seeds. Values that stand in
+#: running text meet a common pair of words in proportion to the corpus; such pairs are no contexts at any size.
+SUPPORT, SHARE = 5, 0.001
 #: Characters before and after a value that its context is taken from.
 REACH = 80
 
@@ -44,8 +49,8 @@ PIECE = f"[{IN_WORD}]++[^{IN_WORD}]*+|[^{IN_WORD}]++"
 TAIL = f"(?<=[{WORD_END}])[^{WORD_END}]++$"
 #: Words that a discovered value may have.
 LONGEST = 5
-#: Up to so many patterns or instances are looked up in the rows themselves, more by a join.
-IN_ROWS = 2_000
+#: Up to so many patterns or instances are named in the plan; of more, a filter of so many bits is, and a join decides.
+IN_ROWS, FILTER_BITS = 2_000, 1 << 20
 PART_TO_255 = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
 
@@ -188,50 +193,73 @@ CANDIDATE = "array<struct<i:int,k:int,instance:string,pattern:string>>"
 
 
 def with_places(hits: Column, p: Column) -> Column:
-    """Hits in order of i as (start, end, instance, pattern): code points, end exclusive; the pieces are gone through once."""
-    none = F.array().cast("array<struct<start:int,end:int,instance:string,pattern:string>>")
-    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"), none.alias("out"))
+    """Hits as (start, end, instance, pattern): code points, end exclusive, by the length of the pieces before."""
     text = lambda a, n: F.array_join(F.slice(p, a + 1, n), "")
 
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.length(text(acc["i"], x["i"] - acc["i"]))
-        end = begin + F.length(F.regexp_replace(text(x["i"], x["k"]), TAIL, ""))
-        here = F.struct(begin.alias("start"), end.alias("end"), x["instance"].alias("instance"), x["pattern"].alias("pattern"))
-        return F.struct(begin.alias("at"), x["i"].alias("i"), F.array_append(acc["out"], here).alias("out"))
+    def placed(x: Column) -> Column:
+        return let(F.length(text(F.lit(0), x["i"])), lambda begin: F.struct(
+            begin.alias("start"), (begin + F.length(F.regexp_replace(text(x["i"], x["k"]), TAIL, ""))).alias("end"), x["instance"].alias("instance"), x["pattern"].alias("pattern")))
 
-    return F.aggregate(hits, start, step, lambda acc: acc["out"])
+    return F.transform(hits, placed)
 
 
 def first_word(value: Column) -> Column:
     return F.regexp_replace(F.regexp_extract(value, f"^[{IN_WORD}]*+", 0), TAIL, "")
 
 
+def known_filter(values: DataFrame):
+    """A test of a text against one column of texts, and whether it is exact: else it also lets a few others through.
+
+    Up to IN_ROWS texts are named. Of more, each sets two bits; the bits, a table
+    of a fixed size, are summed up in Spark.
+    """
+    few = [r[0] for r in values.limit(IN_ROWS + 1).collect()]
+    if len(few) <= IN_ROWS:
+        return lambda x: F.coalesce(x.isin(few), F.lit(False)), True
+    places = lambda x: [F.pmod(F.xxhash64(*salt, x), F.lit(FILTER_BITS)) for salt in ((), (F.lit(1),))]
+    marks = values.select(F.explode(F.array(*places(F.col(values.columns[0])))).alias("at"))
+    words = marks.groupBy(F.floor(F.col("at") / 64).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("bits"))
+    table = ["0"] * (FILTER_BITS // 64)
+    for row in words.collect():
+        table[row.word] = str(row.bits)
+    bits = F.split(F.lit(",".join(table)), ",").cast("array<bigint>")  # one literal
+
+    def might(x: Column) -> Column:
+        one, other = (F.bit_get(F.get(bits, F.floor(at / 64).cast("int")), (at % 64).cast("int")) == 1 for at in places(x))
+        return F.coalesce(one & other, F.lit(False))
+
+    return might, False
+
+
 def looked_up(found: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
-    """(doc_id, text_hash, start, end, instance, pattern) of every value outside base spans whose ``column`` is wanted."""
-    few = [r[0] for r in wanted.limit(IN_ROWS + 1).collect()]
-    in_rows = len(few) <= IN_ROWS
-    first, ends = [], []
-    if in_rows and column == "instance":
-        first = sorted({r[0] for r in wanted.select(first_word(F.col(column))).collect()})
-    elif in_rows:  # the piece before, and with it the word behind
-        first = sorted({p.split("\0")[2 if p[0] == "2" else 1] for p in few})
-        ends = [f"{r[0]}\0{r[1]}" for r in wanted.where(F.col(column).startswith("1")).select(
-            F.split(column, "\0")[1], F.regexp_extract(F.split(column, "\0")[2], f"[{IN_WORD}]*$", 0)).collect()]
+    """(doc_id, text_hash, start, end, instance, pattern) of every value outside base spans whose ``column`` is wanted.
+
+    Only positions whose first word (of instances) or piece before (of patterns)
+    is that of a wanted one are gone into, and only values that pass the test
+    leave their row.
+    """
+    asked, exact = known_filter(wanted.select(column).distinct())
+    ended = lambda x: F.lit(True)
+    if column == "instance":
+        begun, _ = known_filter(wanted.select(first_word(F.col(column)).alias("first")).distinct())
+    else:  # the piece before, and with it the word behind
+        parts = F.split(column, "\0")
+        begun, _ = known_filter(wanted.select(F.when(F.col(column).startswith("2"), parts[2]).otherwise(parts[1]).alias("first")).distinct())
+        ended, _ = known_filter(wanted.where(F.col(column).startswith("1")).select(
+            F.concat(parts[1], F.lit("\0"), F.regexp_extract(parts[2], f"[{IN_WORD}]*$", 0)).alias("pair")).distinct())
 
     def hits(p: Column) -> Column:
         def of(q: Column, words: Column) -> Column:
             at = F.sequence(F.lit(0), F.size(q) - 1)
-            if not in_rows:
-                return F.flatten(F.transform(at, lambda i: candidates_at(q, i, lambda x: F.lit(True), lambda k: F.lit(True))))
             if column == "instance":
-                at = F.filter(at, lambda i: F.get(words, i).isin(first))
+                at = F.filter(at, lambda i: begun(F.get(words, i)))
                 each = F.flatten(F.transform(at, lambda i: candidates_at(q, i, lambda x: F.lit(True), lambda k: F.lit(True))))
-                return F.filter(each, lambda x: x["instance"].isin(few))
-            at = F.filter(at, lambda i: F.get(q, i - 1).isin(first))
+                return F.filter(each, lambda x: asked(x["instance"]))
+            at = F.filter(at, lambda i: begun(F.get(q, i - 1)))
             # a piece without a word may stand between
-            ended = lambda i, k: F.concat(F.get(q, i - 1), F.lit("\0"), F.get(words, i + k)).isin(ends)
-            may_end = lambda i: lambda k: F.coalesce(ended(i, k), F.lit(False)) | F.coalesce(ended(i, k + 1), F.lit(False))
-            return F.flatten(F.transform(at, lambda i: candidates_at(q, i, lambda x: x.isin(few), may_end(i))))
+            pair = lambda i, k: F.concat(F.get(q, i - 1), F.lit("\0"), F.get(words, i + k))
+            may_end = lambda i: lambda k: ended(pair(i, k)) | ended(pair(i, k + 1))
+            return F.flatten(F.transform(at, lambda i: candidates_at(q, i, asked, may_end(i))))
 
         def found_in(q: Column) -> Column:
             return let(F.transform(q, first_word), lambda words: let(of(q, words), lambda h: with_places(h, p)))
@@ -241,7 +269,7 @@ def looked_up(found: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
     seeds = F.transform(F.flatten(F.array(*KINDS)), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
     values = let(seeds, lambda base: F.filter(let(pieces(F.col("text")), hits), lambda v: ~F.exists(base, lambda s: (s["start"] < v["end"]) & (s["end"] > v["start"]))))
     each = found.select("doc_id", "text_hash", F.explode(values).alias("v")).select("doc_id", "text_hash", "v.*")
-    return each if in_rows else each.join(wanted, column, "left_semi").select("doc_id", "text_hash", "start", "end", "instance", "pattern")
+    return each if exact else each.join(wanted, column, "left_semi").select("doc_id", "text_hash", "start", "end", "instance", "pattern")
 
 
 def scored_graph(graph: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -262,9 +290,10 @@ def discovered(found: DataFrame) -> DataFrame | None:
     """(doc_id, text_hash, start, end) of every value in the slot of a confident pattern; None if no pattern has support."""
     seed = found.select(F.explode(F.flatten(F.array(*KINDS))).alias("s")).select(F.explode("s.patterns").alias("pattern"), "s.instance")
     support = seeds = written(seed.distinct(), "support")
+    least = max(SUPPORT, math.ceil(SHARE * seeds.select("instance").distinct().count()))
     admitted = known_sure = inside = confident = None
     while True:
-        supported = support.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= SUPPORT).select("pattern")
+        supported = support.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("pattern")
         new = written(supported if admitted is None else supported.join(admitted, "pattern", "left_anti"), "admitted")
         if new.isEmpty():
             break

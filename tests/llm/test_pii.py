@@ -3,10 +3,23 @@
 import hashlib
 import re
 
+import time
+
 import helpers
+import pytest
+from pyspark.sql import functions as F
 
 from eventmill.llm import pii
 
+
+@pytest.fixture(params=["named", "filtered"])
+def lookups(request, monkeypatch):
+    """Both ways to look up patterns and instances: named in the plan, and by bits with a join."""
+    if request.param == "filtered":
+        monkeypatch.setattr(pii, "IN_ROWS", 0)
+        monkeypatch.setattr(pii, "FILTER_BITS", 256)
+    return request.param
+
 PLAIN = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
     "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
@@ -44,14 +57,14 @@ def test_base_spans(spark):
     assert helpers.by_id(got) == helpers.by_id((i, *plain(t)) for i, t in rows)
 
 
-def test_patterns_find_unseen_identifiers(spark):
+def test_patterns_find_unseen_identifiers(spark, lookups):
     rows = [(i, f"reach me at user{i}@mail.com today") for i in range(12)] + [(50, "reach me at zz9-k77 today"), (51, "we bought part zz9-k88 today")]
     spans = {r.doc_id: r.spans for r in pii.personal_data(helpers.documents(spark, rows)).collect()}
     assert spans[50] == "id:12:19" and spans[51] == ""
     assert spans[0] == "email:12:26"
 
 
-def test_whole_seeds_make_patterns(spark):
+def test_whole_seeds_make_patterns(spark, lookups):
     names = ["jane", "omar", "li", "eva", "tom", "ada", "ben", "zoe", "max", "ida", "amy", "bob", "cy", "dan"]
     rows = [(i, f"please write to {n}.doe@mail.com soon") for i, n in enumerate(names)]
     rows += [(20 + i, f"you may ring +44 20 7946 09{10 + i} after noon") for i in range(10)]
@@ -61,7 +74,7 @@ def test_whole_seeds_make_patterns(spark):
     assert spans[40] == "id:16:20" and spans[41] == "id:13:20" and spans[42] == "id:16:30" and spans[43] == ""
 
 
-def test_discovered_values_support_further_patterns(spark):
+def test_discovered_values_support_further_patterns(spark, lookups):
     rows = [(100 + i, f"reach me at user{i}@mail.com today") for i in range(80)]
     rows += [(20 + i, f"reach me at nick{c} today") for i, c in enumerate("abcdefghijkl")]
     rows += [(40 + i, f"greetings from handle nick{c} as ever") for i, c in enumerate("abcdefghijkl")]
@@ -70,6 +83,30 @@ def test_discovered_values_support_further_patterns(spark):
     assert spans[20] == "id:12:17" and spans[40] == "id:22:27" and spans[70] == "id:22:25" and spans[71] == ""
 
 
+@pytest.mark.parametrize("column", ["pattern", "instance"])
+def test_long_text_is_looked_up_in_little_time(spark, lookups, monkeypatch, column):
+    """20,000 words, each of a thousand hits at its place."""
+    monkeypatch.setattr(pii, "FILTER_BITS", 1 << 20)
+    text = " ".join(f"word{i % 977} of" if i % 20 else f"reach me at nick{i}" for i in range(9_000))
+    found = pii.written(pii.extracted(helpers.documents(spark, [(1, text)])), "found")
+    wanted = spark.createDataFrame([("2\0me \0at ",)] if column == "pattern" else [(f"nick{i}",) for i in range(0, 9_000, 20)], f"{column} string")
+    began = time.monotonic()
+    rows = pii.looked_up(found, wanted, column).where(F.col("pattern") == "2\0me \0at ").collect()
+    assert time.monotonic() - began < 20
+    assert sorted((r.start, r.end) for r in rows) == [m.span() for m in re.finditer(r"nick\d+", text)]
+    assert {r.instance for r in rows} == {f"nick{i}" for i in range(0, 9_000, 20)}
+
+
+def test_support_grows_with_the_seeds(spark, monkeypatch):
+    """A pattern around fewer than its share of all different seeds is no context."""
+    rows = [(i, f"reach me at user{i}@mail.com today") for i in range(12)] + [(50, "reach me at zz9-k77 today")]
+    monkeypatch.setattr(pii, "SHARE", 0.9)
+    rows += [(100 + i, f"x{i} y{i} other{i}@mail.com z{i}") for i in range(12)]
+    assert all(r.n_discovered == 0 for r in pii.personal_data(helpers.documents(spark, rows)).collect())
+    monkeypatch.setattr(pii, "SHARE", 0.4)
+    assert {r.doc_id: r.n_discovered for r in pii.personal_data(helpers.documents(spark, rows)).collect()}[50] == 1
+
+
 def test_long_run_of_letters_is_read_once(spark):
     got = pii.personal_data(helpers.documents(spark, [(1, "a" * 200_000 + "@b.c")])).first()
     assert got.spans == "email:0:200004"
