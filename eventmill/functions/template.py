@@ -99,24 +99,90 @@ def _grouped(text: Column) -> Column:
 
 def _is_whole(text: Column) -> Column:
     """Whether number text has no fraction: written without one, or with zeros alone."""
-    return F.coalesce(text.try_cast("decimal(38,0)") == text.try_cast("decimal(38,18)"), text.rlike(r"^-?\d+$"))
+    return text.rlike(r"^-?\d+(\.0*)?$")
+
+
+#: A pattern of digits: whole part with thousands separators, then fraction digits that are shown always and those that are not.
+PATTERN = r"^([#0]+(?:,[#0]+)*)(?:\.(0*)(#*))?$"
+#: Formats that are followed; ``G`` and ``R`` show a number as it is.
+SUPPORTED = PATTERN[:-1] + r"$|^[FfNnPpEe]\d?$|^[DdXx]\d{0,2}$|^[GgRr]$"
+
+
+def supported_format(fmt: Column) -> Column:
+    """Whether a number under this format is rendered by it; another one leaves the number as it is."""
+    return fmt.rlike(SUPPORTED)
+
+
+def _patterned(rounded: Column, least_whole: Column, grouped: Column, least_fraction: Column) -> Column:
+    """A number rounded to all its places, with whole digits at least, separators, and no zeros behind the digits that must be shown."""
+    def show(number: Column) -> Column:
+        bare = F.ltrim(number, F.lit("-"))
+        places = F.when(bare.contains("."), F.substring_index(bare, ".", -1)).otherwise("")
+        shown = F.substring(places, F.lit(1), F.greatest(F.length(F.rtrim(places, F.lit("0"))), least_fraction))
+        whole = F.substring_index(bare, ".", 1)
+        whole = F.when((whole == "0") & (least_whole == 0), "").otherwise(
+            F.concat(F.repeat(F.lit("0"), F.greatest(least_whole - F.length(whole), F.lit(0))), whole))
+        return F.concat(F.when(number.startswith("-"), "-").otherwise(""), F.when(grouped, _grouped(whole)).otherwise(whole),
+                        F.when(shown != "", F.concat(F.lit("."), shown)).otherwise(""))
+
+    return let(rounded, show)
+
+
+def _percent(text: Column) -> Column:
+    """A hundred times the number, exactly."""
+    return (text.try_cast("decimal(36,18)") * 100).cast("string")
+
+
+def _exponent(text: Column, fmt: Column) -> Column:
+    """``d.ddE+ddd`` with the digits that the format names, six without."""
+    digits = F.coalesce(F.substring(fmt, 2, 2).try_cast("int"), F.lit(6))
+    shown = F.printf(F.concat(F.lit("%."), digits.cast("string"), F.lit("E")), text.try_cast("double"))
+    shown = F.regexp_replace(shown, r"E([+-])(\d\d)$", "E$10$2")
+    return F.when(fmt.startswith("e"), F.lower(shown)).otherwise(shown)
+
+
+def _hexadecimal(text: Column, fmt: Column) -> Column:
+    """A whole number in base 16; a negative one as its 32 or, beyond that range, 64 bits."""
+    def show(number: Column) -> Column:
+        digits = F.when(number.between(-(1 << 31), -1), F.right(F.hex(number), F.lit(8))).otherwise(F.hex(number))
+        missing = F.coalesce(F.substring(fmt, 2, 2).try_cast("int"), F.lit(0)) - F.length(digits)
+        padded = F.concat(F.repeat(F.lit("0"), F.greatest(missing, F.lit(0))), digits)
+        return F.when(fmt.startswith("x"), F.lower(padded)).otherwise(padded)
+
+    return let(F.when(_is_whole(text), text.try_cast("decimal(38,0)").try_cast("bigint")), show)
 
 
 def formatted_number(text: Column, fmt: Column) -> Column:
-    """Number text under ``0``-patterns, ``Fn``, ``Nn`` or ``Dn``; other formats leave it as it is."""
+    """Number text under patterns of ``0``, ``#`` and ``,``, ``Fn``, ``Nn``, ``Pn``, ``En``, ``Dn`` or ``Xn``; other formats leave it as it is."""
     fraction = F.when(fmt.contains("."), F.length(F.substring_index(fmt, ".", -1))).otherwise(0)
     whole = F.length(F.substring_index(fmt, ".", 1))
     precision = F.coalesce(F.substring(fmt, 2, 2).try_cast("int"), F.lit(2))
+    least_whole = F.length(F.ltrim(F.replace(F.substring_index(fmt, ".", 1), F.lit(",")), F.lit("#")))  # digits count from the first zero on
+    least_fraction = F.length(F.regexp_extract(fmt, PATTERN, 2))
     return F.coalesce(
         F.when(fmt.rlike(r"^0+(\.0+)?$"), _padded(_fixed(text, fraction), whole))
         .when(fmt.rlike(r"^[Ff]\d?$"), _fixed(text, precision))
         .when(fmt.rlike(r"^[Nn]\d?$"), _grouped(_fixed(text, precision)))
         .when(fmt.rlike(r"^[Dd]\d{0,2}$") & _is_whole(text),
-              _padded(_rounded(text, 0), F.coalesce(F.substring(fmt, 2, 2).try_cast("int"), F.lit(0)))),
+              _padded(_rounded(text, 0), F.coalesce(F.substring(fmt, 2, 2).try_cast("int"), F.lit(0))))
+        .when(fmt.rlike(r"^[Pp]\d?$"), F.concat(_grouped(_fixed(_percent(text), precision)), F.lit(" %")))
+        .when(fmt.rlike(r"^[Ee]\d?$"), _exponent(text, fmt))
+        .when(fmt.rlike(r"^[Xx]\d{0,2}$"), _hexadecimal(text, fmt))
+        .when(fmt.rlike(PATTERN), _patterned(_fixed(text, fraction), least_whole, fmt.contains(","), least_fraction)),
         text,
     )
 
 
+def unsupported_formats(events: DataFrame, template: str = "message_template") -> DataFrame:
+    """``(message_template, format, n)`` of formats that are not followed for numbers, with the events that have them.
+
+    Templates are parsed once each. ``l`` is for strings; times carry their format in their text.
+    """
+    seen = events.groupBy(template).agg(F.count(F.lit(1)).alias("n"))
+    formats = F.array_distinct(F.transform(F.filter(parsed_tokens(F.col(template)), lambda t: F.coalesce(t["format"], F.lit("")) != ""), lambda t: t["format"]))
+    return seen.select(template, "n", F.explode(formats).alias("format")).filter(~supported_format(F.col("format")) & (F.col("format") != "l")).select(template, "format", "n")
+
+
 def _plain_text(value: Column) -> Column:
     """The rendering without a format: strings keep their quotes, and only quotes stay escaped."""
     string = F.try_variant_get(F.try_parse_json(value), "$", "string")
@@ -210,6 +276,19 @@ def _own_number(value: Column, fmt: str) -> Column:
         return text if kind == "F" else _grouped(text)
     if kind == "D" and re.fullmatch(r"\d{0,2}", digits):
         return F.when(_is_whole(value), _padded(fixed(0), F.lit(int(digits or 0))))
+    if kind == "P" and re.fullmatch(r"\d?", digits):
+        return F.concat(_grouped(_rounded(_percent(value), int(digits or 2))), F.lit(" %"))
+    if kind == "E" and re.fullmatch(r"\d?", digits):
+        return _exponent(value, F.lit(fmt))
+    if kind == "X" and re.fullmatch(r"\d{0,2}", digits):
+        return _hexadecimal(value, F.lit(fmt))
+    found = re.fullmatch(PATTERN, fmt)
+    if found:
+        whole, shown, more = (part or "" for part in found.groups())
+        if len(shown + more) > MAX_FRACTION_DIGITS:
+            return value
+        # zeros count from the first one on
+        return _patterned(fixed(len(shown + more)), F.lit(len(whole.replace(",", "").lstrip("#"))), F.lit("," in whole), F.lit(len(shown)))
     return value
 
 

@@ -392,6 +392,19 @@ FROM retried r JOIN events e ON e.event_id = r.attempt_no WHERE e.event_type = '
     "stream_admission": ORACLES["admission_limit"],
     "stream_without_replays": after() + f"SELECT event_id, {DAILY} AS index FROM log_events",
 }
+# Number formats; a value has two decimals.
+ORACLES |= {
+    "render_number_formats": after("cents AS (SELECT event_id, user_id, CAST(value AS DECIMAL(18,2)) AS v FROM log_events)")
+    + r"""SELECT event_id, CASE WHEN v < 0 THEN '-' ELSE '' END || format('{:,}', CAST(trunc(abs(v)) AS BIGINT)) || '.' ||
+    regexp_replace(lpad(CAST(CAST(round((abs(v) - trunc(abs(v))) * 100) AS INTEGER) AS VARCHAR), 2, '0'), '(\d)0$', '\1') AS pattern,
+  CASE WHEN CAST(v AS DECIMAL(18,1)) < 0 THEN '-' ELSE '' END ||
+    regexp_replace(regexp_replace(CAST(CAST(abs(v) AS DECIMAL(18,1)) AS VARCHAR), '\.0$', ''), '^0', '') AS bare,
+  format('{:,}', CAST(v * 100 AS BIGINT)) || '.0 %' AS percent,
+  regexp_replace(format('{:.6E}', CAST(v AS DOUBLE)), 'E([+-])(\d\d)$', 'E\1' || '0' || '\2') AS exponent,
+  printf('%04X', user_id) AS hexadecimal FROM cents""",
+    "unsupported_formats": """SELECT '{Value:C2} {UserId:0.0} {When:HH:mm}' AS message_template, unnest(['C2', 'HH:mm']) AS format, n
+FROM (SELECT count(*) AS n FROM events WHERE event_id % 5 = 0)""",
+}
 # What is kept between runs.
 ORACLES |= {
     "mapping_registry_updates": after(FIELDS, MAPPED)

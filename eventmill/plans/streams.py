@@ -7,6 +7,7 @@ import posixpath
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventmill.functions import template
 from eventmill.operators import bulk, mapping, routing
 from eventmill.operators.registry import Registry
 from eventmill.options import BatchOptions
@@ -218,3 +219,18 @@ def match_many_templates(spark, folder):
     shared = spark.sql("SELECT * FROM VALUES ('a', 'logstash-*', 1), ('b', '*.01.1*', 6), ('c', 'dailyindex-*', 9) AS t(name, pattern, priority)")
     events = views.log_events(spark, folder).select("event_id", routing.index_name(F.col("ts")).alias("index"))
     return routing.best_templates(events, own.unionByName(shared))
+
+
+@query
+def render_number_formats(spark, folder):
+    """Patterns, percent, exponent and hexadecimal formats of the values and users of all events."""
+    cents = F.col("value").cast("decimal(18,2)").cast("string")
+    shown = {"pattern": (cents, "#,##0.0#"), "bare": (cents, "#.#"), "percent": (cents, "P1"), "exponent": (cents, "E6"), "hexadecimal": (F.col("user_id").cast("string"), "X4")}
+    return views.log_events(spark, folder).select("event_id", *(template.formatted_number(text, F.lit(f)).alias(name) for name, (text, f) in shown.items()))
+
+
+@query
+def unsupported_formats(spark, folder):
+    """Formats that leave a number as it is, by template, told beforehand."""
+    logs = views.log_events(spark, folder).withColumn("message_template", F.when(F.col("event_id") % 5 == 0, "{Value:C2} {UserId:0.0} {When:HH:mm}").otherwise(F.col("message_template")))
+    return template.unsupported_formats(logs)

@@ -10,7 +10,7 @@ from eventmill.functions import template
 PROPERTIES = {
     "Song": json.dumps("New Macabre"), "Odd": json.dumps('a "b" \\ c'), "N": "7", "Price": "1234.565", "Small": "-0.5",
     "Fine": "2.67499999999999999", "Large": "1e30",
-    "Flag": "true", "None": "null", "List": "[1,2]",
+    "Neg": "-1", "Wide": "-4294967296", "Zero": "0", "Flag": "true", "None": "null", "List": "[1,2]",
 }
 
 CASES = [
@@ -30,6 +30,11 @@ CASES = [
     ("{Large:0.00} {Large:0}", "1000000000000000000000000000000.00 1000000000000000000000000000000"),
     ("{@List} {$Flag} {None}", "[1,2] true null"),
     ("{Price:weird}", "1234.565"),
+    ("{Price:#,##0.0#} {Price:#,##0} {N:#,##0.0##} {N:0.0#} {Small:#.##} {Small:0#.0}", "1,234.57 1,235 7.0 7.0 -.5 -00.5"),
+    ("{Price:P1} {Small:P} {N:P0} {Price:p2}", "123,456.5 % -50.00 % 700 % 123,456.50 %"),
+    ("{Price:E2} {Small:e3} {N:E} {Large:E1}", "1.23E+003 -5.000e-001 7.000000E+000 1.0E+030"),
+    ("{Price:D6} {N:X4} {N:x} {Neg:X} {Neg:x2} {Wide:X} {Price:X}", "1234.565 0007 7 FFFFFFFF ffffffff FFFFFFFF00000000 1234.565"),
+    ("{Zero:#.#}|{Zero:#,##0}|{Zero:.0}|{Price:C}", "|0|0|1234.565"),
     ("{not a hole} {", "{not a hole} {"),
     ("{Missing,5:000}", "{Missing,5:000}"),
 ]
@@ -71,3 +76,8 @@ def test_helpers_agree(frame):
 
 def test_common_templates(frame):
     assert set(template.common_templates(frame, "t")) == {t for t, _ in CASES}
+
+
+def test_formats_that_are_not_followed_are_told(spark):
+    rows = spark.createDataFrame([("{A:C2} {A:0.0} {B:HH:mm}",), ("{A:C2} {A:0.0} {B:HH:mm}",), ("{A:l} {A:#,##0.0} {A:P} {A:G}",), (None,)], "message_template string")
+    assert {tuple(r) for r in template.unsupported_formats(rows).collect()} == {("{A:C2} {A:0.0} {B:HH:mm}", "C2", 2), ("{A:C2} {A:0.0} {B:HH:mm}", "HH:mm", 2)}
