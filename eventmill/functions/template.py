@@ -292,6 +292,11 @@ def _own_number(value: Column, fmt: str) -> Column:
     return value
 
 
+def formatted(text: Column, fmt: str) -> Column:
+    """:func:`formatted_number` under one known format."""
+    return F.coalesce(_own_number(text, fmt), text)
+
+
 def _own_hole(raw: str, properties: Column) -> Column:
     """A hole of a known template, as one compiled expression."""
     name, width, fmt = re.match(HOLE, raw, re.ASCII).groups()
@@ -300,7 +305,7 @@ def _own_hole(raw: str, properties: Column) -> Column:
     if fmt == "l":
         text = _value_text(value, F.lit(fmt))
     elif fmt:
-        text = F.when(value.startswith('"'), text).otherwise(F.coalesce(_own_number(value, fmt), value))
+        text = F.when(value.startswith('"'), text).otherwise(formatted(value, fmt))
     if width:
         gap = F.repeat(F.lit(" "), F.lit(abs(int(width))) - F.length(text))
         text = F.concat(gap, text) if int(width) > 0 else F.concat(text, gap)

@@ -226,7 +226,7 @@ def render_number_formats(spark, folder):
     """Patterns, percent, exponent and hexadecimal formats of the values and users of all events."""
     cents = F.col("value").cast("decimal(18,2)").cast("string")
     shown = {"pattern": (cents, "#,##0.0#"), "bare": (cents, "#.#"), "percent": (cents, "P1"), "exponent": (cents, "E6"), "hexadecimal": (F.col("user_id").cast("string"), "X4")}
-    return views.log_events(spark, folder).select("event_id", *(template.formatted_number(text, F.lit(f)).alias(name) for name, (text, f) in shown.items()))
+    return views.log_events(spark, folder).select("event_id", *(template.formatted(text, f).alias(name) for name, (text, f) in shown.items()))
 
 
 @query
