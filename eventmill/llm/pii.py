@@ -29,8 +29,9 @@ from eventmill.session import written
 #: Rounds of scoring each time patterns join; confidence from which a pattern extracts.
 ROUNDS, CONFIDENT = 3, 0.8
 #: Different sure instances that a pattern must surround: so many, and this share of all different seeds. Values that stand in
-#: running text meet a common pair of words in proportion to the corpus; such pairs are no contexts at any size.
-SUPPORT, SHARE = 5, 0.001
+#: running text meet a common pair of words in proportion to the corpus; such pairs are no contexts at any size. As a seed has
+#: three patterns at a place, the share also bounds how many patterns the seeds can support.
+SUPPORT, SHARE = 5, 0.005
 #: Characters before and after a value that its context is taken from.
 REACH = 80
 
