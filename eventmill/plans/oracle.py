@@ -405,6 +405,16 @@ ORACLES |= {
     "unsupported_formats": """SELECT '{Value:C2} {UserId:0.0} {When:HH:mm}' AS message_template, unnest(['C2', 'HH:mm']) AS format, n
 FROM (SELECT count(*) AS n FROM events WHERE event_id % 5 = 0)""",
 }
+# What a caller brings.
+ORACLES |= {
+    "clean_rejected_documents": after(BATCHED)
+    + r"""SELECT batch_id, pos, event_id, status,
+  CASE WHEN status = 400 THEN regexp_replace(props, '"k":"s(\d+)"', '"k":\1') ELSE props || ' ' END AS doc
+FROM batched WHERE status = 400 OR (status = 429 AND event_id % 2 = 1)""",
+    "custom_serializers": after()
+    + """SELECT event_id, '"' || event_type || '"' AS event_type,
+  CASE WHEN user_id % 2 = 0 THEN '"user-' || user_id || '"' ELSE CAST(user_id AS VARCHAR) END AS user FROM log_events""",
+}
 # What is kept between runs.
 ORACLES |= {
     "mapping_registry_updates": after(FIELDS, MAPPED)
