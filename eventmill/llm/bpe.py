@@ -18,6 +18,7 @@ import codecs
 import functools
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -69,10 +70,12 @@ class Model:
         """Symbols of a token: the mark of a word's end belongs to its last character."""
         return len(token) - (len(self.suffix) if self.suffix and token.endswith(self.suffix) else 0)
 
-    def symbols(self, word: str) -> list[str]:
-        letters = [self.letter[b] for b in word.encode()]
-        letters[-1] += self.suffix
-        return letters
+    def symbols(self, word: str) -> Iterator[str]:
+        """The letters of a word, one at a time; the last one bears the mark of the end."""
+        letter, raw = self.letter, word.encode()
+        for b in raw[:-1]:
+            yield letter[b]
+        yield letter[raw[-1]] + self.suffix
 
 
 @functools.lru_cache(maxsize=2)
@@ -184,10 +187,10 @@ class Encoder:
         ids = self.model.ids
         found = self.words.get(word)
         if found is None:
-            symbols = self.model.symbols(word)
-            if len(symbols) > LONG:  # its tokens go out while it is read; only ids gather
-                return b"".join(ids[t].to_bytes(4, "little") for t in self.stream(symbols))
-            found = b"".join(ids[t].to_bytes(4, "little") for t in self.stream(symbols))
+            tokens = self.stream(self.model.symbols(word))
+            if len(word) > LONG:  # its tokens go out while it is read; only ids gather
+                return array("I", map(ids.__getitem__, tokens)).tobytes()
+            found = array("I", map(ids.__getitem__, tokens)).tobytes()
             if len(self.words) >= REMEMBERED:
                 self.words.clear()
             self.words[word] = found
@@ -210,8 +213,11 @@ class Encoder:
         if len(known) + len(new) > REMEMBERED:
             known.clear()
             new = set(chunks)
+        long: dict[str, bytes] = {}  # chunks of any length are kept for this text only
         for chunk in new:
-            known[chunk] = b"".join(map(self.word, model.word.findall(chunk)))
+            (known if len(chunk) <= LONG else long)[chunk] = b"".join(map(self.word, model.word.findall(chunk)))
+        if long:
+            return b"".join([long[c] if len(c) > LONG else known[c] for c in chunks])
         return b"".join([known[c] for c in chunks])
 
     def ids(self, text: str) -> bytes:

@@ -1,6 +1,7 @@
 """Encoding and decoding against the tokenizers library."""
 
 import random
+import tracemalloc
 
 import helpers
 import numpy as np
@@ -52,6 +53,21 @@ def test_open_end_stays_small():
     assert done == 20_000 and most <= 12 * encode.model.lookahead
 
 
+def test_long_words_are_not_kept():
+    """A word of a megabyte: while it is encoded little more than the word and its ids is held, and none of it stays."""
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        encode = bpe.Encoder(bpe.Model(file.read()))
+    rng = random.Random(7)
+    word = "".join(rng.choices("etaoinshr", k=5_000)) * 200
+    encode.ids(word[:20_000])  # fills the table of neighbours, which is bounded by itself
+    tracemalloc.start()
+    ids = encode.ids(f"a {word} b")
+    stays, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(ids) > 400_000 and most < 4 * len(word) + 8 * len(ids)
+    assert stays < 2 * len(ids) + 2_000_000 and not [c for c in encode.chunks if len(c) > bpe.LONG] and word not in encode.words
+
+
 def test_table(spark):
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     got = bpe.encode_and_decode(helpers.documents(spark)).collect()
