@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from eventmill.operators import delivery, filters, rolling, running
 from eventmill.operators.bulk import in_batches
 from eventmill.session import attach
+from eventmill.sources import views
+
+SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
@@ -35,6 +38,14 @@ def test_small_data_needs_no_ranges(skewed):
     assert running.plan_chunks(skewed, ["ts", "n"]) is None
 
 
+def test_failure_runs_read_only_columns_that_are_there(spark):
+    """Without the order among the columns that are read, no filter asks the totals for it."""
+    attempts = views.attempts(spark, SMALL)
+    got = delivery.failure_runs(attempts, "target", ["ts", "attempt_no"], rows_per_chunk=100).select("target", "attempt_no", "failures_in_a_row")
+    assert "!Filter" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(got) == rows(delivery.failure_runs(attempts, "target", ["ts", "attempt_no"]).select(*got.columns))
+
+
 def test_numbers(skewed):
     got = running.number_rows_at_scale(skewed, ["key"], ["ts", "n"], rows_per_chunk=300)
     want = skewed.withColumn("rn", F.row_number().over(Window.partitionBy("key").orderBy("ts", "n")).cast("bigint"))
