@@ -114,7 +114,7 @@ def rolling_sequences(
     if chunk is None:
         return lines.groupBy(*keys).applyInPandas(lambda frame: assign(frame, 0, 0), schema)
 
-    cut = lines.withColumn(CHUNK, chunk)
+    cut = lines.withColumn(CHUNK, chunk.cast("long"))  # as in the tables: groups meet by the hash of their keys, and an int has another one
     by_key = lines.select(*keys).schema
     table_schema = _extended(by_key, CHUNK, "upto", "files", "used")
     state_schema = _extended(by_key, CHUNK, "held", "number")

@@ -103,6 +103,19 @@ def test_rolling_files(skewed, limit):
         assert [numbers[r.n] for r in members] == brute_force_rolling([r.weight for r in members], limit)
 
 
+def test_rolling_files_in_many_partitions(spark, skewed):
+    """Ranges meet their tables also when partitions are not joined into one."""
+    names = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        test_rolling_files(skewed, 40)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 @pytest.mark.parametrize("bound", [10, 1000])
 def test_attach(spark, skewed, bound):
     side = spark.range(40).select(F.col("id").cast("int").alias("key"), (F.col("id") * 2).alias("double"))
