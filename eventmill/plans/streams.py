@@ -21,6 +21,8 @@ from eventmill.streaming import admission, durable, jobs, retry, sink
 
 #: Lines of a source in a step, and bytes up to which a line is sent.
 LINES_PER_STEP, LINE_BYTES = 200, 13
+#: Steps of a source that is behind in one batch: what its task holds at most, 200,000 lines.
+STEPS_PER_BATCH = 1_000
 
 
 def _buffered(spark: SparkSession, folder: str) -> str:
@@ -35,7 +37,7 @@ def _buffered(spark: SparkSession, folder: str) -> str:
 
 
 def _lines(spark: SparkSession, path: str, checkpoint: str) -> DataFrame:
-    return ordered.ordered_lines(spark, path, "buf", lines=LINES_PER_STEP, bookmark=f"{checkpoint}.bookmark")
+    return ordered.ordered_lines(spark, path, "buf", lines=LINES_PER_STEP, bookmark=f"{checkpoint}.bookmark", steps=STEPS_PER_BATCH)
 
 
 def _event_id(line: str):
@@ -46,12 +48,12 @@ def _event_id(line: str):
 def stream_ship_ordered(spark, folder):
     """Steps of a bounded number of lines per source, in order of date and sequence, in payloads of one file and at most 50 lines."""
     def payloads(batch):
-        placed = bulk.in_batches(batch, ["source", "file_name"], ["start_offset"])
-        return placed.select("source", "file_name", _event_id("line").alias("event_id"), "start_offset", "next_offset", F.col("batch_no").alias("payload"), "pos")
+        placed = bulk.in_batches(batch, ["source", "file_name", "step"], ["start_offset"])
+        return placed.select("source", "file_name", _event_id("line").alias("event_id"), "start_offset", "next_offset", F.col("batch_no").alias("payload"), "pos", "step")
 
     path, out, checkpoint = _buffered(spark, folder), new_folder(spark, "shipped"), new_folder(spark, "checkpoint")
     jobs.drained_steps(jobs.ship(_lines(spark, path, checkpoint), payloads, out, checkpoint, seconds=0))
-    return spark.read.parquet(out).withColumnRenamed("batch", "step").withColumn("step", F.col("step").cast("bigint"))
+    return spark.read.parquet(out).drop("batch")
 
 
 class StoreGone(RuntimeError):
@@ -60,7 +62,7 @@ class StoreGone(RuntimeError):
 
 @query
 def stream_durable_positions(spark, folder):
-    """Request rows and committed positions, though the second step fails and the query starts anew."""
+    """Request rows and committed positions, though the second batch of steps fails and the query starts anew."""
     failed = []
 
     def shipped(batch):

@@ -6,6 +6,11 @@ position: file and byte. Times of files play no part. The offset of a step also
 names the files it passes with their sizes, so a step that is run again reads the
 same lines, whatever has come to the folder since.
 
+A step is so many lines of a source, numbered from 0. A source that is behind may
+have several in a batch of the stream: one at first, then twice as many each time,
+up to a bound. Every line tells its step, so what is made of the lines is the same
+in however many batches they come.
+
 The driver looks for line ends only, block by block; lines are read by tasks, each
 from a range of bytes that starts and ends with a line.
 """
@@ -33,7 +38,7 @@ BLOCK = 1 << 20
 RANGE = 64 << 20
 #: Sources that the driver looks at side by side.
 THREADS = 16
-LINES = "source string, file_name string, file_date string, seq long, start_offset long, next_offset long, line string"
+LINES = "source string, file_name string, file_date string, seq long, start_offset long, next_offset long, line string, step long"
 
 
 def store_of(path: str) -> tuple[fs.FileSystem, str]:
@@ -95,18 +100,27 @@ class Range(InputPartition):
     path: str
     start: int
     end: int
+    #: The first step of its batch, and how many lines of the source the batch has before.
+    step: int = 0
+    place: int = 0
 
 
 class BufferReader(DataSourceStreamReader):
-    """Positions are ``{source: {file, date, seq, at, passed: {file: size}}}``."""
+    """Positions are ``{source: {file, date, seq, at, passed: {file: size}, counts: {file: lines}, done, took}}``.
+
+    ``done`` counts the steps up to there; ``took`` is how many its batch had, 0 if there was nothing left for more.
+    """
 
     def __init__(self, options: dict[str, str]):
         self.folder = options["path"].rstrip("/")
         self.pattern = re.compile(file_pattern(options["base"], options.get("interval", "Day")))
         self.lines = int(options["lines"]) if options.get("lines") else None
+        self.steps = int(options.get("steps") or 1)
         self.bookmark = options.get("bookmark")
         if self.lines is not None and (self.lines < 1 or not self.bookmark):
             raise ValueError("lines must be at least 1, and a limit of lines needs the path of a bookmark")
+        if self.steps < 1:
+            raise ValueError("steps must be at least 1")
         self.at: dict | None = None
 
     def initialOffset(self) -> dict:
@@ -139,7 +153,9 @@ class BufferReader(DataSourceStreamReader):
     def next_position(self, source: str, files: list[tuple[str, int, str, int]], before: dict | None) -> dict | None:
         """How far a source may be read now; nothing new leaves it where it was."""
         here = (before["date"], before["seq"]) if before else ("", -1)
-        store, left, passed, now = store_of(self.folder)[0], self.lines, {}, before
+        done, took = (before.get("done", 0), before.get("took", 0)) if before else (0, 0)
+        steps = max(1, min(self.steps, 2 * took))
+        store, left, passed, counts, now = store_of(self.folder)[0], self.lines and self.lines * steps, {}, {}, before
         ahead = [f for f in files if f[:2] >= here]
         for number, (date, seq, name, size) in enumerate(ahead):
             start = before["at"] if before and here == (date, seq) else 0
@@ -150,11 +166,13 @@ class BufferReader(DataSourceStreamReader):
                     end, count = size, count + 1  # its last line is whole without a line end
             if left is not None:
                 left -= count
+            counts[name] = count
             if closed and end == size and left != 0:
                 passed[name] = size
                 continue
             if end > start or passed:
-                now = {"file": name, "date": date, "seq": seq, "at": end, "passed": passed}
+                new = -(-sum(counts.values()) // self.lines) if self.lines else 1
+                now = {"file": name, "date": date, "seq": seq, "at": end, "passed": passed, "counts": counts, "done": done + new, "took": 0 if left else steps}
             break
         return now
 
@@ -175,24 +193,28 @@ class BufferReader(DataSourceStreamReader):
             if before == position:
                 continue
             ends = position["passed"] | {position["file"]: position["at"]}
+            step, place = before.get("done", 0) if before else 0, 0
             for name, last in ends.items():
                 match = self.pattern.match(name)
                 at = before["at"] if before and before["file"] == name else 0
-                path = self.path(source, name)
+                path, behind = self.path(source, name), place + position.get("counts", {}).get(name, 0)
                 with store.open_input_file(path) as file:
                     while at < last:
                         cut = last
                         if last - at > RANGE:
                             end_of_line, found = lines_end(file, at + RANGE - 1, last, 1)
                             cut = end_of_line if found else last
-                        out.append(Range(source, name, match[1], int((match[2] or "_0")[1:]), path, at, cut))
+                        out.append(Range(source, name, match[1], int((match[2] or "_0")[1:]), path, at, cut, step, place))
+                        if cut < last and self.lines:
+                            place += lines_end(file, at, cut, None)[1]
                         at = cut
+                place = behind
         return out
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
         with store_of(self.folder)[0].open_input_file(partition.path) as file:
             file.seek(partition.start)
-            at, left, rest = partition.start, partition.end - partition.start, b""
+            at, left, rest, place = partition.start, partition.end - partition.start, b"", partition.place
             while left > 0:
                 block = file.read(min(max(BLOCK, len(rest)), left))
                 left = left - len(block) if block else 0
@@ -203,20 +225,22 @@ class BufferReader(DataSourceStreamReader):
                     lines.append(rest)
                     ends.append(at := at + len(rest))
                 if lines:
-                    yield self.batch(partition, lines, [begin, *ends[:-1]], ends)
+                    yield self.batch(partition, lines, [begin, *ends[:-1]], ends, place)
+                    place += len(lines)
 
-    def batch(self, partition: Range, lines: list[bytes], starts: list[int], ends: list[int]) -> pa.RecordBatch:
+    def batch(self, partition: Range, lines: list[bytes], starts: list[int], ends: list[int], place: int) -> pa.RecordBatch:
         if starts[0] == 0 and lines[0].startswith(BYTE_ORDER_MARK):
             lines[0] = lines[0][len(BYTE_ORDER_MARK):]
         n = len(lines)
         texts = [line.removesuffix(b"\r").decode("utf-8", "replace") for line in lines]
-        columns = [[partition.source] * n, [partition.file_name] * n, [partition.file_date] * n, [partition.seq] * n, starts, ends, texts]
-        kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+        steps = [partition.step + i // self.lines for i in range(place, place + n)] if self.lines else [partition.step] * n
+        columns = [[partition.source] * n, [partition.file_name] * n, [partition.file_date] * n, [partition.seq] * n, starts, ends, texts, steps]
+        kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [f.split()[0] for f in LINES.split(", ")])
 
 
 class BufferFiles(DataSource):
-    """Options: ``path``, ``base``; ``interval`` (Day); ``lines`` per source and step, with the path of a ``bookmark``."""
+    """Options: ``path``, ``base``; ``interval`` (Day); ``lines`` per source and step, with the path of a ``bookmark``; ``steps`` in a batch at most (1)."""
 
     @classmethod
     def name(cls) -> str:
@@ -230,17 +254,18 @@ class BufferFiles(DataSource):
 
 
 def ordered_lines(
-    spark: SparkSession, folder: str, base: str, interval: str = "Day", lines: int | None = None, bookmark: str | None = None,
+    spark: SparkSession, folder: str, base: str, interval: str = "Day", lines: int | None = None, bookmark: str | None = None, steps: int = 1,
 ) -> DataFrame:
     """The stream of ``LINES``. With a limit, give each query a ``bookmark`` of its own beside its checkpoint.
 
     The bookmark tells a restarted query where its last step ends, as Spark does
-    not tell the source before it asks how far to read.
+    not tell the source before it asks how far to read. ``steps``: how many steps
+    of a source that is behind a batch may hold, ``lines`` each.
     """
     prepare(spark).dataSource.register(BufferFiles)
     reader = spark.readStream.format("buffer_files").option("path", folder).option("base", base).option("interval", interval)
     if lines is not None:
-        reader = reader.option("lines", lines).option("bookmark", bookmark or "")
+        reader = reader.option("lines", lines).option("bookmark", bookmark or "").option("steps", steps)
     return reader.load()
 
 

@@ -3,9 +3,9 @@
 The lines of a source (``sources.ordered``) become request rows; the position up to
 which they were turned is a value state under the source. State and output of a
 step stand or fall together: a failed step leaves the position where it was, and the
-run after it gives the same rows with the same ids. A step has a bounded number of
-lines of a source, so a source with a third of all lines is no more work for its
-task than any other.
+run after it gives the same rows with the same ids. A batch of the stream has a
+bounded number of lines of a source, so a source with a third of all lines is no
+more work for its task than any other. A payload holds lines of one step.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ def with_state(spark: SparkSession) -> SparkSession:
 
 
 class Payloads(StatefulProcessor):
-    """Cuts the new lines of a source into payloads of one file and at most ``limit`` lines, and remembers where it is."""
+    """Cuts the new lines of a source into payloads of one file and step and at most ``limit`` lines, and remembers where it is."""
 
     def __init__(self, limit: int):
         self.limit = limit
@@ -53,8 +53,8 @@ class Payloads(StatefulProcessor):
             lines = lines[(lines.file_date > date) | same_date & (lines.seq > seq) | same_file & (lines.start_offset >= offset)]
         if lines.empty:  # all of them were shipped before
             return
-        in_file = lines.groupby(["file_date", "seq"]).cumcount() // self.limit
-        starts = (in_file.diff() != 0) | (lines.seq.diff() != 0) | (lines.file_date != lines.file_date.shift())
+        in_file = lines.groupby(["file_date", "seq", "step"]).cumcount() // self.limit
+        starts = (in_file.diff() != 0) | (lines.seq.diff() != 0) | (lines.step.diff() != 0) | (lines.file_date != lines.file_date.shift())
         number = starts.cumsum() - 1
         place = lines.fits.astype("int64").groupby(number).cumsum() - 1
         last = lines.iloc[-1]
@@ -79,6 +79,8 @@ def durable_stream(
     """
     check_shippable(shipping.rolling_interval)
     with_state(lines.sparkSession)
+    if "step" not in lines.columns:  # lines of another source: a batch is a step
+        lines = lines.withColumn("step", F.lit(0).cast("long"))
     sized = lines.withColumn("fits", fits(F.col("line"), batches.event_bytes_limit))
     placed = sized.groupBy("source").transformWithStateInPandas(
         Payloads(batches.posting_limit), outputStructType=PLACED, outputMode="append", timeMode="none")

@@ -175,3 +175,58 @@ def test_stored_lines(spark, tmp_path):
     ordered.store_lines(lines, str(tmp_path / "in"), ["id"])
     rows = [r for step in steps(tmp_path / "in") for r in step]
     assert [r["line"] for r in rows if r["source"] == "s1"] == [str(i) for i in range(1, 100, 3)]
+
+
+@pytest.mark.parametrize("limit", [1, 3, 7])
+@pytest.mark.parametrize("most", [2, 5, 100])
+def test_several_steps_in_a_batch(tmp_path, monkeypatch, limit, most):
+    """A source that is behind takes more steps each time, up to the bound; lines have the steps that they have one by one."""
+    monkeypatch.setattr(ordered, "BLOCK", 16)
+    monkeypatch.setattr(ordered, "RANGE", 20)
+    rng = random.Random(limit)
+    fill(tmp_path / "in", [(f"{s}/buf-2024010{d}{q}.json", [b"l" * rng.randint(0, 9) for _ in range(rng.randint(0, 30))])
+                           for s in ("a", "b/c") for d in (1, 2, 3) for q in ("", "_001")])
+
+    def numbered(steps):
+        reader = ordered.BufferReader({"path": str(tmp_path / "in"), "base": "buf", "lines": str(limit), "steps": str(steps), "bookmark": str(tmp_path / f"mark{steps}")})
+        at, out = {}, []
+        while (end := reader.latestOffset()) != at:
+            out.append([r for p in reader.partitions(at, end) for b in reader.read(p) for r in b.to_pylist()])
+            at = end
+        return out
+
+    one, several = numbered(1), numbered(most)
+    key = lambda r: (r["source"], r["file_date"], r["seq"], r["start_offset"])
+    assert sorted(sum(several, []), key=key) == sorted(sum(one, []), key=key)
+    for source in ("a", "b/c"):
+        lines = [r for r in sorted(sum(several, []), key=key) if r["source"] == source]
+        assert [r["step"] for r in lines] == [i // limit for i in range(len(lines))]
+        taken = [len({r["step"] for r in batch if r["source"] == source}) for batch in several]
+        whole = [n for n in taken if n][:-1]  # the last batch has what is left
+        assert whole == [min(2**i, most) for i in range(len(whole))]
+    assert len(several) < len(one)
+
+
+def test_steps_of_a_source_that_catches_up(tmp_path):
+    """Once nothing is left, a source starts with one step again, in a batch and under a number of its own."""
+    options = {"path": str(tmp_path / "in"), "base": "buf", "lines": "2", "steps": "8", "bookmark": str(tmp_path / "mark")}
+    at, out = {}, []
+    for day in (1, 2):
+        fill(tmp_path / "in", [(f"buf-2024010{day}.json", [b"x"] * 5)])
+        while (end := (reader := ordered.BufferReader(options)).latestOffset()) != at:  # each time a restart
+            out.append([r["step"] for p in reader.partitions(at, end) for b in reader.read(p) for r in b.to_pylist()])
+            at = end
+    assert out == [[0, 0], [1, 1, 2], [3, 3], [4, 4, 5]]
+
+
+def test_payloads_do_not_depend_on_steps_in_a_batch(spark, tmp_path):
+    files = [(f"{s}/buf-2024010{d}.json", [b"l" * (i % 11) for i in range(50)]) for s in ("a", "b") for d in (1, 2)]
+    fill(tmp_path / "in", files)
+    stream = ordered.ordered_lines(spark, str(tmp_path / "in"), "buf", lines=20, bookmark=str(tmp_path / "mark"), steps=4)
+    rows = durable.durable_stream(stream, batches=BatchOptions(posting_limit=6, event_bytes_limit=8))
+    jobs.drained_steps(jobs.ship(rows, lambda b: b, str(tmp_path / "out"), str(tmp_path / "check"), seconds=0))
+    found = spark.read.parquet(str(tmp_path / "out"))
+    want, position = plain(files, 20, 6)
+    assert sorted((r.source, r.payload, r.pos, r.file_name, r.start_offset, r.next_offset, r.doc) for r in found.collect()) == want
+    assert found.select("batch").distinct().count() == 3
+    assert {r.source: (r.file_name, r.next_offset, r.payloads) for r in durable.positions(spark, str(tmp_path / "check")).collect()} == position
