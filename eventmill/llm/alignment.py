@@ -34,11 +34,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from eventmill.llm.common import Remembered, ids_and_texts
-from eventmill.llm.subwords import Pieces, library, model_file
+from eventmill.llm.subwords import SPACE, Pieces, library, model_file
 from eventmill.session import written
 
 #: Texts per batch that goes out, and parts that are aligned in one go.
 BATCH, PARTS = 256, 20_000
+#: Parts that are encoded as one string.
+SIDE_BY_SIDE = 50
 #: Pairs up to which their table is broadcast (16 bytes each); the two vocabularies here cannot have as many. Beyond, the join shuffles.
 MOST_BROADCAST = 1_000_000
 
@@ -66,27 +68,63 @@ class Aligner:
         by_words = described["pre_tokenizer"] == described["pre_tokenizer"] | {"type": "ByteLevel", "use_regex": True, "add_prefix_space": False} and not described["normalizer"]
         #: A single blank between two visible characters starts a part.
         self.cut_at = regex.compile(r"(?<=\S)(?= \S)") if by_words and pieces.cuts_at_blanks else None
+        #: A blank that starts no part, as it is not between visible characters.
+        self.other_blank = regex.compile(r" \s|\s | \Z")
         self.known = Remembered()
         names_a, names_b = [str(i) for i in range(len(self.a_bytes))], [str(i) for i in range(len(self.b_bytes))]
         #: A token's id and what follows it: of A within and at the end of a group, then of B.
         self.printed = [f"{i}{mark}" for names, marks in ((names_a, ",|"), (names_b, ",;")) for i in names for mark in marks]
 
     def parts(self, text: str) -> list[str]:
-        return self.cut_at.split(text) if self.cut_at else [text]
+        """The parts of a text that begins with a blank."""
+        if not self.cut_at:
+            return [text]
+        if self.other_blank.search(text):
+            return self.cut_at.split(text)
+        return [" " + word for word in text[1:].split(" ")]  # every blank stands between visible characters
+
+    def strings(self, parts: list[str]) -> list[str]:
+        """The parts in a row as strings to encode: many side by side, where a blank between visible characters keeps them apart."""
+        if not self.cut_at:
+            return parts
+        out, run = [], []
+        for part in parts:
+            if len(part) < 2 or part[1].isspace() or part[-1].isspace() or SPACE in part:
+                out += ["".join(run), part] if run else [part]
+                run = []
+                continue
+            run.append(part)
+            if len(run) == SIDE_BY_SIDE:
+                out.append("".join(run))
+                run = []
+        return [*out, "".join(run)] if run else out
 
     def encoded(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of all parts in a row: ids of A with first and end characters, ids of B with ends, and tokens of A and of B per part."""
+        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+        found = self.placed(self.strings(parts))
+        n_a, n_b = (np.diff(np.searchsorted(at, ends, "right"), prepend=0) for at in (found[1][:, 1], found[3]))
+        stops = [np.cumsum(n) - 1 for n in (n_a, n_b)]
+        if n_a.all() and n_b.all() and (found[1][stops[0], 1] == ends).all() and (found[3][stops[1]] == ends).all():
+            return *found, n_a, n_b
+        if len(parts) == 1:
+            return *found, np.array([len(found[0])]), np.array([len(found[2])])
+        half = len(parts) // 2  # some part has no token for its end: it is looked for
+        first, second = self.encoded(parts[:half]), self.encoded(parts[half:])
+        return tuple(np.concatenate([x, y + ends[half - 1] if k in (1, 3) else y]) for k, (x, y) in enumerate(zip(first, second)))
+
+    def placed(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of all strings in a row: ids of A with first and end characters, ids of B with ends."""
         flat = itertools.chain.from_iterable
-        bases = np.array([0, *itertools.accumulate(map(len, parts))])
-        of_a = self.a.encode_batch(parts, add_special_tokens=False)
-        n_a = np.array([len(e) for e in of_a])
+        bases = np.array([0, *itertools.accumulate(map(len, strings))])
+        of_a = self.a.encode_batch(strings, add_special_tokens=False)
         a = np.fromiter(flat(e.ids for e in of_a), np.int64)
-        spans = np.fromiter(flat(flat(e.offsets for e in of_a)), np.int64).reshape(-1, 2) + np.repeat(bases[:-1], n_a)[:, None]
-        of_b = self.b.encode([part[1:] for part in parts], num_threads=1, return_type="offset_mapping")
-        n_b = np.array([len(e["ids"]) for e in of_b])
+        spans = np.fromiter(flat(flat(e.offsets for e in of_a)), np.int64).reshape(-1, 2) + np.repeat(bases[:-1], [len(e) for e in of_a])[:, None]
+        of_b = self.b.encode([string[1:] for string in strings], num_threads=1, return_type="offset_mapping")
+        n_b = [len(e["ids"]) for e in of_b]
         b = np.fromiter(flat(e["ids"] for e in of_b), np.int64)
-        b_ends = np.fromiter((end for e in of_b for _, end in e["offsets"]), np.int64) + np.repeat(bases[:-1] + 1, n_b)  # B puts the blank in front itself
-        return a, spans, b, b_ends, n_a, n_b
+        b_ends = np.fromiter(flat(flat(e["offsets"] for e in of_b)), np.int64)[1::2] + np.repeat(bases[:-1] + 1, n_b)  # B puts the blank in front itself
+        return a, spans, b, b_ends
 
     def given_back(self, parts: list[str], a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> list[bool]:
         """Whether the tokens of A and of B give back the bytes of a part."""
@@ -143,26 +181,25 @@ class Aligner:
         """As ``aligned``, of whole texts with a blank in front; parts that are not remembered are aligned in one go."""
         known = self.known
         in_parts = [self.parts(" " + text) if text else [] for text in texts]
-        here: dict[str, tuple] = {}
-        new = [part for part in dict.fromkeys(itertools.chain.from_iterable(in_parts)) if part not in known]
-        for part in new:
-            older = known.older.get(part)
-            if older is not None:
-                here[part] = older
-        new = [part for part in new if part not in here]
+        here = dict.fromkeys(itertools.chain.from_iterable(in_parts))  # each part of the batch is looked up once
+        new = []
+        for part in here:
+            if (value := known.get(part)) is not None or (value := known.recall(part)) is not None:
+                here[part] = value
+            else:
+                new.append(part)
         for start in range(0, len(new), PARTS):
             some = new[start:start + PARTS]
-            here.update((part, found or ()) for part, found in zip(some, self.aligned(some)))
+            for part, found in zip(some, self.aligned(some)):
+                here[part] = known.keep(part, found or ())
         out = []
         for parts in in_parts:
-            found = [known.get(part) or here.get(part) for part in parts]
+            found = list(map(here.__getitem__, parts))
             if not parts or not all(found):
                 out.append(None)
                 continue
             n_a, n_b, groups, links = zip(*found)
             out.append((sum(n_a), sum(n_b), "".join(groups)[:-1], np.frombuffer(b"".join(links), "<i8")))
-        for part, value in here.items():
-            known.keep(part, value)
         return out
 
 

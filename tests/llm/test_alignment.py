@@ -120,3 +120,20 @@ def test_long_text(models):
     text = "x" * 30_000 + " " + "word " * 30_000
     got, = aligner.texts([text])
     assert got[:3] == plain(models, text)[:3] and " " + "x" * 30_000 not in aligner.known
+
+
+def test_parts_side_by_side(models):
+    """New parts of a batch are encoded as few strings, and have the tokens that they have alone."""
+    aligner = models[2]
+    words = [f" w{i}é" for i in range(300)]
+    odd = [" ", "  two", " end ", " ▁", " ▁x▁", " a\nb", "​", " \x00", " <|endoftext|>", " \U000e0041"]
+    parts = [part for i, part in enumerate(words) for part in ([part, odd[i % len(odd)]] if i % 29 == 0 else [part])]
+    assert len(aligner.strings(words)) == 6
+    assert "".join(aligner.strings(parts)) == "".join(parts) and all(len(part) > 1 for part in aligner.strings(parts) if part not in odd)
+    plain = lambda found: [f and (f[0], f[1], f[2], bytes(f[3])) for f in found]
+    assert plain(aligner.aligned(parts)) == [plain(aligner.aligned([part]))[0] for part in parts]
+
+
+@pytest.mark.parametrize("text", ["a b", "a  b", " a", "a ", "a\nb c", "a \nb", "a\n b", " ", "\n", "a b\n", "  a", "a b c"])
+def test_parts_as_by_the_pattern(models, text):
+    assert models[2].parts(" " + text) == models[2].cut_at.split(" " + text)
