@@ -127,8 +127,10 @@ def depths_from_links(
     while reach <= depth_limit:
         steps = written(steps, "exception-depths")
         above = steps.select(F.col("_node").alias("_up"), F.col("_up").alias("_next"), F.col("_depth").alias("_more"))
-        steps = steps.join(above, "_up", "left").select(
-            "_node", F.col("_next").alias("_up"), (F.col("_depth") + F.coalesce("_more", F.lit(0))).alias("_depth"))
+        # Rows that have reached the outermost exception look no further: joined, they would all meet in the task of the missing key.
+        done = steps.filter(F.col("_up").isNull())
+        steps = steps.filter(F.col("_up").isNotNull()).join(above, "_up", "left").select(
+            "_node", F.col("_next").alias("_up"), (F.col("_depth") + F.coalesce("_more", F.lit(0))).alias("_depth")).unionByName(done)
         reach *= 2
     known = steps.filter(F.col("_up").isNull() & (F.col("_depth") <= depth_limit))
     return links.join(known.select(F.col("_node").alias(node), F.col("_depth").alias("depth")), node)
