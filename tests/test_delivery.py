@@ -115,3 +115,20 @@ def test_client_per_task(spark):
     requests = spark.createDataFrame([("1", "ok"), ("2", "bad one")], "batch_id string, body string")
     assert {(r.batch_id, r.success, r.attempt) for r in delivery.deliver(requests, Echo, 2).collect()} == {("1", True, 2), ("2", False, 2)}
     assert delivery.diagnostics(("x", requests, F.length("body")), ("y", requests, F.lit(1))).count() == 4
+
+
+def test_few_bodies_at_once(spark, monkeypatch):
+    """A body is as large as its batch, so what a task holds is bounded by the number of bodies, not by the session's rows."""
+    import pandas as pd
+
+    bodies = spark.range(0, 450, 1, 1).selectExpr("CAST(id AS string) AS batch_id", "'x' AS body")
+    before, held = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"), []
+
+    def counted(frames):
+        for frame in frames:
+            yield pd.DataFrame({"n": [len(frame)]})
+
+    monkeypatch.setattr(delivery, "written", lambda df, label: held.extend(r.n for r in bodies.mapInPandas(counted, "n int").collect()))
+    delivery.sent(bodies, lambda: None)
+    assert sum(held) == 450 and max(held) <= 100
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
