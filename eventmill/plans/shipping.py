@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from eventmill.operators import delivery
 from eventmill.operators.bulk import request_bodies, request_lines
+from eventmill.session import written
 
 Cleaner = Callable[[Column, Column, Column], Column]
 
@@ -41,9 +42,13 @@ def ship_direct_rows(rows: DataFrame, client_factory: Callable[[], delivery.Clie
 def ship_durable_rows(
     rows: DataFrame, client_factory: Callable[[], delivery.Client], op: str = "index", cleaner: Cleaner | None = None
 ) -> Outcome:
-    """Durable mode: failures are found by the position in their id, cleaned and sent once more."""
+    """Durable mode: failures are found by the position in their id, cleaned and sent once more.
+
+    Rows and failures are kept in the shared folder: they are read several times, and making documents is most of the work.
+    """
+    rows = written(rows, "request-rows")
     responses = delivery.parsed(delivery.sent(bodies(rows), client_factory))
-    failures = delivery.failures_by_id(rows, responses, op)
+    failures = written(delivery.failures_by_id(rows, responses, op), "item-failures")
     resent = None
     if cleaner is not None:
         again = bodies(delivery.cleaned(failures, cleaner))

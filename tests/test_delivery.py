@@ -132,3 +132,24 @@ def test_few_bodies_at_once(spark, monkeypatch):
     delivery.sent(bodies, lambda: None)
     assert sum(held) == 450 and max(held) <= 100
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_request_rows_are_made_once(spark):
+    """Sending, looking for rejects and sending again read the rows that were made, not what they are made of."""
+    from eventmill.plans import shipping
+
+    class Rejecting:
+        def send(self, body):
+            return 200, True, json.dumps({"errors": True, "items": [{"index": {"_index": "i", "_id": "0_a", "status": 400, "error": {"type": "t", "reason": "r"}}}]})
+
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def doc(n):
+        made.add(1)
+        return f"doc {n}"
+
+    rows = spark.range(40).select(F.concat(F.lit("b"), F.col("id")).alias("batch_id"), F.lit(0).alias("pos"), F.col("id").alias("event_id"), F.lit("{}").alias("action"), doc("id").alias("doc"))
+    outcome = shipping.ship_durable_rows(rows, Rejecting, cleaner=lambda row, status, error: F.concat(row, F.lit("!")))
+    assert outcome.resent.count() == 40 and sorted(r.doc for r in outcome.item_failures.collect()) == sorted(f"doc {n}" for n in range(40))
+    assert made.value == 40
