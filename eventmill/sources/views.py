@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,9 @@ TYPE_OF_LEVEL = {
     "Verbose": "view", "Debug": "click", "Information": "purchase", "Warning": "signup", "Error": "error", "Fatal": "error",
 }
 
+# Rows of a task where much is computed per row: a scanned file of some hundred MB has many millions.
+ROWS_PER_TASK = 250_000
+
 _COLUMNS = (
     "event_id",
     "CAST(ts AS TIMESTAMP) AS ts",
@@ -39,8 +44,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores when the files give fewer tasks than that; larger tables stay as scanned."""
-    tasks = df.sparkSession.sparkContext.defaultParallelism
+    """Use all cores, and tasks of a bounded number of rows, when the files give fewer tasks than that."""
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(df.count() / ROWS_PER_TASK))
     return df.repartition(tasks, key) if df.rdd.getNumPartitions() < tasks else df
 
 

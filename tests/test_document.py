@@ -157,3 +157,16 @@ def test_date_patterns(pattern):
 def test_name_without_pattern(spark):
     with pytest.raises(ValueError):
         times.formatted_name("logs-{0}", F.lit(0))
+
+
+def test_heavy_tasks_have_a_bounded_number_of_rows(spark, monkeypatch, tmp_path):
+    from eventmill.sources import views
+
+    spark.range(0, 5000, 1, 1).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    monkeypatch.setattr(views, "ROWS_PER_TASK", 100)
+    found = views.spread(rows, "id")
+    assert found.rdd.getNumPartitions() == 50 and found.count() == 5000
+    assert max(map(len, found.rdd.glom().collect())) <= 200
+    monkeypatch.setattr(views, "ROWS_PER_TASK", 10**6)
+    assert views.spread(rows, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
