@@ -817,7 +817,7 @@ def stream_direct(spark, folder):
 def stream_direct_requests(spark, folder):
     """Each micro-batch goes the whole way: documents, request batches, answers, and the events of failed items."""
     def shipped(batch):
-        logs = views.with_payload(views.log_columns(batch))
+        logs = views.with_payload(views.log_columns(views.spread(batch, "event_id")))
         rows = written(indexing.direct_requests(logs, "Information"), "requests")
         # The store answers with the status that each event carries.
         sent = rows.join(logs.select("event_id", "status"), "event_id").withColumn("doc_id", F.col("event_id").cast("string"))
