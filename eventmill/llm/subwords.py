@@ -10,8 +10,9 @@ piece for each of its bytes.
 No piece has U+2581 behind another character, so no merge crosses a place where
 a blank follows something else, nor two characters that no piece holds side by
 side: texts are cut there, and what was cut is encoded once per worker and
-remembered if it is short. Decoding goes piece by piece and holds bytes back
-until they make a character.
+remembered if it is short. The parts that are new in a batch have their agendas
+side by side in arrays, a merge of each at a time; a long part has a heap.
+Decoding goes piece by piece and holds bytes back until they make a character.
 """
 
 from __future__ import annotations
@@ -20,13 +21,13 @@ import codecs
 import functools
 import heapq
 import itertools
+import re
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 from sentencepiece import sentencepiece_model_pb2
@@ -34,13 +35,15 @@ from sentencepiece import sentencepiece_model_pb2
 from eventmill.llm.common import Remembered, ids_and_texts
 
 SPACE = "▁"
-#: Texts per batch that goes out.
-BATCH = 256
+#: Texts per batch that goes out, and characters of texts that are cut at a time.
+BATCH, CHARACTERS = 256, 1_000_000
+#: Parts whose agendas are worked off side by side, and parts per text that is put to the library.
+SIDE, JOINED = 4096, 64
 #: How a model file numbers the types of pieces.
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
-#: Behind every score: two symbols whose joined text is no piece.
-NEVER = float("inf")
+#: Code points; the bits of a place in a short part; behind every score: two symbols whose joined text is no piece.
+POINTS, PLACE, NEVER = 0x110000, (Remembered.longest + 1).bit_length(), np.iinfo(np.int64).max
 
 codecs.register_error("each_byte", lambda error: ("�", error.start + 1))
 
@@ -67,6 +70,41 @@ class Pieces:
         self.bytes = [bytes([int(p.piece[3:5], 16)]) if p.type == BYTE else p.piece.replace(SPACE, " ").encode() if p.type == NORMAL else b"" for _, p in pieces]
         self.side_by_side = {t[i:i + 2] for t in self.ids for i in range(len(t) - 1)}
         self.cuts_at_blanks = not any(SPACE in t.lstrip(SPACE) for t in self.ids)
+        self.apart = next(c for c in map(chr, range(1, POINTS)) if not any(c in t for t in self.ids))  # joined with nothing
+
+    def together(self) -> list[set[str]]:
+        """Sets of characters: no piece holds characters of two sets."""
+        pairs = [pair for pair in self.side_by_side if pair[0] != SPACE]
+        sets = {character: {character} for pair in pairs for character in pair}
+        for first, second in pairs:
+            if (found := sets[first]) is not (other := sets[second]):
+                found |= other
+                sets.update(dict.fromkeys(other, found))
+        return list({id(found): found for found in sets.values()}.values())
+
+
+class Pairs:
+    """Symbols as numbers, and what two of them make: a piece is its id, a character that is no piece comes behind all ids."""
+
+    def __init__(self, pieces: Pieces):
+        known = len(pieces.texts)
+        self.symbols = np.arange(known, known + POINTS)
+        for piece, i in pieces.ids.items():
+            if len(piece) == 1:
+                self.symbols[ord(piece)] = i
+        self.width = known + POINTS + 1
+        places = {score: place << PLACE for place, score in enumerate(sorted(set(pieces.rank.values())))}
+        number = pieces.ids | {c: int(self.symbols[ord(c)]) for c in set("".join(pieces.ids))}
+        joins = sorted((number[piece[:k]] * self.width + number[piece[k:]], places[pieces.rank[piece]], i)
+                       for piece, i in pieces.ids.items() for k in range(1, len(piece)) if piece[:k] in number and piece[k:] in number)
+        #: Two symbols as one number, the place of their piece's score among all scores, its id.
+        self.both, self.scores, self.joined = np.array([*joins, (NEVER, NEVER, 0)]).T.copy()
+
+    def of(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of pairs of symbols and the ids of what they make; -1 is no symbol."""
+        wanted = left * self.width + right
+        at = np.searchsorted(self.both, wanted)
+        return np.where(self.both[at] == wanted, self.scores[at], NEVER), self.joined[at]
 
 
 class Encoder:
@@ -74,30 +112,51 @@ class Encoder:
 
     def __init__(self, model: bytes):
         self.pieces = Pieces(model)
+        self.pairs = Pairs(self.pieces)
         self.parts = Remembered()
         self.new: list[tuple[str, bytes]] = []  # parts encoded since the last check
-        self.part = regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+" if self.pieces.cuts_at_blanks else "(?s).+")
+        self.between, self.front = self.encoded(self.pieces.apart), self.encoded(SPACE)
+        sets = "".join(f"[{''.join(map(re.escape, sorted(found)))}]+|" for found in self.pieces.together())
+        self.part = re.compile(f"(?s){SPACE}*(?:{sets}[^{SPACE}])|{SPACE}+" if self.pieces.cuts_at_blanks else "(?s).+")
 
     def agenda(self, text: str) -> list[str]:
-        """Symbols of a text after all merges; the agenda of a short text is a list in order of place, of a long one a heap."""
+        """Symbols of a text after all merges; the agenda of a short text is a row of scores in order of place, of a long one a heap."""
         return self.agenda_list(text) if len(text) <= self.parts.longest else self.agenda_heap(text)
 
     def agenda_list(self, text: str) -> list[str]:
-        rank = self.pieces.rank.get
-        symbols = list(text)
-        scores = [rank(text[i:i + 2], NEVER) for i in range(len(text) - 1)]
-        while scores:
-            best = min(scores)
-            if best == NEVER:
+        return self.named(self.agendas([text])[0])
+
+    def named(self, symbols: np.ndarray) -> list[str]:
+        texts, known = self.pieces.texts, len(self.pieces.texts)
+        return [texts[i] if i < known else chr(i - known) for i in symbols.tolist()]
+
+    def agendas(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of short texts after all merges, one text behind the other, and how many each has; in every step, each text merges its best pair."""
+        lengths = np.array(list(map(len, texts)))
+        places, n, pair = int(lengths.max()), len(texts), self.pairs.of
+        symbols = np.full((places + 2, n), -1)  # a column for each text, nothing above and below it
+        symbols[1:-1].T[np.arange(places) < lengths[:, None]] = self.pairs.symbols[np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")]
+        scores, joined = np.full(symbols.shape, NEVER), np.zeros_like(symbols)
+        scores[:-1], joined[:-1] = pair(symbols[:-1], symbols[1:])
+        scores[:-1] += np.where(scores[:-1] == NEVER, 0, np.arange(places + 1)[:, None])
+        symbols, scores, joined = symbols.ravel(), scores.ravel(), joined.ravel()
+        cells = np.arange(symbols.size)
+        before, after = cells - n, cells + n
+        while True:
+            best = scores.reshape(-1, n).min(axis=0)  # the leftmost of the best
+            column = np.flatnonzero(best != NEVER)
+            if not column.size:
                 break
-            i = scores.index(best)  # the leftmost
-            symbols[i] = joined = symbols[i] + symbols.pop(i + 1)
-            del scores[i]
-            if i < len(scores):
-                scores[i] = rank(joined + symbols[i + 1], NEVER)
-            if i:
-                scores[i - 1] = rank(symbols[i - 1] + joined, NEVER)
-        return symbols
+            left = (best[column] & (1 << PLACE) - 1) * n + column
+            right = after[left]
+            follower, leader = after[right], before[left]
+            symbols[left], symbols[right], scores[right] = joined[left], -1, NEVER
+            after[left], before[follower] = follower, left
+            changed = np.concatenate([leader, left])
+            found, joined[changed] = pair(symbols[changed], symbols[np.concatenate([left, follower])])
+            scores[changed] = found + np.where(found == NEVER, 0, changed // n)
+        left = symbols.reshape(-1, n).T
+        return left[left >= 0], (left >= 0).sum(axis=1)
 
     def agenda_heap(self, text: str) -> list[str]:
         rank = self.pieces.rank
@@ -127,8 +186,10 @@ class Encoder:
 
     def encoded(self, part: str) -> bytes:
         """The ids of one part as little-endian 32-bit integers."""
+        return self.ids_of(self.agenda(part))
+
+    def ids_of(self, symbols: list[str]) -> bytes:
         ids, fallback = self.pieces.ids, self.pieces.byte_ids
-        symbols = self.agenda(part)
         try:
             return array("i", map(ids.__getitem__, symbols)).tobytes()
         except KeyError:
@@ -143,38 +204,82 @@ class Encoder:
                 start = i
         yield part[start:]
 
-    def part_ids(self, part: str) -> bytes:
-        """The ids of a part that starts with a blank."""
-        if len(part) <= self.parts.longest:
-            found = self.parts.recall(part)
-            if found is not None:
-                return found
-            found = self.parts.keep(part, self.encoded(part))
-        else:
-            found = b"".join(self.parts.get(run) or self.parts.recall(run) or self.parts.keep(run, self.encoded(run)) for run in self.runs(part))
-        self.new.append((part, found))
+    def encoded_short(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Short parts with their ids, those of about one length together."""
+        parts = sorted(parts, key=len)
+        for start in range(0, len(parts), SIDE):
+            some = parts[start:start + SIDE]
+            symbols, counts = self.agendas(some)
+            ends = np.cumsum(counts)
+            known = symbols < len(self.pieces.texts)
+            whole = np.logical_and.reduceat(known, ends - counts)
+            raw = symbols.astype("<i4").tobytes()
+            for part, begin, end, pieces in zip(some, (ends - counts).tolist(), ends.tolist(), whole.tolist()):
+                yield part, raw[4 * begin:4 * end] if pieces else self.ids_of(self.named(symbols[begin:end]))
+
+    def learned(self, parts: set[str]) -> dict[str, bytes]:
+        """The ids of parts that are not at hand."""
+        known, found = self.parts, {}
+        cut = {part: list(self.runs(part)) for part in parts if len(part) > known.longest}
+        runs = set(itertools.chain.from_iterable(cut.values()))
+        short = []
+        for part in (parts - cut.keys()) | runs:
+            ids = known.recall(part) or known.get(part)
+            if ids is not None:
+                found[part] = ids
+            elif len(part) > known.longest:
+                found[part] = self.encoded(part)
+            else:
+                short.append(part)
+        for part, ids in self.encoded_short(short):
+            found[part] = known.keep(part, ids)
+            if part in parts:
+                self.new.append((part, ids))
+        for part, pieces in cut.items():
+            found[part] = b"".join([found[run] for run in pieces])
+            self.new.append((part, found[part]))
         return found
 
     def check(self, processor: sentencepiece.SentencePieceProcessor) -> None:
-        """Put every part that was encoded since the last check to the library."""
-        new = [(part, ids) for part, ids in self.new if part != SPACE]  # the library puts no blank before an empty text
-        wanted = processor.encode([part[1:] for part, _ in new], num_threads=1, return_type="numpy")
-        wrong = [part for (part, ids), want in zip(new, wanted) if ids != want.tobytes()]
-        if wrong:
-            raise ValueError(f"the sentencepiece library encodes {wrong[0]!r} otherwise")
+        """Put every part that was encoded since the last check to the library, many in a text with a character between them that joins nothing."""
+        apart, between, front = self.pieces.apart, self.between, self.front
+        some = [self.new[start:start + JOINED] for start in range(0, len(self.new), JOINED)]
+        wanted = processor.encode([apart.join(["", *(part for part, _ in new)]) for new in some], num_threads=1, return_type="numpy")
+        for new, want in zip(some, wanted):
+            if between.join([front, *(ids for _, ids in new)]) != want.tobytes():
+                alone = ((part, processor.encode(apart + part)) for part, _ in new)
+                wrong = [part for (part, ids), (_, want) in zip(new, alone) if front + between + ids != np.array(want, "<i4").tobytes()]
+                raise ValueError(f"the sentencepiece library encodes {(wrong or [part for part, _ in new])[0]!r} otherwise")
         self.new = []
 
     def ids(self, text: str) -> bytes:
         """The ids of a whole text as little-endian 32-bit integers."""
-        if not text:
-            return b""
-        known, out = self.parts, []
-        for part in self.part.findall(SPACE + text.replace(" ", SPACE)):
-            found = known.get(part)
-            if found is None:
-                found = self.part_ids(part)
-            out.append(found)
-        return b"".join(out)
+        return self.ids_of_all([text])[0]
+
+    def ids_of_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each whole text; texts are cut and what is new in them is encoded together."""
+        out: list[bytes] = []
+        start = 0
+        while start < len(texts):
+            end, characters = start + 1, len(texts[start])
+            while end < len(texts) and (characters := characters + len(texts[end])) <= CHARACTERS:
+                end += 1
+            out += self.cut_and_encoded(texts[start:end])
+            start = end
+        return out
+
+    def cut_and_encoded(self, texts: list[str]) -> list[bytes]:
+        recall, cut, out = self.parts.get, self.part.findall, []
+        for text in texts:
+            parts = cut(SPACE + text.replace(" ", SPACE)) if text else []
+            ids = list(map(recall, parts))
+            gaps = [i for i, known in enumerate(ids) if known is None]
+            out.append((ids, gaps, [parts[i] for i in gaps]))
+        new = self.learned(set(itertools.chain.from_iterable(parts for _, _, parts in out)))
+        for ids, gaps, parts in out:
+            for i, part in zip(gaps, parts):
+                ids[i] = new[part]
+        return [b"".join(ids) for ids, _, _ in out]
 
 
 class Decoder:
@@ -256,7 +361,7 @@ def encode_and_decode(docs: DataFrame, path: str | None = None) -> DataFrame:
             for start in range(0, whole.num_rows, BATCH):
                 batch = whole.slice(start, BATCH)
                 texts = batch.column("text").to_pylist()
-                ids = [np.frombuffer(encode.ids(t), "<i4") for t in texts]
+                ids = [np.frombuffer(i, "<i4") for i in encode.ids_of_all(texts)]
                 back = [decoded(encode.pieces, i.tolist()) for i in ids]
                 encode.check(processor)
                 offsets = np.array([0, *itertools.accumulate(map(len, ids))], np.int32)

@@ -82,6 +82,51 @@ def test_what_is_common_stays(monkeypatch):
     assert "x" * 65 not in table
 
 
+def test_batches_change_nothing(both, monkeypatch):
+    """Texts that are encoded together, more new parts than are remembered, groups of few characters."""
+    _, library = both
+    every = texts() + ["Wörter, die\nneu sind: " + "".join(random.Random(i).choices("aeinstr", k=9)) + "!" for i in range(300)]
+    want = [np.array(library.encode(t), "<i4").tobytes() for t in every]
+    monkeypatch.setattr(Remembered, "most", 50)
+    monkeypatch.setattr(subwords, "SIDE", 7)
+    for characters in (1, 500, subwords.CHARACTERS):
+        monkeypatch.setattr(subwords, "CHARACTERS", characters)
+        encode = subwords.Encoder(subwords.model_file())
+        assert encode.ids_of_all(every) == want
+        encode.check(library)
+        assert encode.ids_of_all([]) == [] and len(encode.parts) <= 50
+
+
+def test_a_known_word_is_not_new_next_to_other_characters():
+    encode = subwords.Encoder(subwords.model_file())
+    encode.ids("the small bird\n1")
+    encode.ids(", . ! small")
+    encode.new = []
+    encode.ids("the, the. small! the1 bird. the,")
+    assert {part for part, _ in encode.new} <= {",", ".", "!", "1"}
+
+
+def test_parts_are_put_to_the_library_many_in_a_text():
+    encode, library = subwords.Encoder(subwords.model_file()), subwords.library(subwords.model_file())
+
+    class Counted:
+        texts = 0
+
+        def encode(self, wanted, **how):
+            self.texts += len(wanted)
+            return library.encode(wanted, **how)
+
+    rng, counted = random.Random(7), Counted()
+    encode.ids(" ".join("".join(rng.choices("abcdefghijk", k=9)) for _ in range(1000)))
+    new = list(encode.new)
+    encode.check(counted)
+    assert len(new) > 900 and counted.texts <= len(new) // 10
+    for k in (0, 63, 64, len(new) - 1):  # a wrong one is found wherever it stands
+        encode.new = [*new[:k], (new[k][0], new[k][1] + b"\1\0\0\0"), *new[k + 1:]]
+        with pytest.raises(ValueError, match=repr(new[k][0])):
+            encode.check(library)
+
+
 def test_other_models_are_refused():
     described = sentencepiece_model_pb2.ModelProto.FromString(subwords.model_file())
     described.trainer_spec.model_type = described.trainer_spec.UNIGRAM
